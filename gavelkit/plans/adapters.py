@@ -123,7 +123,7 @@ def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FX_ROWS = ", ".join(f"('{c}', {y}, {r}::DOUBLE)" for c, t in fixed.FX_RATES.items() for y, r in t.items())
 
 
-def _demo_tags_sql(text: str, era: str) -> str:
+def demo_tags_sql(text: str, era: str) -> str:
     parts = ", ".join(f"CASE WHEN regexp_matches({text}, '{p}', 'i') THEN '{t}' END" for t, p in DEMO_TAGS)
     decade = (
         f"CASE WHEN regexp_matches({era}, '\\b(19[4-9]\\d)s?\\b') "
@@ -156,7 +156,7 @@ sale_rate AS (
   SELECT currency_note, sale_year, arg_min(rate, abs(fx_year - sale_year) * 10000 + fx_year) AS rate
   FROM (SELECT DISTINCT currency_note, sale_year FROM sales_raw) JOIN fx ON currency_note = currency GROUP BY ALL),
 sales AS (
-  SELECT s.*, {_demo_tags_sql('s.piece_name', 's.era_or_year')} AS tags,
+  SELECT s.*, {demo_tags_sql('s.piece_name', 's.era_or_year')} AS tags,
          CASE WHEN s.currency_note = 'USD' THEN floor(sold_price + 0.5::DOUBLE)
               ELSE floor(sold_price * rate + 0.5::DOUBLE) END AS sold_price_usd,
          sale_date AS first_captured
@@ -183,7 +183,7 @@ listings_raw AS (
          CASE WHEN l_linestatus = 'O' THEN 'active' ELSE 'inactive' END AS status
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey),
 listings AS (
-  SELECT l.*, {_demo_tags_sql('l.piece_name', 'l.era_or_year')} AS tags,
+  SELECT l.*, {demo_tags_sql('l.piece_name', 'l.era_or_year')} AS tags,
          floor(asking_price + 0.5::DOUBLE) AS asking_price_usd
   FROM listings_raw l)
 """

@@ -11,18 +11,10 @@ from gavelkit.operators.ranks import price_stats
 from gavelkit.plans.adapters import (
     LISTINGS_SQL, RUN_DATE, SALES_SQL, SIGHTINGS_SQL, listings, median_sql, sales, sightings, table, with_views,
 )
+from gavelkit.plans.registry import Registry
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(sql: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if sql is not None:
-            ORACLES[fn.__name__] = sql
-        return fn
-
-    return add
+query = Registry()
+QUERIES, ORACLES = query.queries, query.oracles
 
 
 def _group_sql(view: str, key: str, price: str, default: str, where: str = "TRUE") -> str:
