@@ -271,8 +271,9 @@ def lot_objects(rows: DataFrame, body: str, depth: int = 8) -> DataFrame:
     Level by level: children are exploded, matches are reported and not searched further.
     """
     spark = rows.sparkSession
-    keep = [c for c in rows.columns if c != body]
-    level = rows.select(*keep, F.lit("$").alias("path"), F.try_parse_json(body).alias("node")).where("node IS NOT NULL")
+    # the columns to keep travel in one struct, apart from the names that exploding brings in
+    kept = F.struct(*[c for c in rows.columns if c != body]).alias("_kept")
+    level = rows.select(kept, F.lit("$").alias("path"), F.try_parse_json(body).alias("node")).where("node IS NOT NULL")
     found = None
     for _ in range(depth):
         keys = F.transform(
@@ -282,12 +283,12 @@ def lot_objects(rows: DataFrame, body: str, depth: int = 8) -> DataFrame:
             keys, F.array(*[F.lit(k) for k in fixed.LOT_PRICE_KEYS])
         )
         marked = level.withColumn("_lot", is_lot)
-        hits = marked.where("_lot").select(*keep, "path", F.to_json("node").alias("lot"))
+        hits = marked.where("_lot").select("_kept.*", "path", F.to_json("node").alias("lot"))
         found = hits if found is None else found.unionByName(hits)
         nested = marked.where(~F.col("_lot") & F.schema_of_variant("node").rlike("^(ARRAY|OBJECT)"))
         child = nested.lateralJoin(spark.tvf.variant_explode(F.col("node").outer()))
         step = F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(
             F.concat(F.lit("."), F.col("key"))
         )
-        level = child.select(*keep, F.concat("path", step).alias("path"), F.col("value").alias("node"))
+        level = child.select("_kept", F.concat("path", step).alias("path"), F.col("value").alias("node"))
     return found
