@@ -268,27 +268,34 @@ def json_shape(rows: DataFrame, body: str) -> DataFrame:
 def lot_objects(rows: DataFrame, body: str, depth: int = 8) -> DataFrame:
     """Objects anywhere in a JSON document that carry a lot number and a price.
 
-    Level by level: children are exploded, matches are reported and not searched further.
+    Level by level in one chain without a shuffle: open objects and arrays are replaced by their
+    children, matches stay as they are and are not searched further.
     """
     spark = rows.sparkSession
     # the columns to keep travel in one struct, apart from the names that exploding brings in
     kept = F.struct(*[c for c in rows.columns if c != body]).alias("_kept")
-    level = rows.select(kept, F.lit("$").alias("path"), F.try_parse_json(body).alias("node")).where("node IS NOT NULL")
-    found = None
+
+    wanted = F.array(*[F.lit(k) for k in [fixed.LOT_KEY, *fixed.LOT_PRICE_KEYS]])
+    roles = lambda keys: F.transform(
+        F.filter(keys, lambda k: F.array_contains(wanted, F.lower(k))), lambda k: F.lower(k) == fixed.LOT_KEY
+    )
+    # both a lot number and a price: the two roles differ
+    is_lot = F.coalesce(F.size(F.array_distinct(roles(F.json_object_keys(F.to_json("node"))))) == 2, F.lit(False))
+    is_open = F.schema_of_variant("node").rlike("^(ARRAY|OBJECT)")
+    # exploding a one-element array keeps the parsed document from being parsed again per use
+    level = rows.select(kept, F.lit("$").alias("path"), F.explode(F.array(F.try_parse_json(body))).alias("node"))
+    level = level.where("node IS NOT NULL").withColumn("lot", is_lot)
     for _ in range(depth):
-        keys = F.transform(
-            F.coalesce(F.json_object_keys(F.to_json("node")), F.array().cast("array<string>")), lambda k: F.lower(k)
-        )
-        is_lot = F.array_contains(keys, fixed.LOT_KEY) & F.arrays_overlap(
-            keys, F.array(*[F.lit(k) for k in fixed.LOT_PRICE_KEYS])
-        )
-        marked = level.withColumn("_lot", is_lot)
-        hits = marked.where("_lot").select("_kept.*", "path", F.to_json("node").alias("lot"))
-        found = hits if found is None else found.unionByName(hits)
-        nested = marked.where(~F.col("_lot") & F.schema_of_variant("node").rlike("^(ARRAY|OBJECT)"))
-        child = nested.lateralJoin(spark.tvf.variant_explode(F.col("node").outer()))
+        inside = F.when(~F.col("lot") & is_open, F.col("node"))
+        child = level.lateralJoin(spark.tvf.variant_explode_outer(inside.outer()))
         step = F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(
             F.concat(F.lit("."), F.col("key"))
         )
-        level = child.select("_kept", F.concat("path", step).alias("path"), F.col("value").alias("node"))
-    return found
+        level = child.select(
+            "_kept",
+            F.when(F.col("lot"), F.col("path")).otherwise(F.concat("path", step)).alias("path"),
+            F.when(F.col("lot"), F.col("node")).otherwise(F.col("value")).alias("node"),
+            F.col("lot").alias("_was"),
+        ).where("node IS NOT NULL")
+        level = level.select("_kept", "path", "node", (F.col("_was") | is_lot).alias("lot"))
+    return level.where("lot").select("_kept.*", "path", F.to_json("node").alias("lot"))

@@ -75,7 +75,7 @@ def price_histogram(rows: DataFrame, price: str) -> DataFrame:
     return counts.select(F.explode(bands).alias("b")).select("b.ord", "b.label", "b.n")
 
 
-def _one_row(*parts: DataFrame) -> DataFrame:
+def one_row(*parts: DataFrame) -> DataFrame:
     """One row from several one-row tables with different columns."""
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
@@ -116,7 +116,7 @@ def window_counts(auctions: DataFrame, listings: DataFrame, run_date: str) -> Da
             (F.col("status") == "inactive") & since(F.col("last_seen"), d(fixed.CLOSED_DAYS))
         ).alias("closed_4wk"),
     )
-    return _one_row(a, b)
+    return one_row(a, b)
 
 
 def market_totals(auctions: DataFrame, listings: DataFrame) -> DataFrame:
@@ -131,7 +131,7 @@ def market_totals(auctions: DataFrame, listings: DataFrame) -> DataFrame:
         F.count_if(is_active(F.col("status"))).alias("active_listings"),
         F.sum(F.when(is_active(F.col("status")), F.coalesce(price, F.lit(0.0)))).alias("asking_total"),
     )
-    return _one_row(counts, dealer, median)
+    return one_row(counts, dealer, median)
 
 
 def recent_sales(auctions: DataFrame, run_date: str, days: int = fixed.SALES_DAYS) -> DataFrame:
@@ -143,7 +143,7 @@ def recent_sales(auctions: DataFrame, run_date: str, days: int = fixed.SALES_DAY
 def recent_sales_summary(auctions: DataFrame, run_date: str, days: int = fixed.SALES_DAYS) -> DataFrame:
     recent = recent_sales(auctions, run_date, days)
     stats = price_stats(recent, [], "price").select(F.col("median_price").alias("sale_median"))
-    return _one_row(recent.agg(F.count("*").alias("sales")), stats)
+    return one_row(recent.agg(F.count("*").alias("sales")), stats)
 
 
 def top_sales(auctions: DataFrame, k: int = fixed.TOP_SALES) -> DataFrame:
@@ -176,7 +176,7 @@ def stats_row(auctions: DataFrame, listings: DataFrame, run_date: str) -> DataFr
     totals = market_totals(auctions, listings)
     recent = recent_sales_summary(auctions, run_date)
     windows = window_counts(auctions, listings, run_date)
-    one = _one_row(totals, recent, windows)
+    one = one_row(totals, recent, windows)
     return one.select(
         F.lit(run_date).alias("date"),
         F.col("auction_records").alias("auctionRecords"),
