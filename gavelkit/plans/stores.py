@@ -17,17 +17,17 @@ query = Registry()
 QUERIES, ORACLES = query.queries, query.oracles
 
 
-def _last(f: str) -> str:
+def last_sql(f: str) -> str:
     return f"arg_max({f}, date || lpad(CAST(pos AS VARCHAR), 20, '0')) FILTER ({f} IS NOT NULL)"
 
 
 # --- catalog --------------------------------------------------------------------
 _CATALOG_SQL = f"""
 cat AS (
-  SELECT id, {_last('piece_name')} AS piece_name, {_last('category')} AS category, {_last('price_type')} AS price_type,
-         {_last('source_site')} AS source_site, {_last('notes')} AS notes,
+  SELECT id, {last_sql('piece_name')} AS piece_name, {last_sql('category')} AS category, {last_sql('price_type')} AS price_type,
+         {last_sql('source_site')} AS source_site, {last_sql('notes')} AS notes,
          arg_min_null(price, date || lpad(CAST(pos AS VARCHAR), 20, '0')) AS first_price,
-         {_last('price')} AS current_price, min(price) AS min_price, max(price) AS max_price,
+         {last_sql('price')} AS current_price, min(price) AS min_price, max(price) AS max_price,
          min(date) AS first_seen, max(date) AS last_seen, count(DISTINCT date) AS times_seen,
          CASE WHEN max(date) = (SELECT max(date) FROM sightings) THEN 'active' ELSE 'inactive' END AS status
   FROM sightings GROUP BY id)"""
@@ -77,8 +77,8 @@ _KEY = "date || lpad(CAST(pos AS VARCHAR), 20, '0')"
 _UPSERT_SQL = f"""
 , named AS (SELECT *, 'feed-' || (pos % 4) AS feed FROM sightings),
 merged AS (
-  SELECT id, {_last('piece_name')} AS piece_name, {_last('category')} AS category, {_last('notes')} AS notes,
-         {_last('price')} AS sold_price, max(date) AS sale_date, arg_min(feed, {_KEY}) AS source,
+  SELECT id, {last_sql('piece_name')} AS piece_name, {last_sql('category')} AS category, {last_sql('notes')} AS notes,
+         {last_sql('price')} AS sold_price, max(date) AS sale_date, arg_min(feed, {_KEY}) AS source,
          CASE WHEN min(date) <= '{_MID}' THEN '{_MID}' ELSE '{_END}' END AS first_captured
   FROM named GROUP BY id)
 SELECT id, piece_name, category, notes, sold_price, sale_date, source, first_captured,
@@ -146,8 +146,8 @@ _DAYS_SQL = ", ".join(f"'{d}'" for d in _RUNS)
     with_views(
         f"""
 SELECT id, min(date) AS first_seen, max(date) AS last_seen, CAST(count(DISTINCT date) AS INTEGER) AS times_seen,
-       CASE WHEN max(date) = '{_RUNS[-1]}' THEN 'active' ELSE 'inactive' END AS status, {_last('price')} AS asking_price,
-       {_last('notes')} AS notes
+       CASE WHEN max(date) = '{_RUNS[-1]}' THEN 'active' ELSE 'inactive' END AS status, {last_sql('price')} AS asking_price,
+       {last_sql('notes')} AS notes
 FROM sightings WHERE date IN ({_DAYS_SQL}) GROUP BY id""",
         SIGHTINGS_SQL,
     )

@@ -7,24 +7,25 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, StringType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from gavelkit.operators.store import store_order, with_auction_key, with_listing_key
 from gavelkit.schemas import AUCTION, SIGHTING, STATS, conform
 
 
 def scan_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The objects of a JSON array file; no rows if the file is missing, broken or no array."""
-    broken = "_broken"
-    wide = StructType([*schema.fields, StructField(broken, StringType())])
-    reader = spark.read.schema(wide).option("multiLine", True).option("mode", "PERMISSIVE")
+    """The objects of a JSON array file; no rows if the file is missing, broken or no array.
+
+    These files are exports of small stores and hold one array each. Big stores are Parquet.
+    """
     try:
-        rows = reader.option("columnNameOfCorruptRecord", broken).json(path)
+        files = spark.read.option("wholetext", True).text(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    return rows.where(F.col(broken).isNull()).drop(broken)
+    is_array = F.schema_of_variant(F.try_parse_json("value")).startswith("ARRAY")
+    return files.where(is_array).select(F.inline(F.from_json("value", ArrayType(schema))))
 
 
 def _store_shape(schema: StructType) -> StructType:
