@@ -3,7 +3,8 @@
 A group may hold a third of all rows, so no group is sorted or collected in one task.
 The first pass counts rows per (group, bucket), where a bucket is a narrow slice of the
 value range; partial aggregation shrinks this before the shuffle to a few thousand rows
-per group. Running counts over the buckets tell which bucket holds each wanted rank.
+per group. The counts are written once, so what follows from them is planned with a known
+size. Running counts over the buckets tell which bucket holds each wanted rank.
 The second pass reads only the rows of those buckets, counts them per distinct value and
 finds the value at the rank.
 """
@@ -125,7 +126,7 @@ def price_stats(
         one = rows.withColumn("_all", F.lit(1))
         return price_stats(one, ["_all"], value, percentiles).drop("_all")
     src, counts = _slice_counts(rows, keys, value)
-    located = pinned(_locate(counts, keys, percentiles), "ranks")
+    located = _locate(counts, keys, percentiles)
     inside = _inside(src, located.select(*keys, "_slice"), keys)
     return _read_ranks(located, inside, keys, percentiles)
 
@@ -143,18 +144,18 @@ def price_stats_and_overall(
     slices wanted for all rows are read together with those wanted for the groups.
     """
     src, counts = _slice_counts(rows, keys, value)
-    located = pinned(_locate(counts, keys, percentiles), "ranks")
+    located = _locate(counts, keys, percentiles)
     together = counts.groupBy(F.lit(1).alias("_all"), "_slice").agg(
         F.sum("_n").alias("_n"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")
     )
     # at most two slices for the median and one for each percentile
-    everywhere = pinned(_locate(together, ["_all"], overall_percentiles), "ranks")
+    everywhere = _locate(together, ["_all"], overall_percentiles)
     wanted = (
         counts.join(everywhere.select("_slice").distinct(), "_slice", "left_semi")
         .select(*keys, "_slice")
         .unionByName(located.select(*keys, "_slice"))
     )
-    inside = pinned(_inside(src, pinned(wanted, "slices"), keys), "values")
+    inside = pinned(_inside(src, wanted, keys), "values")
     by_group = _read_ranks(located, inside, keys, percentiles)
     across = (
         inside.join(everywhere.select("_slice").distinct(), "_slice", "left_semi")

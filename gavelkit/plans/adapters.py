@@ -14,6 +14,7 @@ from gavelkit.functions import fixed
 from gavelkit.functions.dates import day_text
 from gavelkit.functions.fx import usd_price
 from gavelkit.functions.text import tags_of
+from gavelkit.session import pinned
 
 RUN_DATE = "2001-08-01"
 RUN_YEAR = 2001
@@ -101,6 +102,11 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both stores written out once, for jobs that read them many times."""
+    return pinned(sales(spark, sf_dir), "sales"), pinned(listings(spark, sf_dir), "listings")
+
+
 def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gavelkit.functions.dates import days_before
 from gavelkit.operators import digest, flags, stats
-from gavelkit.plans.adapters import LISTINGS_SQL, RUN_DATE, SALES_SQL, listings, median_sql, sales, with_views
+from gavelkit.plans.adapters import LISTINGS_SQL, RUN_DATE, SALES_SQL, listings, median_sql, sales, stored, with_views
 from gavelkit.plans.market import FLAGS_SQL
 from gavelkit.plans.registry import Registry
 from gavelkit.plans.texts import comma_sql
@@ -15,10 +15,6 @@ query = Registry()
 QUERIES, ORACLES = query.queries, query.oracles
 
 
-def _stores(spark, sf_dir):
-    return sales(spark, sf_dir), listings(spark, sf_dir)
-
-
 _FIGURES = f"""
 figures AS (
   SELECT (SELECT count(*) FROM sales) AS auctionRecords, count(*) AS dealerRecords,
@@ -33,7 +29,7 @@ figures AS (
 
 @query(with_views(f"SELECT '{RUN_DATE}' AS date, * EXCLUDE (recent_sales) FROM figures", SALES_SQL, LISTINGS_SQL, _FIGURES))
 def stats_row(spark, sf_dir):
-    return stats.stats_row(*_stores(spark, sf_dir), RUN_DATE)
+    return stats.stats_row(*stored(spark, sf_dir), RUN_DATE)
 
 
 _N = lambda c: f"format('{{:,}}', {c})"
@@ -52,20 +48,20 @@ FROM figures""",
     )
 )
 def digest_headline(spark, sf_dir):
-    a, d = _stores(spark, sf_dir)
+    a, d = stored(spark, sf_dir)
     return digest.headline(a, d, flags.market_flags(a, d), RUN_DATE)
 
 
 @query()
 def digest_lines(spark, sf_dir):
-    a, d = _stores(spark, sf_dir)
+    a, d = stored(spark, sf_dir)
     out = digest.digest(a, d, flags.market_flags(a, d), RUN_DATE)
     return out.orderBy("section_no", "part", "rank", "tie")
 
 
 @query()
 def digest_context(spark, sf_dir):
-    return digest.context(*_stores(spark, sf_dir), RUN_DATE)
+    return digest.context(*stored(spark, sf_dir), RUN_DATE)
 
 
 def _money_row(*cells: str) -> str:
@@ -121,4 +117,4 @@ SELECT part, {_money_row('tag', 'CAST(n AS VARCHAR)', _dollars('lo'), _dollars('
     )
 )
 def digest_trends(spark, sf_dir):
-    return digest.trends(*_stores(spark, sf_dir)).select("part", "line")
+    return digest.trends(*stored(spark, sf_dir)).select("part", "line")

@@ -9,7 +9,7 @@ from gavelkit.functions.dates import days_before
 from gavelkit.operators import alerts, flags, stats
 from gavelkit.operators.ranks import price_stats
 from gavelkit.plans.adapters import (
-    LISTINGS_SQL, RUN_DATE, SALES_SQL, SIGHTINGS_SQL, listings, median_sql, sales, sightings, table, with_views,
+    LISTINGS_SQL, RUN_DATE, SALES_SQL, SIGHTINGS_SQL, listings, median_sql, sales, sightings, stored, table, with_views,
 )
 from gavelkit.plans.registry import Registry
 
@@ -336,7 +336,7 @@ FLAGS_SQL = (
 
 @query(with_views("SELECT * FROM flags", SALES_SQL, LISTINGS_SQL, *FLAGS_SQL))
 def price_anomaly_flags(spark, sf_dir):
-    return flags.market_flags(sales(spark, sf_dir), listings(spark, sf_dir))
+    return flags.market_flags(*stored(spark, sf_dir))
 
 
 @query(
@@ -346,7 +346,7 @@ def price_anomaly_flags(spark, sf_dir):
     )
 )
 def cheapest_flags(spark, sf_dir):
-    found = flags.market_flags(sales(spark, sf_dir), listings(spark, sf_dir))
+    found = flags.market_flags(*stored(spark, sf_dir))
     return flags.cheapest_flags(found).select("id", "type", "price", "source", "reason")
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from gavelkit import schemas
 from gavelkit.operators import browse, catalog, flags, ingest, paging, store
 from gavelkit.plans.adapters import (
-    DEMO_TAGS, LISTINGS_SQL, SALES_SQL, SCAN_DATE, SIGHTINGS_SQL, demo_tags_sql, listings, sales, sightings, table,
-    with_views,
+    DEMO_TAGS, LISTINGS_SQL, SALES_SQL, SCAN_DATE, SIGHTINGS_SQL, demo_tags_sql, listings, sales, sightings, stored,
+    table, with_views,
 )
 from gavelkit.plans.market import FLAGS_SQL
 from gavelkit.plans.registry import Registry
@@ -462,7 +462,7 @@ LEFT JOIN flags f ON b.listing_url = f.url GROUP BY b.id, b.type, b.price""",
     )
 )
 def browse_with_flags(spark, sf_dir):
-    a, d = sales(spark, sf_dir), listings(spark, sf_dir)
+    a, d = stored(spark, sf_dir)
     rows = browse.with_flags(browse.browse_union(a, d), flags.market_flags(a, d))
     reason = F.array_min(F.transform("flags", lambda f: f["reason"]))
     return rows.select(
