@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -31,6 +32,17 @@ def ascii_bounds(pattern: str) -> str:
     return "".join(out)
 
 
+def word_pattern(pattern: str) -> str:
+    """A case-insensitive pattern in which all whole-word alternatives share one boundary test."""
+    parts = pattern.split("|") if "(" not in pattern else [pattern]
+    words = [p[2:-2] for p in parts if re.fullmatch(r"\\b[A-Za-z]+\\b", p)]
+    rest = [ascii_bounds(p) for p in parts if not re.fullmatch(r"\\b[A-Za-z]+\\b", p)]
+    if words:
+        rest.append(f"{_NOT_WORD_BEFORE}(?:{'|'.join(words)}){_NOT_WORD_AFTER}")
+    # only a pattern with accents needs the slower folding of all letters
+    return ("(?i)" if pattern.isascii() else "(?iu)") + "|".join(rest)
+
+
 def tidy(c: Column) -> Column:
     """Strip white space of any kind from both ends."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -198,7 +210,7 @@ def decade_of(era: Column) -> Column:
 def tags_of(text: Column, era: Column, rules: list[tuple[str, str]] | None = None) -> Column:
     """The tags whose rules match, in rule order, then the decade."""
     hay = F.coalesce(text, F.lit(""))
-    found = [F.when(hay.rlike("(?iu)" + ascii_bounds(p)), F.lit(tag)) for tag, p in rules or fixed.TAG_RULES]
+    found = [F.when(hay.rlike(word_pattern(p)), F.lit(tag)) for tag, p in rules or fixed.TAG_RULES]
     return F.array_compact(F.array(*found, decade_of(era)))
 
 

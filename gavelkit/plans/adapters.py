@@ -14,7 +14,7 @@ from gavelkit.functions import fixed
 from gavelkit.functions.dates import day_text
 from gavelkit.functions.fx import usd_price
 from gavelkit.functions.text import tags_of
-from gavelkit.session import pinned
+from gavelkit.session import pinned, spread
 
 RUN_DATE = "2001-08-01"
 RUN_YEAR = 2001
@@ -36,8 +36,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for costly work per row: parsing, patterns, long texts."""
+    return spread(table(spark, sf_dir, name))
+
+
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, customer, nation = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    orders = spread_table(spark, sf_dir, "orders")
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     raw = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         nation, customer.c_nationkey == nation.n_nationkey
     )
@@ -71,7 +77,8 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line, part, supplier = (table(spark, sf_dir, t) for t in ("lineitem", "part", "supplier"))
+    line = spread_table(spark, sf_dir, "lineitem")
+    part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
     raw = line.join(part, line.l_partkey == part.p_partkey).join(supplier, line.l_suppkey == supplier.s_suppkey)
     key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     seen = F.col("l_shipdate").cast("date")

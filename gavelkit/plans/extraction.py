@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gavelkit.plans.adapters import table
+from gavelkit.plans.adapters import spread_table, table
 from gavelkit.plans.registry import Registry
 from gavelkit.sources.extract import feeds, hits, html, state, text
 
@@ -27,11 +27,11 @@ def _cat(*parts):
 
 
 def _part(spark, sf_dir):
-    return table(spark, sf_dir, "part").withColumn("page", col("p_partkey"))
+    return spread_table(spark, sf_dir, "part").withColumn("page", col("p_partkey"))
 
 
 def _orders(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").withColumn("day", col("o_orderdate").cast("date").cast("string"))
+    o = spread_table(spark, sf_dir, "orders").withColumn("day", col("o_orderdate").cast("date").cast("string"))
     return o.withColumn("page", col("o_orderkey"))
 
 
@@ -381,7 +381,7 @@ WITH c AS (SELECT conv_id, turn, conv_id % 4 AS k FROM conversations)
 SELECT conv_id, turn, 'piece ' || turn AS piece_name, CASE WHEN k = 3 THEN '' ELSE '12.5' END AS price, '' AS notes FROM c"""
 )
 def text_json_arrays(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations")
+    c = spread_table(spark, sf_dir, "conversations")
     k = col("conv_id") % 4
     array = _cat('[{"piece_name": "piece ', _s("turn"), '", "price": 12.5}, 7]')
     short = _cat('[{"piece_name": "piece ', _s("turn"), '", "note": "a ] in text"}]')

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from gavelkit.functions import fixed
 from gavelkit.operators import profiling as pf
-from gavelkit.plans.adapters import table
+from gavelkit.plans.adapters import spread_table, table
 from gavelkit.plans.registry import Registry
 
 query = Registry()
@@ -26,7 +26,7 @@ def _count_sql(needle: str) -> str:
     + " FROM p"
 )
 def page_signal_counts(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").select("page_id", "html")
+    rows = spread_table(spark, sf_dir, "pages").select("page_id", "html")
     return pf.signal_counts(rows, "html", _NEEDLES).drop("html")
 
 
@@ -37,7 +37,7 @@ _BODY_SQL = "html || CASE WHEN page_id % 13 = 0 THEN ' Press & Hold ' WHEN page_
 def _walled(spark, sf_dir):
     k = F.col("page_id") % 13
     extra = F.when(k == 0, " Press & Hold ").when(k == 1, " Please verify you are human").otherwise("")
-    return table(spark, sf_dir, "pages").select(
+    return spread_table(spark, sf_dir, "pages").select(
         "page_id", "url", F.when(F.col("page_id") % 17 == 0, 404).otherwise(200).alias("status"),
         F.concat("html", extra).alias("html"),
     )
@@ -69,7 +69,7 @@ SELECT page_id, contains(html, '__NEXT_DATA__') AS has_next_data, contains(html,
        trim(regexp_extract(html, '(?i)<title>([^<]*)</title>', 1)) AS title FROM pages"""
 )
 def page_features(spark, sf_dir):
-    out = table(spark, sf_dir, "pages").select("page_id", *pf.page_features(F.col("html")))
+    out = spread_table(spark, sf_dir, "pages").select("page_id", *pf.page_features(F.col("html")))
     return out.withColumn("sample_prices", F.array_join("sample_prices", " "))
 
 
@@ -87,7 +87,7 @@ FROM t"""
 )
 def product_page_facts(spark, sf_dir):
     html = F.concat(F.col("html"), F.lit("<p>Sold by: Alpha & Sons</p><b>$1,234.50</b>"))
-    out = table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+    out = spread_table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
     out = out.select("page_id", *pf.product_facts(F.col("html"), _KEYWORDS))
     return out.withColumn("keywords", F.array_join("keywords", " "))
 
@@ -100,7 +100,7 @@ _PHRASES = ["not be sold", "third part", "and the", "eau", "über"]
 SELECT doc_id, phrase, contains(lower(text), phrase) AS present FROM documents, (SELECT unnest({_PHRASES!r}) AS phrase)"""
 )
 def phrase_audit(spark, sf_dir):
-    return pf.phrase_audit(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", _PHRASES)
+    return pf.phrase_audit(spread_table(spark, sf_dir, "documents").select("doc_id", "text"), "text", _PHRASES)
 
 
 @query(
@@ -115,7 +115,7 @@ def outbound_hosts(spark, sf_dir):
         F.lit('<a class="x" href="https://www.partner'), (F.col("page_id") % 3).cast("string"),
         F.lit('.example.org/a">Partner</a><a href="https://www.google.com/q">search</a><a href="mailto:x@y.example">mail</a>'),
     )
-    rows = table(spark, sf_dir, "pages").select("page_id", "url", F.concat("html", extra).alias("html"))
+    rows = spread_table(spark, sf_dir, "pages").select("page_id", "url", F.concat("html", extra).alias("html"))
     return pf.outbound_hosts(rows, "html", "url").select("page_id", "host", "rank", "sample")
 
 
@@ -133,7 +133,7 @@ SELECT doc_id, needle, CAST(hit AS INTEGER) AS hit, CAST(pos AS BIGINT) AS "at",
 
 @query(_KIC)
 def keyword_in_context(spark, sf_dir):
-    out = pf.keyword_in_context(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", ["the", "eau"])
+    out = pf.keyword_in_context(spread_table(spark, sf_dir, "documents").select("doc_id", "text"), "text", ["the", "eau"])
     return out.withColumn("context", F.md5(F.col("context").cast("binary")))
 
 
@@ -144,7 +144,7 @@ SELECT page_id, needle, list_filter(hrefs, lambda h: contains(lower(h), lower(ne
 )
 def href_for_id(spark, sf_dir):
     needle = F.element_at(F.array(F.lit("la"), F.lit("TH"), F.lit("zz")), (F.col("page_id") % 3 + 1).cast("int"))
-    return table(spark, sf_dir, "pages").select(
+    return spread_table(spark, sf_dir, "pages").select(
         "page_id", needle.alias("needle"), pf.href_with(F.col("html"), needle).alias("href")
     )
 
@@ -157,7 +157,7 @@ SELECT page_id, CAST(len(tags) AS BIGINT) AS scripts, CAST(2 AS BIGINT) AS marke
 )
 def script_tag_inventory(spark, sf_dir):
     extra = '<script id="s1" defer><script type="application/json"><script type="text/javascript">'
-    rows = table(spark, sf_dir, "pages").select("page_id", F.concat("html", F.lit(extra)).alias("html"))
+    rows = spread_table(spark, sf_dir, "pages").select("page_id", F.concat("html", F.lit(extra)).alias("html"))
     out = rows.select("page_id", *pf.script_tags(F.col("html")))
     return out.withColumn("attributes", F.array_join("attributes", " | "))
 
@@ -172,7 +172,7 @@ FROM pages""".replace("       array_to_string(list_distinct(regexp_extract_all(h
 )
 def page_link_sample(spark, sf_dir):
     cols = pf.result_page_links(F.col("html"), r"(?i)article>", r'(?i)href="/[a-m][^"]*"', r'(?i)href="/[^"]*"')
-    out = table(spark, sf_dir, "pages").select("page_id", *cols)
+    out = spread_table(spark, sf_dir, "pages").select("page_id", *cols)
     return out.select("page_id", "count_text", F.array_join("paging", " ").alias("paging"), F.size("details").alias("n_details"))
 
 
@@ -183,7 +183,7 @@ SELECT page_id, script_no, length(script) AS chars FROM (
   FROM (SELECT page_id, regexp_extract_all(html, '(?i)<script\\b[^>]*>([\\s\\S]*?)</script>', 1) AS s FROM pages)) WHERE length(script) > 22"""
 )
 def large_scripts(spark, sf_dir):
-    out = pf.large_scripts(table(spark, sf_dir, "pages").select("page_id", "html"), "html", at_least=22)
+    out = pf.large_scripts(spread_table(spark, sf_dir, "pages").select("page_id", "html"), "html", at_least=22)
     return out.select("page_id", "script_no", F.length("script").cast("bigint").alias("chars"))
 
 
@@ -199,7 +199,7 @@ def split_sections(spark, sf_dir):
     body = F.when(k == 0, F.col("text")).otherwise(
         F.concat(F.lit("==A=="), "text", F.when(k == 1, " ==B== tail ").otherwise(""))
     )
-    rows = table(spark, sf_dir, "documents").select("doc_id", body.alias("t"))
+    rows = spread_table(spark, sf_dir, "documents").select("doc_id", body.alias("t"))
     out = rows.select("doc_id", *pf.split_sections(F.col("t"), [("a", "==A=="), ("b", "==B==")]))
     return out.withColumn("a", F.md5(F.col("a").cast("binary")))
 
@@ -211,7 +211,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY pos) AS rn FROM c)
 SELECT site, pos, CAST(CASE WHEN length(post_data) > 4000 THEN 4014 ELSE length(post_data) END AS INTEGER) AS chars FROM r WHERE rn <= 60"""
 )
 def landing_cap(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").select(
+    rows = spread_table(spark, sf_dir, "pages").select(
         F.regexp_extract("url", r"example\.[a-z]+", 0).alias("site"), F.col("page_id").alias("pos"), F.col("html").alias("post_data")
     )
     return pf.landing_cap(rows, ["site"]).select("site", "pos", F.length("post_data").alias("chars"))
@@ -233,7 +233,7 @@ WITH c AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'https://api.mixpanel.
 )
 def capture_filter(spark, sf_dir):
     k5, k3 = F.col("page_id") % 5, F.col("page_id") % 3
-    p = table(spark, sf_dir, "pages").select(
+    p = spread_table(spark, sf_dir, "pages").select(
         "page_id",
         F.when(k5 == 0, "https://api.mixpanel.com/x").when(k5 == 1, F.concat("url", F.lit("/r.data"))).otherwise(F.col("url")).alias("url"),
         F.when(F.col("page_id") % 4 == 0, "application/JSON").otherwise("text/html").alias("content_type"),
@@ -264,7 +264,7 @@ def _shape_body():
 SELECT event_id, 'results,page,props' AS top_keys, 'results:1 [nested].[nested].hits:3' AS arrays, 'page=2 nbHits=' || user_id AS paging FROM events"""
 )
 def json_shape_profile(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", _shape_body().alias("body"))
+    rows = spread_table(spark, sf_dir, "events").select("event_id", _shape_body().alias("body"))
     out = pf.json_shape(rows, "body")
     return out.select(
         "event_id", "top_keys", F.array_join("arrays", " ").alias("arrays"), F.array_join("paging", " ").alias("paging")
@@ -282,7 +282,7 @@ def lot_objects(spark, sf_dir):
         F.lit(',"inner":{"lotNumber":1,"salePrice":2}}}'),
     )
     body = F.concat(F.lit('{"a":{"lotNumber":1},"page":{"list":['), lot(0), F.lit(","), lot(1), F.lit("]}}"))
-    rows = table(spark, sf_dir, "events").select("event_id", body.alias("body"))
+    rows = spread_table(spark, sf_dir, "events").select("event_id", body.alias("body"))
     out = pf.lot_objects(rows, "body", depth=6)
     v = F.try_parse_json("lot")
     return out.select(

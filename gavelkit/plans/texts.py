@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gavelkit.functions import dates, fixed, numbers, text
-from gavelkit.plans.adapters import LISTINGS_SQL, SALES_SQL, listings, sales, table, with_views
+from gavelkit.plans.adapters import LISTINGS_SQL, SALES_SQL, listings, sales, spread_table, table, with_views
 from gavelkit.plans.pairs import TOKENS_SQL
 from gavelkit.plans.registry import Registry
 
@@ -21,12 +21,12 @@ def comma_sql(x: str) -> str:
 
 @query(f"SELECT page_id, {NORM_URL_SQL} AS norm FROM pages")
 def norm_url(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", text.norm_url(F.col("url")).alias("norm"))
+    return spread_table(spark, sf_dir, "pages").select("page_id", text.norm_url(F.col("url")).alias("norm"))
 
 
 @query("SELECT page_id, regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)), '^www\\.', '') AS host FROM pages")
 def domain_of(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", text.domain_of(F.col("url")).alias("host"))
+    return spread_table(spark, sf_dir, "pages").select("page_id", text.domain_of(F.col("url")).alias("host"))
 
 
 @query(
@@ -45,7 +45,7 @@ SELECT page_id,
 FROM u"""
 )
 def record_keys(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").select(
+    p = spread_table(spark, sf_dir, "pages").select(
         "page_id",
         F.when(F.col("page_id") % 3 == 0, F.col("url")).otherwise("").alias("url"),
         F.concat(F.lit("  The  House "), (F.col("page_id") % 7).cast("string")).alias("house"),
@@ -67,7 +67,7 @@ SELECT event_id, CASE WHEN value >= 50 THEN value END AS plausible, CASE WHEN va
        CASE WHEN event_id % 2 = 0 THEN CAST(event_id AS DOUBLE) END AS parsed FROM events"""
 )
 def plausible_price(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
+    e = spread_table(spark, sf_dir, "events")
     mixed = F.when(F.col("event_id") % 2 == 0, F.col("event_id").cast("string")).when(
         F.col("event_id") % 3 == 0, F.lit("NaN")
     ).otherwise("n/a")
@@ -91,7 +91,7 @@ SELECT page_id, md5({_chain('html', text._ENTITIES_A)}) AS once, md5({_chain('ht
 )
 def decode_entities(spark, sf_dir):
     html = F.concat(F.col("html"), F.lit("&amp;lt;&quot;&#039;&amp;#039;"))
-    return table(spark, sf_dir, "pages").select(
+    return spread_table(spark, sf_dir, "pages").select(
         "page_id",
         F.md5(text.decode_entities(html, "A").cast("binary")).alias("once"),
         F.md5(text.decode_entities(html, "B").cast("binary")).alias("twice"),
@@ -110,7 +110,7 @@ FROM pages"""
 )
 def html_to_text(spark, sf_dir):
     html = F.col("html")
-    return table(spark, sf_dir, "pages").select(
+    return spread_table(spark, sf_dir, "pages").select(
         "page_id",
         F.md5(text.strip_tags(html, "A").cast("binary")).alias("strip_a"),
         F.md5(text.strip_tags(html, "B").cast("binary")).alias("strip_b"),
@@ -137,11 +137,11 @@ SELECT doc_id, {_category_sql('A')} AS cat_a, {_category_sql('B')} AS cat_b, {_c
 )
 def categorize_text(spark, sf_dir):
     words = F.array(*[F.lit(w) for w in ("Cufflinks", "cuff", "pin", "hoop", "earclip", "Pendant")])
-    part = table(spark, sf_dir, "part").select(
+    part = spread_table(spark, sf_dir, "part").select(
         (-1 - F.col("p_partkey")).alias("doc_id"),
         F.concat_ws(" ", "p_name", F.element_at(words, (F.col("p_partkey") % 6 + 1).cast("int"))).alias("text"),
     )
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(part)
+    rows = spread_table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(part)
     return rows.select("doc_id", *[text.category_of(F.col("text"), v).alias(f"cat_{v.lower()}") for v in "ABC"])
 
 
@@ -160,7 +160,7 @@ def _era_text():
 SELECT doc_id, trim(regexp_extract({_ERA_TEXT}, '(?i)\\b(circa\\s*)?(19\\d0s|19\\d{{2}}|20\\d{{2}})\\b', 0)) AS era FROM documents"""
 )
 def era_of_text(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.era_of(_era_text()).alias("era"))
+    return spread_table(spark, sf_dir, "documents").select("doc_id", text.era_of(_era_text()).alias("era"))
 
 
 @query(
@@ -169,7 +169,7 @@ WITH y AS (SELECT doc_id, regexp_extract({_ERA_TEXT}, '\\b(19[4-9]\\d)s?\\b', 1)
 SELECT doc_id, CASE WHEN y <> '' THEN substr(y, 1, 3) || '0s' END AS decade FROM y"""
 )
 def decade_of(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.decade_of(_era_text()).alias("decade"))
+    return spread_table(spark, sf_dir, "documents").select("doc_id", text.decade_of(_era_text()).alias("decade"))
 
 
 _TAG_WORDS = ["Zodiac ring", "a LION, carved", "fish scale", "BOMBÉ dome", "door  knocker", "rock crystal cuff", "owls", "shell"]
@@ -186,7 +186,7 @@ def infer_tags(spark, sf_dir):
     words = F.array(*[F.lit(w) for w in _TAG_WORDS])
     body = F.concat_ws(" ", "text", F.element_at(words, (F.col("doc_id") % len(_TAG_WORDS) + 1).cast("int")))
     tags = text.tags_of(body, F.lit(None).cast("string"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(tags, "; ").alias("tags"))
+    return spread_table(spark, sf_dir, "documents").select("doc_id", F.array_join(tags, "; ").alias("tags"))
 
 
 @query(
@@ -199,7 +199,7 @@ SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN 'CHF' END AS currency, CAS
 FROM m"""
 )
 def parse_money_text(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
+    o = spread_table(spark, sf_dir, "orders")
     low, high = F.floor("o_totalprice"), F.floor(F.col("o_totalprice") * 1.5)
     lo, hi = F.format_number(low, 0), F.format_number(high, 0)
     kind = F.col("o_orderkey") % 3
@@ -224,7 +224,7 @@ SELECT event_id, strftime(ts, '%Y-%m-%d') AS from_seconds, strftime(ts, '%Y-%m-%
        strftime(ts, '%Y-%m-%d') AS from_text, strftime(ts, '%Y-%m') AS from_path, CAST(NULL AS VARCHAR) AS from_junk FROM events"""
 )
 def parse_dates(spark, sf_dir):
-    e = table(spark, sf_dir, "events")
+    e = spread_table(spark, sf_dir, "events")
     secs = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
     return e.select(
         "event_id",
@@ -275,12 +275,12 @@ def format_money(spark, sf_dir):
 @query("SELECT doc_id, upper(substr(t, 1, 1)) || substr(t, 2) AS text FROM (SELECT doc_id, lower(substr(text, 1, 40)) AS t FROM documents)")
 def capitalize(spark, sf_dir):
     low = F.lower(F.left("text", F.lit(40)))
-    return table(spark, sf_dir, "documents").select("doc_id", text.capital(low).alias("text"))
+    return spread_table(spark, sf_dir, "documents").select("doc_id", text.capital(low).alias("text"))
 
 
 @query("SELECT event_id, greatest(50.0::DOUBLE, ceil(value * 1.15::DOUBLE / 50.0::DOUBLE) * 50.0::DOUBLE) AS axis FROM events")
 def nice_ceil(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", numbers.axis_ceiling(F.col("value"), 50).alias("axis"))
+    return spread_table(spark, sf_dir, "events").select("event_id", numbers.axis_ceiling(F.col("value"), 50).alias("axis"))
 
 
 @query(
@@ -304,7 +304,7 @@ def derive_status(spark, sf_dir):
 @query(f"SELECT doc_id, CAST(len({TOKENS_SQL}) AS INTEGER) AS n_tokens, md5(array_to_string(list_sort({TOKENS_SQL}), ' ')) AS tokens FROM documents")
 def tokenize(spark, sf_dir):
     tokens = text.title_tokens(F.col("text"))
-    d = table(spark, sf_dir, "documents").select("doc_id", tokens.alias("t"))
+    d = spread_table(spark, sf_dir, "documents").select("doc_id", tokens.alias("t"))
     return d.select("doc_id", F.size("t").alias("n_tokens"), F.md5(F.array_join(F.array_sort("t"), " ").cast("binary")).alias("tokens"))
 
 
@@ -316,7 +316,7 @@ p AS (SELECT a.doc_id AS id_a, b.doc_id AS id_b, len(list_intersect(a.tok, b.tok
 SELECT id_a, id_b, CASE WHEN na = 0 OR nb = 0 THEN 0 ELSE CAST(shared AS DOUBLE) / (na + nb - shared) END AS sim FROM p"""
 )
 def jaccard(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", text.title_tokens(F.col("text")).alias("t"))
+    d = spread_table(spark, sf_dir, "documents").select("doc_id", text.title_tokens(F.col("text")).alias("t"))
     a = d.select(F.col("doc_id").alias("id_a"), F.col("t").alias("ta"))
     b = d.select((F.col("doc_id") - 1).alias("id_a"), F.col("doc_id").alias("id_b"), F.col("t").alias("tb"))
     return a.join(b, "id_a").select("id_a", "id_b", text.jaccard(F.col("ta"), F.col("tb")).alias("sim"))
@@ -344,6 +344,6 @@ def normalize_phone(spark, sf_dir):
 
 @query("SELECT doc_id, lang, source FROM documents WHERE regexp_matches(lower(concat_ws(' ', source, lang, text)), 'src1[0-9]?\\s*(en|fr)')")
 def relevance_filter(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = spread_table(spark, sf_dir, "documents")
     keep = text.brand_match(r"src1[0-9]?\s*(en|fr)", F.col("source"), F.col("lang"), F.col("text"))
     return d.where(keep).select("doc_id", "lang", "source")

@@ -59,3 +59,12 @@ def pinned(df: DataFrame, label: str = "pin") -> DataFrame:
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for per-row work on an input that is read in fewer splits than there are cores.
+
+    A big input has far more splits than cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

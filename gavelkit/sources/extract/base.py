@@ -40,6 +40,14 @@ def items_of(raw: DataFrame, items: Column) -> DataFrame:
     return raw.select(*keep, F.posexplode(items).alias("item", "it"))
 
 
+def computed_once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is costly to compute and used several times.
+
+    Exploding a one-element array keeps the optimizer from copying the expression into each use.
+    """
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _shaped(rows: DataFrame, values: dict[str, Column], shape) -> DataFrame:
     kept = [c for c in PROVENANCE if c in rows.columns]
     out = []

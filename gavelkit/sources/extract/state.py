@@ -13,7 +13,7 @@ from gavelkit.functions.dates import day_of_unix_seconds
 from gavelkit.functions.numbers import locale_number, positive
 from gavelkit.functions.text import blank_to_null, brand_match, category_of, era_of, join_parts
 from gavelkit.operators.profiling import lot_objects
-from gavelkit.sources.extract.base import PROVENANCE, auction_rows, items_of, listing_rows, price_type
+from gavelkit.sources.extract.base import PROVENANCE, auction_rows, computed_once, listing_rows, price_type
 
 _SIGNS = re.compile(r"\\.|[\"'{}]", re.S)
 
@@ -58,17 +58,19 @@ def as_json(literal: Column) -> Column:
     return F.regexp_replace(literal, r":(\s*)undefined(?![A-Za-z0-9_])", ":$1null")
 
 
-def inline_state(html: Column, name: str) -> Column:
-    """The object assigned to ``window.name``, as text, or null.
+def with_inline_state(rows: DataFrame, html: str, name: str) -> DataFrame:
+    """Add ``state``: the object assigned to ``window.name`` as text, or null.
 
     A script that holds nothing else is cut with a pattern inside the JVM. Only other pages
     that have the marker are scanned in Python.
     """
     marker = f"window.{name}="
     whole = F.regexp_extract(html, re.escape(marker) + r"\s{0,5}(\{[\s\S]*?\})\s*;?\s*</script>", 1)
-    quick = F.when(F.try_parse_json(as_json(whole)).isNotNull() & (whole != ""), whole)
-    rest = F.when(quick.isNull() & F.contains(html, F.lit(marker)), html)
-    return F.coalesce(quick, _scanner(marker, 5)(rest))
+    rows = computed_once(rows, "_whole", F.nullif(whole, F.lit("")))
+    rows = computed_once(rows, "_quick", F.when(F.try_parse_json(as_json(F.col("_whole"))).isNotNull(), F.col("_whole")))
+    rest = F.when(F.col("_quick").isNull() & F.contains(F.col(html), F.lit(marker)), F.col(html))
+    scanned = rows.withColumn("_scanned", _scanner(marker, 5)(rest))
+    return scanned.withColumn("state", F.coalesce("_quick", "_scanned")).drop("_whole", "_quick", "_scanned")
 
 
 # fixed values: the fields of a lot in a page state
@@ -82,8 +84,9 @@ _LOT = (
 def page_state(raw: DataFrame, name: str, site: str, brand: str, fallback: str = "itemSummary") -> DataFrame:
     """Lots anywhere in a page's state; if the state as a whole is broken, those of one named part."""
     keep = [c for c in PROVENANCE if c in raw.columns and c != "item"]
-    states = raw.select(*keep, inline_state(F.col("body"), name).alias("state")).where(F.col("state").isNotNull())
-    states = states.withColumn("json", as_json(F.col("state"))).withColumn("ok", F.try_parse_json("json").isNotNull())
+    states = with_inline_state(raw.select(*keep, "body"), "body", name).drop("body").where(F.col("state").isNotNull())
+    states = computed_once(states, "json", as_json(F.col("state")))
+    states = computed_once(states, "ok", F.try_parse_json("json").isNotNull())
     whole = lot_objects(states.where("ok").select(*keep, "json"), "json").select(
         *keep, F.lit(0).alias("item"), F.from_json("lot", _LOT).alias("it")
     )
