@@ -29,12 +29,16 @@ def letters(text: str) -> str:
 class LanguageModel:
     """``dictionaries``: text of each language. Texts are compressed in blocks of ``block`` bytes at ``level``.
 
+    A text of under ``primed`` bytes is compressed after ``primer`` bytes of the dictionary, whose own size is taken off:
+    alone, a short text would be stored as it is by every language.
     ``min_share``: a text is rejected if the best size is within this share of the second best; 0 rejects ties alone.
     """
 
     dictionaries: dict[str, bytes]
     level: int = 5
     block: int = 8192
+    primed: int = 512
+    primer: int = 200
     min_share: float = 0.0
 
     def compressors(self) -> list[tuple[str, zstandard.ZstdCompressor]]:
@@ -48,21 +52,24 @@ class LanguageModel:
     def classifier(self):
         """The function for one text: language, score, margin in bytes, rejected."""
         sized = self.compressors()
+        primers = [self.dictionaries[lang][: self.primer] + b" " for lang, _ in sized]
+        alone = [len(z.compress(p)) for (_, z), p in zip(sized, primers, strict=True)]
 
         def classify(text: str | None) -> tuple[str, float, int, bool]:
             raw = letters(text or "").encode()
             if not raw or not sized:
                 return "und", 0.0, 0, True
-            sizes = [0] * len(sized)
+            short = len(raw) < self.primed
+            sizes = [-x for x in alone] if short else [0] * len(sized)
             for at in range(0, len(raw), self.block):
                 part = raw[at : at + self.block]
                 for k, (_, z) in enumerate(sized):
-                    sizes[k] += len(z.compress(part))
+                    sizes[k] += len(z.compress(primers[k] + part if short else part))
             best = min(range(len(sized)), key=lambda k: (sizes[k], sized[k][0]))
-            second = min((s for k, s in enumerate(sizes) if k != best), default=2 * sizes[best] + 1)
+            second = min((s for k, s in enumerate(sizes) if k != best), default=2 * abs(sizes[best]) + 1)
             margin = second - sizes[best]
             score = 1 / sum(2.0 ** -min(s - sizes[best], 1000) for s in sizes)
-            return sized[best][0], score, margin, margin <= self.min_share * second
+            return sized[best][0], score, margin, margin <= max(0.0, self.min_share * second)
 
         return classify
 

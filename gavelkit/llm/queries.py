@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavelkit.llm import language, pieces, secret_scan, sharding, token_counts
+from gavelkit.llm import idfile, language, pieces, secret_scan, sharding, token_counts
 
 SHARDS, SHARD_KEY = 40, "shuffle-1"
 
@@ -57,6 +57,12 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("span")).alias("spans"))
 
 
+def op9_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = idfile.round_trip(spark, docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def _round(i: int, half: str, side: str) -> str:
     return f"CAST('0x' || substr(md5('{SHARD_KEY}:{i}:' || {half}), 1, 12) AS BIGINT) % {side}"
 
@@ -86,5 +92,5 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(p % {SHARDS} AS INTEGER) AS
 FROM numbered JOIN walk USING (n) WHERE step > 0 AND p < rows"""
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_pieces, op5_token_counts, op6_shards, op8_secrets)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_pieces, op5_token_counts, op6_shards, op8_secrets, op9_id_files)}
 ORACLES = {"op6_shards": _shards_sql()}
