@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavelkit.llm import idfile, language, pieces, secret_scan, sharding, token_counts
+from gavelkit.llm import idfile, language, pieces, secret_scan, sharding, token_counts, warc
 
 SHARDS, SHARD_KEY = 40, "shuffle-1"
 
@@ -63,6 +63,17 @@ def op9_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return records.select(
+        warc.page_number(F.col("record_id")).alias("page_id"),
+        F.col("payload_length").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        warc.page_number(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def _round(i: int, half: str, side: str) -> str:
     return f"CAST('0x' || substr(md5('{SHARD_KEY}:{i}:' || {half}), 1, 12) AS BIGINT) % {side}"
 
@@ -92,5 +103,12 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(p % {SHARDS} AS INTEGER) AS
 FROM numbered JOIN walk USING (n) WHERE step > 0 AND p < rows"""
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_pieces, op5_token_counts, op6_shards, op8_secrets, op9_id_files)}
-ORACLES = {"op6_shards": _shards_sql()}
+QUERIES = {f.__name__: f for f in (op1_language_id, op3_pieces, op5_token_counts, op6_shards, op8_secrets, op9_id_files, op10_warc)}
+_WARC_SQL = """
+WITH digits AS (SELECT page_id, html, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest FROM pages)
+SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, CAST(1 + 10 * (k // 8) AS INTEGER), 10) AS BIGINT) >> CAST(35 - 5 * (k % 8) AS INTEGER)) & 31 AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> largest THEN largest END AS refers_to
+FROM digits"""
+
+ORACLES = {"op6_shards": _shards_sql(), "op10_warc": _WARC_SQL}
