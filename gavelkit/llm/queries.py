@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavelkit.llm import idfile, language, pieces, secret_scan, sharding, token_counts, warc
+from gavelkit.llm import decontam, idfile, language, pieces, secret_scan, sharding, token_counts, warc
 
 SHARDS, SHARD_KEY = 40, "shuffle-1"
 
@@ -28,6 +28,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held.alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score", "language.margin", "language.rejected")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = pieces.with_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -103,7 +108,7 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(p % {SHARDS} AS INTEGER) AS
 FROM numbered JOIN walk USING (n) WHERE step > 0 AND p < rows"""
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op3_pieces, op5_token_counts, op6_shards, op8_secrets, op9_id_files, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_pieces, op5_token_counts, op6_shards, op8_secrets, op9_id_files, op10_warc)}
 _WARC_SQL = """
 WITH digits AS (SELECT page_id, html, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest FROM pages)
 SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
@@ -111,4 +116,16 @@ SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
   CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> largest THEN largest END AS refers_to
 FROM digits"""
 
-ORACLES = {"op6_shards": _shards_sql(), "op10_warc": _WARC_SQL}
+_DECONTAM_SQL = """
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[k:k + 12], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k FROM i WHERE len(w) > 0)),
+grams AS (SELECT r, k, n, array_to_string(w[k:k + n - 1], ' ') AS g FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hits AS (SELECT r, k, grams.n, item_id FROM grams JOIN win ON grams.g = win.g AND grams.n = win.n),
+per AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS p FROM hits) GROUP BY r),
+names AS (SELECT r, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS s FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN per USING (r) LEFT JOIN names USING (r)"""
+
+ORACLES = {"op2_decontamination": _DECONTAM_SQL, "op6_shards": _shards_sql(), "op10_warc": _WARC_SQL}
