@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavelkit.llm import decontam, idfile, language, pieces, secret_scan, sharding, token_counts, warc
+from gavelkit.llm import decontam, idfile, jaccard, language, pieces, secret_scan, sharding, token_counts, warc
 
 SHARDS, SHARD_KEY = 40, "shuffle-1"
 
@@ -53,6 +53,10 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = secret_scan.with_spans(docs).withColumn("span", F.arrays_zip("secrets.kind", "secrets.start", "secrets.end"))
@@ -108,7 +112,7 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(p % {SHARDS} AS INTEGER) AS
 FROM numbered JOIN walk USING (n) WHERE step > 0 AND p < rows"""
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_pieces, op5_token_counts, op6_shards, op8_secrets, op9_id_files, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_pieces, op5_token_counts, op6_shards, op7_jaccard, op8_secrets, op9_id_files, op10_warc)}
 _WARC_SQL = """
 WITH digits AS (SELECT page_id, html, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest FROM pages)
 SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
