@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavelkit.llm import decontam, idfile, jaccard, language, pieces, secret_scan, sharding, token_counts, warc
+from gavelkit.llm import ann, decontam, idfile, jaccard, language, pieces, secret_scan, sharding, token_counts, warc
 
 SHARDS, SHARD_KEY = 40, "shuffle-1"
 
@@ -40,6 +40,10 @@ def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (F.octet_length(ids) / 4).cast("bigint").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2(F.col("pieces.decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = token_counts.with_token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -112,7 +116,7 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(p % {SHARDS} AS INTEGER) AS
 FROM numbered JOIN walk USING (n) WHERE step > 0 AND p < rows"""
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_pieces, op5_token_counts, op6_shards, op7_jaccard, op8_secrets, op9_id_files, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_pieces, op4_nearest, op5_token_counts, op6_shards, op7_jaccard, op8_secrets, op9_id_files, op10_warc)}
 _WARC_SQL = """
 WITH digits AS (SELECT page_id, html, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest FROM pages)
 SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
