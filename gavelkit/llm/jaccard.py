@@ -25,7 +25,7 @@ from gavelkit.llm.common import BoundedCache
 from gavelkit.session import pinned
 
 WIDTH, PERCENT = 5, 75
-HOT_DOCS, HOT_LIMIT, GROUP = 200, 500_000, 32
+HOT_DOCS, HOT_LIMIT, GROUP = 16, 500_000, 32
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _WORDS: BoundedCache = BoundedCache(500_000)
 
@@ -87,14 +87,14 @@ def _sets(rows: DataFrame) -> DataFrame:
     """One table with a row for each document (n, digest of its set), and rows of tokens that several texts of a batch share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("token", pa.int64()), ("docs", pa.int64())])
+        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("tag", pa.int64()), ("token", pa.int64()), ("docs", pa.int64())])
         seen, size = {}, 0
 
         def shared():
             token, docs = np.unique(np.concatenate([*seen.values(), np.zeros(0, np.uint64)]), return_counts=True)
-            token, docs = token[docs > 2], docs[docs > 2]
+            token, docs = token[docs > 1], docs[docs > 1]
             n = len(token)
-            return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(token.view(np.int64)), pa.array(docs)], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()), pa.array(token.view(np.int64)), pa.array(docs)], schema=schema)
 
         for batch in batches:
             out = []
@@ -104,16 +104,16 @@ def _sets(rows: DataFrame) -> DataFrame:
                 if digest not in seen:
                     seen[digest] = s
                     size += len(s)
-                if size >= 1_000_000:
+                if size >= 4_000_000:
                     yield shared()
                     seen, size = {}, 0
             ids, n, digest = zip(*out, strict=True) if out else ((), (), ())
             k = len(out)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), batch.column(2), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], schema=schema)
         if seen:
             yield shared()
 
-    return pinned(rows.mapInArrow(run, "doc_id bigint, n bigint, digest binary, token bigint, docs bigint"), "sets")
+    return pinned(rows.mapInArrow(run, "doc_id bigint, n bigint, digest binary, tag bigint, token bigint, docs bigint"), "sets")
 
 
 def _hot_tokens(sets: DataFrame, docs: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -234,6 +234,129 @@ def _near_size(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b")
 
 
+def possible(n_a: int, a: np.ndarray, n_b: int, b: np.ndarray, percent: int = PERCENT) -> bool:
+    """Whether two sets may be linked, judged by their cool tokens alone.
+
+    Both lists hold every cool token up to the smaller of their last ones (a list that is short of its length holds all).
+    What one of them has there and the other hasn't, the sets don't share.
+    """
+    p_a, p_b = n_a - need(n_a, percent) + 1, n_b - need(n_b, percent) + 1
+    if len(a) == p_a:
+        b = b[: np.searchsorted(b, a[-1], side="right")] if len(a) else b
+    if len(b) == p_b and len(b):
+        a = a[: np.searchsorted(a, b[-1], side="right")]
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    most = min(n_a - len(a) + both, n_b - len(b) + both)
+    return most * (100 + percent) >= percent * (n_a + n_b)
+
+
+def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and cool tokens allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (x, x0), (y, y0) = ((batch.column(k).values.to_numpy().view(np.uint64), batch.column(k).offsets.to_numpy()) for k in ("x", "y"))
+            n_a, n_b = batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist()
+            ok = pa.array([possible(n_a[k], x[x0[k] : x0[k + 1]], n_b[k], y[y0[k] : y0[k + 1]], percent) for k in range(batch.num_rows)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(ok) for k in ("a", "b")], ["a", "b"])
+
+    side = lambda k, s: classes.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("cool").alias(s))
+    near = pinned(_near_size(pairs, classes, percent), "near")
+    return near.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(run, "a bigint, b bigint")
+
+
+def _open_groups(lists: DataFrame, hot: DataFrame, comp: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, group: int) -> DataFrame:
+    """Links between components that the stars didn't show, through the token-group matrix."""
+    posts = hot.unionByName(lists.select(F.col("key"), F.explode("nodes").alias("node")))
+    posts = pinned(posts.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")).distinct(), "posts")
+    mixed = pinned(posts.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "mixed")
+    posts = pinned(posts.join(mixed, "key").join(classes.select("node", "n"), "node"), "mixed-posts")
+    members = posts.select("node", "comp", "n").distinct()
+    sizes = pinned(members.groupBy("comp").agg(F.count("*").alias("size")), "sizes")
+    members = members.join(sizes, "comp").withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / group)))
+    members = pinned(members.select("node", "n", "comp", F.xxhash64("comp", "part").alias("group")), "members")
+    # a query goes to groups of components before its own; per key only the distinct groups matter
+    bounds = pinned(members.groupBy("group").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("g_comp")), "bounds")
+    to = pinned(posts.join(members.select("node", "group"), "node").select("key", "group").distinct().join(bounds, "group"), "to")
+    asked = posts.join(to, "key").where((F.col("g_comp") < F.col("comp")) & (100 * F.col("n") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("n")))
+    asked = pinned(asked.select(F.col("node").alias("q"), "group").distinct(), "asked")
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [_united([(x["n"], np.array(x["cool"], np.int64).view(np.uint64)) for x in g.as_py()], percent) for g in batch.column("sets")]
+            least, until, united = zip(*out, strict=True) if out else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column("group"), pa.array(least, pa.int64()), pa.array(until, pa.int64()), pa.array(united, pa.list_(pa.int64()))], ["group", "least", "until", "united"])
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = ([np.array(x.as_py(), np.int64).view(np.uint64) for x in batch.column(k)] for k in ("cool", "united"))
+            ok = [_reaches(n, x, least, until, u, percent) for n, x, least, until, u in zip(batch.column("n").to_pylist(), next(sets), batch.column("least").to_pylist(), batch.column("until").to_pylist(), next(sets), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(ok, pa.bool_())) for k in ("q", "group")], ["q", "group"])
+
+    inside = members.select("node", "group").join(asked.select("group").distinct(), "group", "left_semi").join(classes.select("node", "n", "cool"), "node")
+    matrix = inside.groupBy("group").agg(F.collect_list(F.struct("n", "cool")).alias("sets"))
+    matrix = pinned(matrix.mapInArrow(unite, "group bigint, least bigint, until bigint, united array<bigint>"), "matrix")
+    tried = asked.join(classes.select(F.col("node").alias("q"), "n", "cool"), "q").join(matrix, "group")
+    opened = pinned(tried.select("q", "group", "n", "cool", "least", "until", "united").mapInArrow(bound, "q bigint, group bigint"), "opened")
+    pairs = opened.join(members.select(F.col("node").alias("b"), "group"), "group").select(F.col("q").alias("a"), "b").distinct()
+    return _checked(pairs, rows, classes, percent)
+
+
+def _united(sets: list[tuple[int, np.ndarray]], percent: int) -> tuple[int, int, np.ndarray]:
+    """Of a group's sets: least size, the last token up to which all their cool tokens are known (-1: all), token union."""
+    ends = [int(t[-1]) for n, t in sets if len(t) and len(t) == n - need(n, percent) + 1]
+    union = np.unique(np.concatenate([t for _, t in sets]))
+    until = min(ends, default=None)
+    if until is not None:
+        union = union[: np.searchsorted(union, np.uint64(until), side="right")]
+    return min(n for n, _ in sets), -1 if until is None else int(np.uint64(until).view(np.int64)), union.view(np.int64)
+
+
+def _reaches(n: int, tokens: np.ndarray, least: int, until: int, union: np.ndarray, percent: int) -> bool:
+    """Whether a query's overlap with the union leaves a link with some member possible."""
+    known = tokens if until == -1 else tokens[: np.searchsorted(tokens, np.array(until, np.int64).view(np.uint64), side="right")]
+    most = n - len(known) + len(np.intersect1d(known, union, assume_unique=True))
+    return most * (100 + percent) >= percent * (n + least)
+
+
+def _checked(pairs: DataFrame, rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are linked: bounds first, then whole sets of what is left."""
+    left = pinned(_possible(pairs, classes, percent), "possible")
+    sets = _fetch(rows, classes, left.select(F.col("a").alias("node")).unionByName(left.select(F.col("b").alias("node"))).distinct())
+    return pinned(_verified(left, sets, percent), "links")
+
+
+def possible(n_a: int, a: np.ndarray, n_b: int, b: np.ndarray, percent: int = PERCENT) -> bool:
+    """Whether two sets may be linked, judged by their cool tokens alone.
+
+    Both lists hold every cool token up to the smaller of their last ones (a list that is short of its length holds all).
+    What one of them has there and the other hasn't, the sets don't share.
+    """
+    p_a, p_b = n_a - need(n_a, percent) + 1, n_b - need(n_b, percent) + 1
+    if len(a) == p_a:
+        b = b[: np.searchsorted(b, a[-1], side="right")] if len(a) else b
+    if len(b) == p_b and len(b):
+        a = a[: np.searchsorted(a, b[-1], side="right")]
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    most = min(n_a - len(a) + both, n_b - len(b) + both)
+    return most * (100 + percent) >= percent * (n_a + n_b)
+
+
+def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and cool tokens allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (x, x0), (y, y0) = ((batch.column(k).values.to_numpy().view(np.uint64), batch.column(k).offsets.to_numpy()) for k in ("x", "y"))
+            n_a, n_b = batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist()
+            ok = pa.array([possible(n_a[k], x[x0[k] : x0[k + 1]], n_b[k], y[y0[k] : y0[k + 1]], percent) for k in range(batch.num_rows)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(ok) for k in ("a", "b")], ["a", "b"])
+
+    side = lambda k, s: classes.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("cool").alias(s))
+    near = pinned(_near_size(pairs, classes, percent), "near")
+    return near.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(run, "a bigint, b bigint")
+
+
 def _open_groups(lists: DataFrame, hot: DataFrame, comp: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, group: int) -> DataFrame:
     """Links between components that the stars didn't show, through the token-group matrix."""
     posts = hot.unionByName(lists.select(F.col("key"), F.explode("nodes").alias("node")))
@@ -273,23 +396,23 @@ def _open_groups(lists: DataFrame, hot: DataFrame, comp: DataFrame, rows: DataFr
     return _verified(_near_size(pairs, classes, percent), sets, percent)
 
 
-def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, hot_docs: int = HOT_DOCS, hot_limit: int = HOT_LIMIT, group: int = GROUP) -> DataFrame:
+def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, hot_docs: int = HOT_DOCS, hot_limit: int = HOT_LIMIT, group: int = GROUP, tag: str | None = None) -> DataFrame:
     """A row for each document: doc_id, n_shingles, component_id (smallest doc_id that links reach, itself included).
 
+    With ``tag``, a column of long integers, that column too, by which a caller finds a row again.
+
     Null and empty texts have empty sets and are linked with nothing, so each is its own component. Equal texts have
     equal sets and are linked. A null doc_id is in its component but doesn't name it; a component of nulls alone has a
     null name. Repeated rows each get a row.
     """
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), (F.col(tag) if tag else F.lit(None)).cast("bigint").alias("tag"))
     sets = _sets(rows)
     hot, rank = _hot_tokens(sets, hot_docs, hot_limit)
     classes = _classes(rows, hot, rank, percent)
     lists, hot_posts = _posted(classes)
-    pairs = pinned(_near_size(_stars(lists, hot_posts), classes, percent), "stars")
-    first = _fetch(rows, classes, pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct())
-    edges = pinned(_verified(pairs, first, percent), "links")
+    edges = _checked(_stars(lists, hot_posts), rows, classes, percent)
     comp = components(edges)
-    more = pinned(_open_groups(lists, hot_posts, comp, rows, classes, percent, group), "more-links")
+    more = _open_groups(lists, hot_posts, comp, rows, classes, percent, group)
     if not more.isEmpty():
         comp = components(edges.unionByName(more))
     # names: only sets in a component of two or more take another name than their own first document
@@ -297,5 +420,6 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     names = pinned(named.groupBy("comp").agg(F.min("first").alias("name")), "names")
     moved = pinned(named.join(names, "comp").select("digest", "name"), "moved")
     names = pinned(classes.select("digest", "first").join(moved, "digest", "left").select("digest", F.coalesce("name", "first").alias("name")), "names")
-    every = sets.where("digest is not null").select("doc_id", F.col("n").alias("n_shingles"), "digest")
-    return every.join(names, "digest", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("name")).alias("component_id"))
+    every = sets.where("digest is not null").select("doc_id", F.col("n").alias("n_shingles"), "digest", *([F.col("tag").alias(tag)] if tag else []))
+    name = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("name")).alias("component_id")
+    return every.join(names, "digest", "left").select("doc_id", "n_shingles", name, *([tag] if tag else []))
