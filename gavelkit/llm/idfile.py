@@ -12,6 +12,7 @@ reader goes to any block, and decodes it with array operations alone.
 from __future__ import annotations
 
 import re
+from array import array
 import struct
 import uuid
 from collections.abc import Iterator
@@ -35,7 +36,16 @@ MAGIC, BLOCK, ESCAPE = b"GKIDS001", 32768, (1 << 60) - 1
 
 
 def pack(ids: np.ndarray, escape_above: int = ESCAPE) -> bytes:
-    """One block. From each place the selector that takes most ids is found for all places at once; then places are walked."""
+    """One block of ids."""
+    return pack_all(ids, np.array([0, len(ids)]), escape_above)[0]
+
+
+def pack_all(ids: np.ndarray, bounds: np.ndarray, escape_above: int = ESCAPE) -> list[bytes]:
+    """Blocks ``ids[bounds[k] : bounds[k + 1]]``, made together.
+
+    For all places at once, the selector is found that takes most ids without crossing a block's end; then places are
+    walked from word to word, and words of one selector are put together at once.
+    """
     n = len(ids)
     ids = ids.astype(np.uint64)
     places = np.flatnonzero(ids > escape_above)
@@ -43,17 +53,16 @@ def pack(ids: np.ndarray, escape_above: int = ESCAPE) -> bytes:
     ids[places] = 0
     most, choice = int(ids.max()) if n else 0, np.full(n, -1, np.int8)
     slim = ids.astype(np.uint32) if most < 1 << 32 else ids
+    room = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(n)
+    wide = np.zeros(n + 1, np.int32)
     for s, (count, bits) in enumerate(SELECTORS):
         if count > n:
             continue
+        ok = (room[: n + 1 - count] >= count) & (choice[: n + 1 - count] < 0)
         if most >> bits:
-            wide = np.zeros(n + 1, np.int32)
             np.cumsum(slim >= slim.dtype.type(1 << bits), out=wide[1:])
-            ok = wide[count:] == wide[: n + 1 - count]
-        else:
-            ok = np.ones(n + 1 - count, bool)
-        at = choice[: n + 1 - count]
-        at[ok & (at < 0)] = s
+            ok &= wide[count:] == wide[: n + 1 - count]
+        choice[: n + 1 - count][ok] = s
     step, starts, k = COUNTS[choice].tolist() if n else [], [], 0
     while k < n:
         starts.append(k)
@@ -64,10 +73,18 @@ def pack(ids: np.ndarray, escape_above: int = ESCAPE) -> bytes:
     for s in np.unique(chosen):
         count, bits = SELECTORS[s]
         mine = np.flatnonzero(chosen == s)
-        parts = ids[first[mine, None] + np.arange(count)] << (np.arange(count, dtype=np.uint64) * np.uint64(bits))
-        words[mine] |= np.bitwise_or.reduce(parts, axis=1)
-    out = struct.pack("<IIII", n, len(words), len(places), 0) + words.astype("<u8").tobytes() + places.astype("<u4").tobytes() + values.astype("<u8").tobytes()
-    return out + b"\0" * (-len(out) % 8)
+        at = first[mine]
+        for j in range(count):
+            words[mine] |= ids[at + j] << np.uint64(j * bits)
+    raw, cut, far = words.astype("<u8").tobytes(), np.searchsorted(first, bounds).tolist(), np.searchsorted(places, bounds).tolist()
+    out = []
+    for k in range(len(bounds) - 1):
+        a, b, c, d = cut[k], cut[k + 1], far[k], far[k + 1]
+        block = struct.pack("<IIII", int(bounds[k + 1] - bounds[k]), b - a, d - c, 0) + raw[8 * a : 8 * b]
+        if c < d:
+            block += (places[c:d] - bounds[k]).astype("<u4").tobytes() + values[c:d].astype("<u8").tobytes()
+        out.append(block + b"\0" * (-len(block) % 8))
+    return out
 
 
 def unpack(block: bytes | memoryview, at: int = 0) -> np.ndarray:
@@ -99,13 +116,13 @@ class WordTokenizer:
     PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     ODD_SPACE = re.compile("[\x1c-\x1f]")
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = 500_000):
         self.library = Tokenizer.from_file(path)
         self.words: BoundedCache = BoundedCache(keep)
         self.parts: BoundedCache = BoundedCache(keep)
 
     def raw(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def split(self, text: str) -> list[str]:
         # these four are white space to Python and not to the library
@@ -129,16 +146,25 @@ class WordTokenizer:
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        split = [self.split(t) for t in texts]
-        known = self.words
-        fresh = {w for ws in split for w in ws} - known.keys()
+        known, out, late, fresh = self.words, [], [], set()
+        for t in texts:
+            ws = self.split(t)
+            parts = list(map(known.get, ws))
+            if None in parts:
+                gaps = [k for k, p in enumerate(parts) if p is None]
+                fresh.update([ws[k] for k in gaps])
+                late.append((len(out), parts, gaps, ws))
+                out.append(b"")
+            else:
+                out.append(b"".join(parts))
         made = self.learn(fresh)
-        if len(known) + len(made) > known.limit:  # only what this batch needs stays
-            need = {w: known[w] for ws in split for w in ws if w in known}
-            known.clear()
-            known.update(need)
-        known.update(made)
-        return [b"".join(map(known.__getitem__, ws)) for ws in split]
+        for k, parts, gaps, ws in late:
+            for g in gaps:
+                parts[g] = made[ws[g]]
+            out[k] = b"".join(parts)
+        for w, ids in made.items():
+            known.keep(w, ids)
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -190,16 +216,17 @@ def write_ids(df: DataFrame, folder: str, vocab: str, end_id: int, doc_id: str =
                     sink = fs.open_output_stream(path)
                     sink.write(MAGIC)
                     at = len(MAGIC)
-                for one, raw in zip(ids, encode.batch(texts), strict=True):
-                    values = np.frombuffer(raw + end, "<u4")
-                    for k in range(0, len(values), BLOCK):
-                        block = pack(values[k : k + BLOCK])
-                        sink.write(block)
-                        offsets.append(at)
-                        at += len(block)
-                    docs.append(one)
-                    counts.append(len(values))
-                    total += len(values)
+                raw = [r + end for r in encode.batch(texts)]
+                sizes = [len(r) // 4 for r in raw]
+                ends = np.cumsum(sizes)
+                bounds = np.array([0, *(min(k + BLOCK, e) for e, n in zip(ends.tolist(), sizes, strict=True) for k in range(e - n, e, BLOCK))])
+                for block in pack_all(np.frombuffer(b"".join(raw), "<u4"), bounds):
+                    sink.write(block)
+                    offsets.append(at)
+                    at += len(block)
+                docs += ids
+                counts += sizes
+                total += int(ends[-1])
         if sink is not None:
             known = np.array([d is not None for d in docs], np.uint8)
             foot = struct.pack(_FOOT, len(docs), len(offsets)) + np.array([d or 0 for d in docs], "<i8").tobytes() + np.array(counts, "<u8").tobytes() + np.array(offsets, "<u8").tobytes() + known.tobytes()
