@@ -147,17 +147,40 @@ def _classes(rows: DataFrame, hot: np.ndarray, rank: np.ndarray, percent: int) -
     return pinned(one.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
+def _marked(spots: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of fixed size, as 32-bit words, with the bits of the column ``spot`` set; one row a word comes to the driver."""
+    marks = spots.select(F.shiftright("spot", 5).alias("word"), (F.col("spot") % 32).cast("int").alias("bit"))
+    words = marks.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask")).toArrow()
+    bitmap = np.zeros(1 << (bits - 5), np.uint32)
+    bitmap[words.column("word").to_numpy()] = words.column("mask").to_numpy().astype(np.uint32)
+    return bitmap
+
+
+def _only(classes: DataFrame, nodes: DataFrame, bits: int = 22) -> DataFrame:
+    """node, n, cool of the classes whose node may be among ``nodes`` (all that are, and few others), without a shuffle.
+
+    A join against these rows moves little of the table; beyond some millions of nodes the bitmap fills up and only saves less.
+    """
+    size = 1 << bits
+    node = F.col("node")
+    bitmap = _marked(nodes.select(((F.shiftright(node, 33) * 1_000_003 + node.bitwiseAND(F.lit((1 << 33) - 1))) % size).alias("spot")), bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k = batch.column("node").to_numpy()
+            at = ((k >> 33) * 1_000_003 + (k & ((1 << 33) - 1))) % size
+            yield batch.filter(pa.array((bitmap[at >> 5] >> (at & 31).astype(np.uint32) & 1).astype(bool)))
+
+    return classes.select("node", "n", "cool").mapInArrow(run, "node bigint, n bigint, cool array<bigint>")
+
+
 def _fetch(rows: DataFrame, classes: DataFrame, nodes: DataFrame, bits: int = 22) -> DataFrame:
     """node and token set of the wanted nodes, made again from the texts.
 
     A bitmap of fixed size over the digests tells tasks which texts may be wanted; the join then settles it.
     """
     wanted = pinned(nodes.join(classes.select("node", "digest"), "node"), "wanted")
-    spot = F.conv(F.substring(F.hex("digest"), 1, 8), 16, 10).cast("bigint") % (1 << bits)
-    marks = wanted.select(F.shiftright(spot, 5).alias("word"), (spot % 32).cast("int").alias("bit"))
-    words = marks.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask")).toArrow()
-    bitmap = np.zeros(1 << (bits - 5), np.uint32)
-    bitmap[words.column("word").to_numpy()] = words.column("mask").to_numpy().astype(np.uint32)
+    bitmap = _marked(wanted.select((F.conv(F.substring(F.hex("digest"), 1, 8), 16, 10).cast("bigint") % (1 << bits)).alias("spot")), bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,8 +283,8 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             ok = pa.array([possible(n_a[k], x[x0[k] : x0[k + 1]], n_b[k], y[y0[k] : y0[k + 1]], percent) for k in range(batch.num_rows)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(ok) for k in ("a", "b")], ["a", "b"])
 
-    side = lambda k, s: classes.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("cool").alias(s))
     near = pinned(_near_size(pairs, classes, percent), "near")
+    side = lambda k, s: _only(classes, near.select(F.col(k).alias("node"))).select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("cool").alias(s))
     return near.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(run, "a bigint, b bigint")
 
 
@@ -293,10 +316,11 @@ def _open_groups(lists: DataFrame, hot: DataFrame, comp: DataFrame, rows: DataFr
             ok = [_reaches(n, x, least, until, u, percent) for n, x, least, until, u in zip(batch.column("n").to_pylist(), next(sets), batch.column("least").to_pylist(), batch.column("until").to_pylist(), next(sets), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(ok, pa.bool_())) for k in ("q", "group")], ["q", "group"])
 
-    inside = members.select("node", "group").join(asked.select("group").distinct(), "group", "left_semi").join(classes.select("node", "n", "cool"), "node")
+    inside = pinned(members.select("node", "group").join(asked.select("group").distinct(), "group", "left_semi"), "inside")
+    inside = inside.join(_only(classes, inside), "node")
     matrix = inside.groupBy("group").agg(F.collect_list(F.struct("n", "cool")).alias("sets"))
     matrix = pinned(matrix.mapInArrow(unite, "group bigint, least bigint, until bigint, united array<bigint>"), "matrix")
-    tried = asked.join(classes.select(F.col("node").alias("q"), "n", "cool"), "q").join(matrix, "group")
+    tried = asked.join(_only(classes, asked.select(F.col("q").alias("node"))).withColumnRenamed("node", "q"), "q").join(matrix, "group")
     opened = pinned(tried.select("q", "group", "n", "cool", "least", "until", "united").mapInArrow(bound, "q bigint, group bigint"), "opened")
     pairs = opened.join(members.select(F.col("node").alias("b"), "group"), "group").select(F.col("q").alias("a"), "b").distinct()
     return _checked(pairs, rows, classes, percent)
@@ -326,76 +350,6 @@ def _checked(pairs: DataFrame, rows: DataFrame, classes: DataFrame, percent: int
     return pinned(_verified(left, sets, percent), "links")
 
 
-def possible(n_a: int, a: np.ndarray, n_b: int, b: np.ndarray, percent: int = PERCENT) -> bool:
-    """Whether two sets may be linked, judged by their cool tokens alone.
-
-    Both lists hold every cool token up to the smaller of their last ones (a list that is short of its length holds all).
-    What one of them has there and the other hasn't, the sets don't share.
-    """
-    p_a, p_b = n_a - need(n_a, percent) + 1, n_b - need(n_b, percent) + 1
-    if len(a) == p_a:
-        b = b[: np.searchsorted(b, a[-1], side="right")] if len(a) else b
-    if len(b) == p_b and len(b):
-        a = a[: np.searchsorted(a, b[-1], side="right")]
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    most = min(n_a - len(a) + both, n_b - len(b) + both)
-    return most * (100 + percent) >= percent * (n_a + n_b)
-
-
-def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sizes and cool tokens allow a link."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            (x, x0), (y, y0) = ((batch.column(k).values.to_numpy().view(np.uint64), batch.column(k).offsets.to_numpy()) for k in ("x", "y"))
-            n_a, n_b = batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist()
-            ok = pa.array([possible(n_a[k], x[x0[k] : x0[k + 1]], n_b[k], y[y0[k] : y0[k + 1]], percent) for k in range(batch.num_rows)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(k).filter(ok) for k in ("a", "b")], ["a", "b"])
-
-    side = lambda k, s: classes.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("cool").alias(s))
-    near = pinned(_near_size(pairs, classes, percent), "near")
-    return near.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(run, "a bigint, b bigint")
-
-
-def _open_groups(lists: DataFrame, hot: DataFrame, comp: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, group: int) -> DataFrame:
-    """Links between components that the stars didn't show, through the token-group matrix."""
-    posts = hot.unionByName(lists.select(F.col("key"), F.explode("nodes").alias("node")))
-    posts = posts.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    posts = pinned(posts.distinct(), "posts")
-    mixed = pinned(posts.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "mixed")
-    posts = pinned(posts.join(mixed, "key").join(classes.select("node", "n"), "node"), "mixed-posts")
-    members = posts.select("node", "comp", "n").distinct()
-    sizes = pinned(members.groupBy("comp").agg(F.count("*").alias("size")), "sizes")
-    members = members.join(sizes, "comp").withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / group)))
-    members = pinned(members.select("node", "n", "comp", F.xxhash64("comp", "part").alias("group")), "members")
-    # a query goes to groups of components before its own; per key only the distinct groups matter
-    bounds = members.groupBy("group").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.first("comp").alias("g_comp"))
-    to = posts.join(members.select("node", "group"), "node").select("key", "group").distinct().join(pinned(bounds, "bounds"), "group")
-    asked = posts.join(pinned(to, "to"), "key").where((F.col("g_comp") < F.col("comp")) & (100 * F.col("n") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("n")))
-    asked = pinned(asked.select(F.col("node").alias("q"), "group").distinct(), "asked")
-    if asked.isEmpty():
-        return asked.select(F.col("q").alias("a"), F.col("q").alias("b"))
-    inside = members.join(asked.select("group").distinct(), "group", "semi")
-    sets = _fetch(rows, classes, asked.select(F.col("q").alias("node")).unionByName(inside.select("node")).distinct())
-
-    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            unions = [np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in g.as_py()])).tobytes() for g in batch.column("sets")]
-            yield pa.RecordBatch.from_arrays([batch.column("group"), pa.array(unions, pa.binary())], ["group", "united"])
-
-    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            q, united = ([np.frombuffer(x.as_py(), np.uint64) for x in batch.column(k)] for k in ("tokens", "united"))
-            ok = pa.array([len(np.intersect1d(x, u, assume_unique=True)) >= need(len(x), percent) for x, u in zip(q, united, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(k).filter(ok) for k in ("q", "group")], ["q", "group"])
-
-    matrix = inside.join(sets, "node").groupBy("group").agg(F.collect_list("tokens").alias("sets")).mapInArrow(unite, "group bigint, united binary")
-    tried = asked.join(sets.withColumnRenamed("node", "q"), "q").join(pinned(matrix, "matrix"), "group").select("q", "group", "tokens", "united")
-    opened = pinned(tried.mapInArrow(bound, "q bigint, group bigint"), "opened")
-    pairs = opened.join(members.select(F.col("node").alias("b"), "group"), "group").select(F.col("q").alias("a"), "b").distinct()
-    return _verified(_near_size(pairs, classes, percent), sets, percent)
-
-
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, hot_docs: int = HOT_DOCS, hot_limit: int = HOT_LIMIT, group: int = GROUP, tag: str | None = None) -> DataFrame:
     """A row for each document: doc_id, n_shingles, component_id (smallest doc_id that links reach, itself included).
 
