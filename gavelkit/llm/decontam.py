@@ -154,7 +154,8 @@ class TestWindows:
         back = np.repeat(np.arange(len(row)), span)
         start = at[back] - (np.arange(len(back)) - np.repeat(np.cumsum(span) - span, span))
         row, span = row[back], span[back]
-        ok = start >= 0
+        # a stretch that would begin before the document has no word that the one at its first word hasn't
+        ok = start >= p.starts[np.searchsorted(p.starts, at, side="right") - 1][back] if len(row) else start >= 0
         row, span, start = row[ok], span[ok], start[ok]
         for k in range(1, self.width):
             if not len(row):

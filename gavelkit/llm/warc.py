@@ -20,25 +20,7 @@ import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import (
-    DataSource,
-    DataSourceReader,
-    EqualNullSafe,
-    EqualTo,
-    Filter,
-    GreaterThan,
-    GreaterThanOrEqual,
-    In,
-    InputPartition,
-    IsNotNull,
-    IsNull,
-    LessThan,
-    LessThanOrEqual,
-    Not,
-    StringContains,
-    StringEndsWith,
-    StringStartsWith,
-)
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from gavelkit.session import pinned, work_path
 
@@ -226,18 +208,13 @@ _ARROW = pa.schema(
 )
 _FROM_HEADER = {"record_type": "warc-type", "record_id": "warc-record-id", "date": "warc-date", "target_uri": "warc-target-uri", "content_type": "content-type", "payload_digest": "warc-payload-digest", "refers_to": "warc-refers-to"}
 _TESTS = {
-    EqualTo: lambda v, f: v is not None and v == f.value,
-    EqualNullSafe: lambda v, f: v == f.value,
-    In: lambda v, f: v is not None and v in f.value,
-    GreaterThan: lambda v, f: v is not None and v > f.value,
-    GreaterThanOrEqual: lambda v, f: v is not None and v >= f.value,
-    LessThan: lambda v, f: v is not None and v < f.value,
-    LessThanOrEqual: lambda v, f: v is not None and v <= f.value,
-    StringStartsWith: lambda v, f: v is not None and v.startswith(f.value),
-    StringEndsWith: lambda v, f: v is not None and v.endswith(f.value),
-    StringContains: lambda v, f: v is not None and f.value in v,
-    IsNull: lambda v, f: v is None,
-    IsNotNull: lambda v, f: v is not None,
+    "=": lambda v, x: v == x,
+    "!=": lambda v, x: v is not None and v != x,
+    "in": lambda v, x: v in x,
+    "starts": lambda v, x: v is not None and v.startswith(x),
+    ">=": lambda v, x: v is not None and v >= x,
+    "<=": lambda v, x: v is not None and v <= x,
+    "there": lambda v, x: (v is not None) == x,
 }
 
 
@@ -252,45 +229,35 @@ def told(headers: dict[str, str]) -> dict:
 
 
 class WarcPartition(InputPartition):
-    def __init__(self, path: str):
+    def __init__(self, path: str | None):
         self.path = path
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, paths: list[str], payload: str):
-        self.paths, self.payload, self.kept = paths, payload, []
-
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Take every test on a header column; Spark keeps the rest."""
+    def __init__(self, paths: list[str], payload: str, tests: list[list]):
+        self.paths, self.payload, self.tests = paths, payload, tests
         known = {*_FROM_HEADER, "content_length"}
-        for f in filters:
-            inner = f.child if isinstance(f, Not) else f
-            if type(inner) in _TESTS and len(inner.attribute) == 1 and inner.attribute[0] in known and not (isinstance(f, Not) and isinstance(inner, Not)):
-                self.kept.append(f)
-            else:
-                yield f
+        for name, test, _ in tests:
+            if test not in _TESTS or not (name in known or name.startswith("header:")):
+                raise ValueError(f"no test {test!r} on {name!r}")
 
     def partitions(self) -> list[InputPartition]:
-        return [WarcPartition(p) for p in self.paths]
-
-    def wanted(self, row: dict) -> bool:
-        for f in self.kept:
-            inner = f.child if isinstance(f, Not) else f
-            value = row[inner.attribute[0]]
-            if isinstance(f, Not):
-                if (value is None and not isinstance(inner, (IsNull, IsNotNull, EqualNullSafe))) or _TESTS[type(inner)](value, inner):
-                    return False
-            elif not _TESTS[type(inner)](value, inner):
-                return False
-        return True
+        return [WarcPartition(p) for p in self.paths] or [WarcPartition(None)]
+
+    def wanted(self, row: dict, headers: dict[str, str]) -> bool:
+        """Whether the headers pass every test."""
+        value = lambda name: headers.get(name[7:].lower()) if name.startswith("header:") else row[name]
+        return all(_TESTS[test](value(name), x) for name, test, x in self.tests)
 
     def read(self, partition: WarcPartition) -> Iterator[pa.RecordBatch]:
+        if partition.path is None:  # no archives at all
+            return
         fs, name = pyarrow.fs.FileSystem.from_uri(partition.path)
         rows, size = [], 0
         with fs.open_input_file(name) as f:
             for offset, headers, block in Archive(f).records():
                 row = told(headers)
-                if not self.wanted(row):
+                if not self.wanted(row, headers):
                     continue
                 given = headers.get("x-payload-length", "")
                 row |= {"path": partition.path, "offset": offset, "headers": list(headers.items()), "payload": None, "payload_length": int(given) if given.isdigit() else None}
@@ -316,6 +283,10 @@ class WarcSource(DataSource):
     """Options: ``paths``, a JSON list of archives, or ``path``, a folder or archive; ``payload``: full, verify or skip.
 
     ``full`` returns payloads of responses and checks their digests, ``verify`` only checks, ``skip`` doesn't inflate them.
+    ``tests``: a JSON list of [column or "header:Name", test, value]; records whose headers fail one are passed over
+    before their payload is touched. Tests: = != in starts >= <= there. They come as an option and not by the filter hook
+    of Python sources, because Spark keeps a reader with the filters of its first query: a second query on the same
+    DataFrame without them would silently lose rows.
     """
 
     @classmethod
@@ -326,7 +297,7 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> WarcReader:
-        return WarcReader(self.listed(), self.options.get("payload", "full"))
+        return WarcReader(self.listed(), self.options.get("payload", "full"), json.loads(self.options.get("tests", "[]")))
 
     def listed(self) -> list[str]:
         if "paths" in self.options:
@@ -339,11 +310,11 @@ class WarcSource(DataSource):
         return sorted(path.rstrip("/") + x.path[len(base.rstrip("/")) :] for x in found if re.search(r"\.warc(\.gz)?$", x.path))
 
 
-def read_warc(spark: SparkSession, paths: list[str], payload: str = "full") -> DataFrame:
-    """Rows of the listed archives, one partition an archive, with tests on headers pushed down."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+def read_warc(spark: SparkSession, paths: list[str], payload: str = "full", tests: list[tuple] = ()) -> DataFrame:
+    """Rows of the listed archives, one partition an archive, of records whose headers pass the tests."""
     spark.dataSource.register(WarcSource)
-    return spark.read.format("warc").option("paths", json.dumps(paths)).option("payload", payload).load()
+    reader = spark.read.format("warc").option("paths", json.dumps(paths)).option("payload", payload)
+    return reader.option("tests", json.dumps([list(t) for t in tests])).load()
 
 
 def page_number(column: Column) -> Column:
