@@ -116,7 +116,7 @@ class WordTokenizer:
     PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     ODD_SPACE = re.compile("[\x1c-\x1f]")
 
-    def __init__(self, path: str, keep: int = 500_000):
+    def __init__(self, path: str, keep: int = 400_000):
         self.library = Tokenizer.from_file(path)
         self.words: BoundedCache = BoundedCache(keep)
         self.parts: BoundedCache = BoundedCache(keep)

@@ -27,7 +27,7 @@ from gavelkit.session import pinned
 WIDTH, PERCENT = 5, 75
 HOT_DOCS, HOT_LIMIT, GROUP = 16, 500_000, 32
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_WORDS: BoundedCache = BoundedCache(500_000)
+_WORDS: BoundedCache = BoundedCache(300_000)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:

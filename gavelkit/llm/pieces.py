@@ -28,7 +28,7 @@ _KIND = pa.struct([("ids", pa.binary()), ("decoded", pa.string())])
 class PieceModel:
     """A merge-type vocabulary with byte fallback, read from a model file."""
 
-    def __init__(self, path: str, cache_rows: int = 800_000):
+    def __init__(self, path: str, cache_rows: int = 300_000):
         m = sentencepiece.SentencePieceProcessor(model_file=path)
         self.begin, self.end, size = m.bos_id(), m.eos_id(), m.get_piece_size()
         plain = [i for i in range(size) if not (m.is_control(i) or m.is_unknown(i) or m.is_byte(i) or m.is_unused(i))]
