@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+ROWS = 256
+
+
 def arrow_rows(make: Callable[[], Callable[[str | None], tuple]], ddl: str, kind: pa.StructType):
     """A column function that turns each text into a struct.
 
@@ -26,7 +30,11 @@ def arrow_rows(make: Callable[[], Callable[[str | None], tuple]], ddl: str, kind
         one = make()
         names = [f.name for f in kind]
         for batch in batches:
-            yield pa.array([dict(zip(names, one(x.as_py()), strict=True)) for x in batch], type=kind)
+            # a few rows at a time, so that results are Python objects only shortly
+            parts = [pa.array([dict(zip(names, one(x.as_py()), strict=True)) for x in batch.slice(k, ROWS)], type=kind) for k in range(0, len(batch), ROWS)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], type=kind)
+            del parts
+            pa.default_memory_pool().release_unused()
 
     return run.asNondeterministic()
 
@@ -42,7 +50,7 @@ def ascii_lower(text: Column) -> Column:
 
 
 class BoundedCache(dict):
-    """A memo that is emptied when it holds ``limit`` entries, so that a task's memory stays bounded."""
+    """A memo of at most ``limit`` entries: when it is full, the older half goes. It bounds a task's memory."""
 
     def __init__(self, limit: int):
         super().__init__()
@@ -50,6 +58,7 @@ class BoundedCache(dict):
 
     def keep(self, key, value):
         if len(self) >= self.limit:
-            self.clear()
+            for old in list(islice(self, max(1, self.limit // 2))):
+                del self[old]
         self[key] = value
         return value

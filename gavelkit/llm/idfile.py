@@ -116,7 +116,7 @@ class WordTokenizer:
     PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     ODD_SPACE = re.compile("[\x1c-\x1f]")
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 700_000):
         self.library = Tokenizer.from_file(path)
         self.words: BoundedCache = BoundedCache(keep)
         self.parts: BoundedCache = BoundedCache(keep)
@@ -131,15 +131,22 @@ class WordTokenizer:
     def learn(self, words: set[str]) -> dict[str, bytes]:
         plain, out = {}, {}
         for w in words:
-            if "<|" not in w and self.PLAIN.fullmatch(w):
-                plain[w] = self.PARTS.findall(w.lower())
+            if "<|" in w or not (w.isascii() or self.PLAIN.fullmatch(w)):
+                continue
+            low = w.lower()
+            if low.isalpha():  # letters alone are one part; with one mark after them, two
+                plain[w] = (low,)
+            elif low[:-1].isalpha() and low[-1] in ".,;:!?":
+                plain[w] = (low[:-1], low[-1])
+            elif self.PLAIN.fullmatch(w):
+                plain[w] = self.PARTS.findall(low)
         other = [w for w in words if w not in plain]
         out.update(zip(other, self.raw(other), strict=True))
         fresh = list({p for parts in plain.values() for p in parts} - self.parts.keys())
         made = dict(zip(fresh, self.raw(fresh), strict=True))
         known = self.parts
         for w, parts in plain.items():
-            out[w] = b"".join([known[p] if p in known else made[p] for p in parts])
+            out[w] = b"".join([made[p] if p in made else known[p] for p in parts])
         for p, ids in made.items():
             known.keep(p, ids)
         return out

@@ -21,13 +21,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gavelkit.llm.common import BoundedCache
 from gavelkit.session import pinned
 
 WIDTH, PERCENT = 5, 75
 HOT_DOCS, HOT_LIMIT, GROUP = 16, 500_000, 32
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_WORDS: BoundedCache = BoundedCache(300_000)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -43,12 +41,7 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
     ws = (text or "").encode().lower().split()
     if not ws:
         return np.zeros(0, np.uint64)
-    for w in {w for w in ws if w not in _WORDS}:
-        _WORDS.keep(w, xxhash.xxh3_64_intdigest(w))
-    try:
-        one = np.fromiter(map(_WORDS.__getitem__, ws), np.uint64, len(ws))
-    except KeyError:  # the cache was emptied on the way
-        one = np.fromiter(map(xxhash.xxh3_64_intdigest, ws), np.uint64, len(ws))
+    one = np.fromiter(map(xxhash.xxh3_64_intdigest, ws), np.uint64, len(ws))
     n = min(width, len(ws))
     acc = np.full(len(ws) - n + 1, n, np.uint64)
     for k in range(n):
@@ -78,9 +71,14 @@ def prefix(tokens: np.ndarray, hot: np.ndarray, rank: np.ndarray, percent: int =
     return cool, warm[np.argsort(rank[at[is_hot]], kind="stable")][: p - len(cool)]
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int | None, np.ndarray]]:
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int | None, str | None]]:
     for i, t in zip(batch.column(0), batch.column(1), strict=True):
-        yield i.as_py(), shingles(t.as_py())
+        yield i.as_py(), t.as_py()
+
+
+def _key(text: str | None) -> int:
+    """A hash of a whole text, much cheaper than its set."""
+    return xxhash.xxh3_64_intdigest((text or "").encode()) >> 1
 
 
 def _sets(rows: DataFrame) -> DataFrame:
@@ -98,13 +96,14 @@ def _sets(rows: DataFrame) -> DataFrame:
 
         for batch in batches:
             out = []
-            for i, s in _texts(batch):
+            for i, text in _texts(batch):
+                s = shingles(text)
                 digest = xxhash.xxh3_128_digest(s.tobytes())
                 out.append((i, len(s), digest))
                 if digest not in seen:
                     seen[digest] = s
                     size += len(s)
-                if size >= 4_000_000:
+                if size >= 2_000_000:
                     yield shared()
                     seen, size = {}, 0
             ids, n, digest = zip(*out, strict=True) if out else ((), (), ())
@@ -128,22 +127,23 @@ def _hot_tokens(sets: DataFrame, docs: int, limit: int) -> tuple[np.ndarray, np.
 
 
 def _classes(rows: DataFrame, hot: np.ndarray, rank: np.ndarray, percent: int) -> DataFrame:
-    """A row for each distinct set: node, digest, n, first (smallest doc_id), cool and hot tokens to find it by."""
+    """A row for each distinct set: node, digest, n, first (smallest doc_id), key of a text, cool and hot tokens to find it by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.int64())
         for batch in batches:
             out = []
-            for i, s in _texts(batch):
+            for i, text in _texts(batch):
+                s = shingles(text)
                 if len(s):
                     cool, warm = prefix(s, hot, rank, percent)
-                    out.append((xxhash.xxh3_128_digest(s.tobytes()), i, len(s), cool.view(np.int64), warm.view(np.int64)))
+                    out.append((xxhash.xxh3_128_digest(s.tobytes()), i, _key(text), len(s), cool.view(np.int64), warm.view(np.int64)))
             if out:
-                digest, ids, n, cool, warm = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(cool, kind), pa.array(warm, kind)], ["digest", "doc_id", "n", "cool", "hot"])
+                digest, ids, key, n, cool, warm = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), *(pa.array(x, pa.int64()) for x in (ids, key, n)), pa.array(cool, kind), pa.array(warm, kind)], ["digest", "doc_id", "key", "n", "cool", "hot"])
 
-    found = rows.mapInArrow(run, "digest binary, doc_id bigint, n bigint, cool array<bigint>, hot array<bigint>")
-    one = found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.first("n").alias("n"), F.first("cool").alias("cool"), F.first("hot").alias("hot"))
+    found = rows.mapInArrow(run, "digest binary, doc_id bigint, key bigint, n bigint, cool array<bigint>, hot array<bigint>")
+    one = found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("key").alias("key"), F.first("n").alias("n"), F.first("cool").alias("cool"), F.first("hot").alias("hot"))
     return pinned(one.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
@@ -177,24 +177,25 @@ def _only(classes: DataFrame, nodes: DataFrame, bits: int = 22) -> DataFrame:
 def _fetch(rows: DataFrame, classes: DataFrame, nodes: DataFrame, bits: int = 22) -> DataFrame:
     """node and token set of the wanted nodes, made again from the texts.
 
-    A bitmap of fixed size over the digests tells tasks which texts may be wanted; the join then settles it.
+    A bitmap of fixed size over the keys of texts tells tasks which texts may be wanted, so that sets are made of few
+    others; the join then settles it.
     """
-    wanted = pinned(nodes.join(classes.select("node", "digest"), "node"), "wanted")
-    bitmap = _marked(wanted.select((F.conv(F.substring(F.hex("digest"), 1, 8), 16, 10).cast("bigint") % (1 << bits)).alias("spot")), bits)
+    wanted = pinned(nodes.join(classes.select("node", "digest", "key"), "node"), "wanted")
+    bitmap = _marked(wanted.select((F.col("key") % (1 << bits)).alias("spot")), bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {}
-            for _, s in _texts(batch):
-                digest = xxhash.xxh3_128_digest(s.tobytes())
-                at = int.from_bytes(digest[:4], "big") % (1 << bits)
-                if bitmap[at >> 5] >> np.uint32(at & 31) & 1:
-                    out[digest] = s.tobytes()
+            for _, text in _texts(batch):
+                at = _key(text) % (1 << bits)
+                if int(bitmap[at >> 5]) >> (at & 31) & 1:
+                    raw = shingles(text).tobytes()
+                    out[xxhash.xxh3_128_digest(raw)] = raw
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.binary())], ["digest", "tokens"])
 
     sets = rows.mapInArrow(run, "digest binary, tokens binary").groupBy("digest").agg(F.first("tokens").alias("tokens"))
-    return pinned(sets.join(wanted, "digest").select("node", "tokens"), "tokens")
+    return pinned(sets.join(wanted.select("node", "digest"), "digest").select("node", "tokens"), "tokens")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

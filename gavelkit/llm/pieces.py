@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from functools import lru_cache
 
 import ahocorasick
@@ -28,7 +29,7 @@ _KIND = pa.struct([("ids", pa.binary()), ("decoded", pa.string())])
 class PieceModel:
     """A merge-type vocabulary with byte fallback, read from a model file."""
 
-    def __init__(self, path: str, cache_rows: int = 300_000):
+    def __init__(self, path: str, cache_rows: int = 150_000):
         m = sentencepiece.SentencePieceProcessor(model_file=path)
         self.begin, self.end, size = m.bos_id(), m.eos_id(), m.get_piece_size()
         plain = [i for i in range(size) if not (m.is_control(i) or m.is_unknown(i) or m.is_byte(i) or m.is_unused(i))]
@@ -39,14 +40,15 @@ class PieceModel:
         self.byte_id = [byte_ids[b] for b in range(256)]
         self.bytes_of = [b"" if m.is_control(i) else bytes([int(m.id_to_piece(i)[3:5], 16)]) if m.is_byte(i) else m.id_to_piece(i).replace(SPACE, " ").encode() for i in range(size)]
         self.pairs = {p[k : k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self.chars = {c for p in self.ids for c in p if c in self.ids}
         self.automaton = ahocorasick.Automaton()
         for p, i in self.ids.items():
             self.automaton.add_word(p, (len(p), i))
         self.automaton.make_automaton()
         # no entry has a space mark after another character, so a text falls apart before each run of marks
         self.falls_apart = not any(a != SPACE and b == SPACE for a, b in self.pairs)
-        self.fits: BoundedCache = BoundedCache(cache_rows)
-        self.short: BoundedCache = BoundedCache(cache_rows)
+        self.fits: BoundedCache = BoundedCache(3 * cache_rows)
+        self.short: BoundedCache = BoundedCache(2 * cache_rows)
         self.long: BoundedCache = BoundedCache(cache_rows)
 
     def merged(self, text: str) -> list[str]:
@@ -66,7 +68,7 @@ class PieceModel:
     def pair_fits(self, a: int, b: int) -> bool:
         """Whether merging the two entries' text gives just these two (for a first entry, a = -2: just itself)."""
         want = [self.piece[b]] if a == -2 else [self.piece[a], self.piece[b]]
-        return self.fits.keep((a, b), self.merged("".join(want)) == want)
+        return self.fits.keep(a << 20 | b, self.merged("".join(want)) == want)
 
     def table(self, text: str) -> list[int]:
         """Last token of each prefix of ``text``, all of whose characters are in the vocabulary; the empty one has -2."""
@@ -76,7 +78,7 @@ class PieceModel:
             if last[at + 1] == -1:
                 before = last[at + 1 - size]
                 if before != -1:
-                    known = fits((before, token))
+                    known = fits(before << 20 | token)
                     if self.pair_fits(before, token) if known is None else known:
                         last[at + 1] = token
         return last
@@ -91,10 +93,16 @@ class PieceModel:
                 out.append(last[e])
                 e -= len(self.piece[last[e]])
             out.reverse()
-        return np.array(out, "<u4").tobytes()
+        return array("I", out).tobytes()
 
     def word(self, text: str) -> bytes:
-        """Ids of a run of marks with the characters after it."""
+        """Ids of a run of marks with the characters after it: of stretches between places that no entry crosses.
+
+        Where all characters are in the vocabulary, only a last one (mostly a full stop or comma) is looked at.
+        """
+        if self.chars.issuperset(text):
+            parts = (text[:-1], text[-1]) if len(text) > 1 and text[-2:] not in self.pairs else (text,)
+            return b"".join([self.short.get(p) or self.short.keep(p, self.stretch(p)) for p in parts])
         out, at = [], 0
         for k in range(1, len(text) + 1):
             if k == len(text) or text[k - 1 : k + 1] not in self.pairs:
