@@ -16,8 +16,25 @@ def _t(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
-def browse_union(auctions: DataFrame, listings: DataFrame) -> DataFrame:
-    """Sales and listings in one shape of 22 columns and the id. A filter reaches both scans."""
+def _pushed(rows: DataFrame, column: str, default: str, wanted: str | None) -> DataFrame:
+    """A filter on a shown value as one on the stored column, which a Parquet scan can use.
+
+    What isn't the default is shown as it is stored; missing values are shown as the default and stay with it.
+    """
+    if not wanted:
+        return rows
+    same = F.col(column) == wanted
+    return rows.where(same if wanted != default else same | F.col(column).isNull() | (F.col(column) == ""))
+
+
+def browse_union(auctions: DataFrame, listings: DataFrame, f: BrowseFilter | None = None) -> DataFrame:
+    """Sales and listings in one shape of 22 columns and the id.
+
+    With ``f`` its source and category are also tested on the stored columns, so that they reach both scans.
+    """
+    if f is not None:
+        auctions = _pushed(_pushed(auctions, "auction_house", "Unknown house", f.source), "category", "other", f.category)
+        listings = _pushed(_pushed(listings, "dealer", "Unknown dealer", f.source), "category", "other", f.category)
     cur = F.col("currency_note")
     note = F.when(is_foreign(cur), cur).otherwise("")
     a = auctions.select(

@@ -269,7 +269,8 @@ def lot_objects(rows: DataFrame, body: str, depth: int = 8) -> DataFrame:
     """Objects anywhere in a JSON document that carry a lot number and a price.
 
     Level by level in one chain without a shuffle: open objects and arrays are replaced by their
-    children, matches stay as they are and are not searched further.
+    children, matches stay as they are and are not searched further. A document with an object or
+    array still open after ``depth`` levels fails the query; no match is left out unseen.
     """
     spark = rows.sparkSession
     # the columns to keep travel in one struct, apart from the names that exploding brings in
@@ -298,4 +299,7 @@ def lot_objects(rows: DataFrame, body: str, depth: int = 8) -> DataFrame:
             F.col("lot").alias("_was"),
         ).where("node IS NOT NULL")
         level = level.select("_kept", "path", "node", (F.col("_was") | is_lot).alias("lot"))
-    return level.where("lot").select("_kept.*", "path", F.to_json("node").alias("lot"))
+    filled = ~F.to_json("node").isin("{}", "[]")
+    deeper = F.raise_error(F.concat(F.lit(f"more than {depth} levels deep: "), F.col("path")))
+    done = F.when(F.col("lot"), True).when(is_open & filled, deeper.cast("boolean")).otherwise(False)
+    return level.where(done).select("_kept.*", "path", F.to_json("node").alias("lot"))

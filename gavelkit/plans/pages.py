@@ -220,7 +220,7 @@ def landing_cap(spark, sf_dir):
 _CAP_SQL = """
 WITH c AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'https://api.mixpanel.com/x' WHEN page_id % 5 = 1 THEN url || '/r.data' ELSE url END AS url,
                   CASE WHEN page_id % 4 = 0 THEN 'application/JSON' ELSE 'text/html' END AS content_type,
-                  CASE page_id % 3 WHEN 0 THEN '{"hits": [' || page_id || ']}' WHEN 1 THEN '  [1, 2, "' || substr(url, 1, 30) || '"]' ELSE html END AS body FROM pages)
+                  CASE page_id % 3 WHEN 0 THEN '{"hits": [' || page_id || ']}' WHEN 1 THEN '  [1, 2, "' || url || '"]' ELSE html END AS body FROM pages)
 """
 
 
@@ -238,7 +238,7 @@ def capture_filter(spark, sf_dir):
         F.when(k5 == 0, "https://api.mixpanel.com/x").when(k5 == 1, F.concat("url", F.lit("/r.data"))).otherwise(F.col("url")).alias("url"),
         F.when(F.col("page_id") % 4 == 0, "application/JSON").otherwise("text/html").alias("content_type"),
         F.when(k3 == 0, F.concat(F.lit('{"hits": ['), F.col("page_id").cast("string"), F.lit("]}")))
-        .when(k3 == 1, F.concat(F.lit('  [1, 2, "'), F.left("url", F.lit(30)), F.lit('"]')))
+        .when(k3 == 1, F.concat(F.lit('  [1, 2, "'), F.col("url"), F.lit('"]')))
         .otherwise(F.col("html")).alias("body"),
     )
     headers = F.create_map(

@@ -388,7 +388,7 @@ AND contains(lower(concat_ws(' ', piece_name, source, materials_gemstones, notes
 )
 def browse_filter(spark, sf_dir):
     f = browse.BrowseFilter(type="dealer", status="For sale", category="PROMO", tag="Forge", text=" OLD ")
-    return _flat(browse.browse_filter(_browse(spark, sf_dir), f))
+    return _flat(browse.browse_filter(browse.browse_union(sales(spark, sf_dir), listings(spark, sf_dir), f), f))
 
 
 @query(with_views(f"SELECT id, type, price, date FROM browse WHERE list_contains(tags, 'Cold')", *_B))

@@ -96,5 +96,5 @@ def run_sources(raw: DataFrame, sources: list[Source], write: Callable[[str, Dat
             write(s.name, s.extract(raw.where(F.col("source") == s.name), **s.params))
             outcome.append({"source": s.name, "status": "done", "error": None})
         except Exception as e:  # noqa: BLE001 - the next source must still run
-            outcome.append({"source": s.name, "status": "failed", "error": str(e)[:500]})
+            outcome.append({"source": s.name, "status": "failed", "error": str(e)})
     return outcome

@@ -104,13 +104,17 @@ def money_text_lots(raw: DataFrame, house: str) -> DataFrame:
 
 
 def document_hits(raw: DataFrame, default_house: str) -> DataFrame:
-    """Documents that several responses may repeat; the first one counts, broken bodies are skipped."""
+    """Documents that several responses of one capture may repeat; the first one counts, broken bodies are skipped.
+
+    A capture is a source on a run date: the same document on another day, or from another source, is a row of its own.
+    """
     found = items_of(raw, _first_result(_DOCUMENTS)).withColumn("it", F.col("it.document"))
     found = found.where(blank_to_null(F.col("it.id")).isNotNull())
     keep = [c for c in found.columns if c != "it"]
     # an aggregate per document, so repeats shrink before the shuffle
     order = F.struct(*[c for c in ("page", "pos", "item") if c in keep])
-    once = found.groupBy(F.col("it.id").alias("_doc")).agg(F.min_by(F.struct(*keep, "it"), order).alias("r"))
+    capture = [c for c in ("source", "run_date") if c in keep]
+    once = found.groupBy(*[F.col(c).alias(f"_{c}") for c in capture], F.col("it.id").alias("_doc")).agg(F.min_by(F.struct(*keep, "it"), order).alias("r"))
     rows = once.select("r.*")
     d = lambda name: F.col(f"it.{name}")
     sold, low, high = (positive(d(f"price.{n}")) for n in ("hammerPrice", "estimateLow", "estimateHigh"))

@@ -107,8 +107,9 @@ def _first_array(text: str | None) -> str | None:
 
 
 @F.pandas_udf(StringType())
-def _scan(texts: pd.Series) -> pd.Series:
-    return texts.map(_first_array, na_action="ignore")
+def _scan(lists: pd.Series) -> pd.Series:
+    """The first array that a bracket scan finds in a list of texts, text by text."""
+    return lists.map(lambda texts: None if texts is None else next(filter(None, map(_first_array, texts)), None))
 
 
 def _as_array(text: Column) -> Column:
@@ -132,9 +133,9 @@ _REPLY = "content ARRAY<STRUCT<type STRING, text STRING>>"
 def reply_items(raw: DataFrame, fields: list[str]) -> DataFrame:
     """Objects of the array that a reply holds, with the wanted fields as text.
 
-    The last text block is tried first, then the earlier ones, then all of them together.
-    Replies in which the built-in slices hold no array are scanned for balanced brackets;
-    only those texts reach Python.
+    The last text block is tried first, then the earlier ones, then all of them together. Each text is tried in full
+    before the next one: as it is, from its first to its last bracket, then by a scan for balanced brackets. Only texts
+    with a bracket that stand before the first one which the built-in slices can read reach Python.
     """
     blocks = F.transform(
         F.filter(F.from_json("body", _REPLY)["content"], lambda b: (b["type"] == "text") & (b["text"] != "")),
@@ -143,12 +144,13 @@ def reply_items(raw: DataFrame, fields: list[str]) -> DataFrame:
     tried = F.concat(F.reverse(blocks), F.array(F.array_join(blocks, "\n")))
     keep = [c for c in raw.columns if c != "body"]
     rows = raw.withColumn("_tried", tried).where(F.size(blocks) > 0)
-    found = F.filter(F.transform("_tried", json_array_of), lambda a: a.isNotNull())
-    rows = rows.withColumn("_quick", F.get(found, F.lit(0)))
-    everything = tidy(F.regexp_replace(F.regexp_replace(F.get("_tried", F.lit(0)), r"(?i)```(?:json)?\s*", ""), "```", ""))
-    joined = F.try_element_at("_tried", F.lit(-1))
-    rest = lambda c: F.when(F.col("_quick").isNull() & F.contains(c, F.lit("[")), c)
-    rows = rows.withColumn("_array", F.coalesce("_quick", _scan(rest(everything)), _scan(rest(joined))))
+    plain = lambda t: tidy(F.regexp_replace(F.regexp_replace(t, r"(?i)```(?:json)?\s*", ""), "```", ""))
+    # exploding a one-element array keeps the slices from being tried again for each use
+    rows = rows.withColumn("_quick", F.explode(F.array(F.transform("_tried", json_array_of))))
+    at = F.array_position(F.transform("_quick", lambda a: a.isNotNull()), True)
+    early = F.slice("_tried", F.lit(1), F.when(at > 0, at - 1).otherwise(F.size("_tried")).cast("int"))
+    early = F.filter(F.transform(early, plain), lambda t: F.contains(t, F.lit("[")))
+    rows = rows.withColumn("_array", F.coalesce(_scan(F.when(F.size(early) > 0, early)), F.get("_quick", (at - 1).cast("int"))))
     items = F.from_json("_array", "array<variant>")
     out = rows.select(*keep, F.posexplode(items).alias("item", "_v"))
     out = out.where(F.schema_of_variant("_v").startswith("OBJECT"))

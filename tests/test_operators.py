@@ -268,9 +268,27 @@ def test_filters_reach_the_scans(spark, tmp_path):
     d = spark.createDataFrame([], schemas.LISTING)
     a.write.parquet(str(tmp_path / "a"))
     d.write.parquet(str(tmp_path / "d"))
-    rows = browse.browse_union(spark.read.parquet(str(tmp_path / "a")), spark.read.parquet(str(tmp_path / "d")))
-    text = plan(browse.browse_filter(rows, browse.BrowseFilter(source="X")).select("id"))
-    assert text.count("PushedFilters: [") == 2 and "notes" not in text
+    f = browse.BrowseFilter(source="X", category="ring")
+    rows = browse.browse_union(spark.read.parquet(str(tmp_path / "a")), spark.read.parquet(str(tmp_path / "d")), f)
+    text = plan(browse.browse_filter(rows, f).select("id"))
+    for column in ("auction_house", "dealer"):
+        assert f"EqualTo({column},X)" in text
+    assert text.count("EqualTo(category,ring)") == 2 and "notes" not in text
+
+
+def test_pushed_filters_keep_what_the_plain_filter_keeps(spark):
+    names = ["X", " X ", "Xavier", "", None, "Unknown house", "Unknown dealer"]
+    kinds = ["ring", "other", None, " ring", "rings"]
+    pairs_ = [(n, k) for n in names for k in kinds]
+
+    def store(schema, column):
+        rows = [tuple({"id": f"{column}{i}", column: n, "category": k}.get(f.name) for f in schema.fields) for i, (n, k) in enumerate(pairs_)]
+        return spark.createDataFrame(rows, schema)
+
+    a, d = store(schemas.AUCTION, "auction_house"), store(schemas.LISTING, "dealer")
+    for f in [browse.BrowseFilter(source=s, category=c) for s in (None, "X", "Unknown house", "Unknown dealer") for c in (None, "ring", "other")]:
+        plain = browse.browse_filter(browse.browse_union(a, d), f).select("id").collect()
+        assert sorted(browse.browse_filter(browse.browse_union(a, d, f), f).select("id").collect()) == sorted(plain)
 
 
 def test_series_replaces_the_same_date(spark):
