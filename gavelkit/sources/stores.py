@@ -135,22 +135,30 @@ class VersionedStore:
     def __init__(self, spark: SparkSession, name: str, folder: str, schema: StructType, buckets: int = 64) -> None:
         self.spark, self.name, self.folder, self.schema, self.buckets = spark, name, folder.rstrip("/"), schema, buckets
 
-    def _path(self, version: int) -> str:
-        return f"{self.folder}/v={version:010d}"
+    def _path(self, version: int, tag: str = "") -> str:
+        return f"{self.folder}/{self._written().get(version) or f'v={version:010d}' + (f'.{tag}' if tag else '')}"
 
     def versions(self) -> list[int]:
+        return sorted(self._written())
+
+    def tags(self) -> set[str]:
+        """Names of the batches that versions were written for."""
+        return {label.partition(".")[2] for label in self._written().values()} - {""}
+
+    def _written(self) -> dict[int, str]:
+        """Folder names of the versions whose write ended."""
         jvm = self.spark._jvm
         root = jvm.org.apache.hadoop.fs.Path(self.folder)
         fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
         if not fs.exists(root):
-            return []
-        done = []
+            return {}
+        done = {}
         for status in fs.listStatus(root):
             label = status.getPath().getName()
             marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
             if label.startswith("v=") and fs.exists(marker):
-                done.append(int(label[2:]))
-        return sorted(done)
+                done[int(label[2:].partition(".")[0])] = label
+        return done
 
     def read(self, version: int | None = None) -> DataFrame:
         done = self.versions()
@@ -166,8 +174,8 @@ class VersionedStore:
             )
         return self.spark.table(table)
 
-    def write(self, rows: DataFrame, version: int) -> None:
-        """Write a version; a version that exists is left as it is, so a repeated batch is harmless."""
+    def write(self, rows: DataFrame, version: int, tag: str = "") -> None:
+        """Write a version, for the batch ``tag``; a version that exists is left as it is."""
         if version in self.versions():
             return
         table = f"{self.name}_v{version}"
@@ -176,7 +184,7 @@ class VersionedStore:
             rows.select(*self.schema.fieldNames())
             .repartition(self.buckets, "id")
             .write.format("parquet").mode("overwrite").bucketBy(self.buckets, "id").sortBy("id")
-            .option("path", self._path(version)).saveAsTable(table)
+            .option("path", self._path(version, tag)).saveAsTable(table)
         )
 
 

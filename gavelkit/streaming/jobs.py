@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
+from datetime import UTC, datetime
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from gavelkit.functions import fixed
 from gavelkit.operators.store import mark_missing, merge_listings
@@ -27,13 +29,15 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Merge landed listing batches into a versioned store as they arrive.
 
-    ``batches`` carries ``run_date``. The version number is the batch number, and a version is
-    written once, so a batch that runs again after a failure changes nothing. The bucketed
-    store is not shuffled by the merge.
+    ``batches`` carries ``run_date``. Each version keeps the name of its batch, which is the
+    checkpoint's and the batch's number: a batch that runs again after a failure changes nothing,
+    and a new checkpoint on the same store goes on from its latest version.
     """
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if (batch_id + 1) in store.versions():
+        tag = f"{stream}-{batch_id}"
+        if tag in store.tags():
             return
         days = [r[0] for r in batch.select("run_date").distinct().orderBy("run_date").collect()]
         if not days:
@@ -43,7 +47,7 @@ def upsert_stream(
         for day in days:
             current = merge_listings(current, batch.where(F.col("run_date") == day), day, order, rules)
             current = mark_missing(current, day)
-        store.write(current, batch_id + 1)
+        store.write(current, max(store.versions(), default=0) + 1, tag)
 
     writer = batches.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -55,40 +59,43 @@ _SEEN = StructType(
         StructField("times_seen", IntegerType()), StructField("last_price", DoubleType()), StructField("status", StringType()),
     ]
 )
-_STATE = StructType(_SEEN.fields[1:5])
+# also the time of the last price, and the days already counted that the watermark still lets in, comma-joined
+_STATE = StructType([*_SEEN.fields[1:5], StructField("price_ms", LongType()), StructField("days", StringType())])
 
 
 def lifecycle_stream(sightings: DataFrame, quiet: str = "7 days", late: str = "1 day") -> DataFrame:
     """Keep first and last day, days seen and last price per listing; report changes.
 
     ``sightings``: id, ts, date, price. A listing not seen for ``quiet`` becomes inactive when
-    the watermark passes. Rows of a key arrive in chunks and only a few numbers are kept, so a
-    busy key does not fill memory. Late rows behind the last day do not count a day again.
+    the watermark passes; its numbers stay, so one that returns goes on counting. Rows of a key
+    arrive in chunks and only a few numbers are kept, so a busy key does not fill memory. The price
+    is that of the latest time, whenever its row arrives; a late day counts once, as any other.
     """
     quiet_ms = int(pd.Timedelta(quiet).total_seconds() * 1000)
 
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
-            first, last, times, price = state.get
-            state.remove()
-            yield pd.DataFrame([[key[0], first, last, times, price, "inactive"]], columns=_SEEN.fieldNames())
+            state.update(state.get)  # without a new time-out
+            yield pd.DataFrame([[key[0], *state.get[:4], "inactive"]], columns=_SEEN.fieldNames())
             return
-        first, last, times, price = state.get if state.exists else (None, None, 0, None)
-        newest, days, latest = 0, set(), None
+        first, last, times, price, price_ms, known = state.get if state.exists else (None, None, 0, None, None, "")
+        newest, days = 0, set()
         for rows in chunks:
             days.update(rows["date"].unique())
             newest = max(newest, int(rows["ts"].max().timestamp() * 1000))
             priced = rows[rows["price"].notna()]
             if len(priced):
                 top = priced.loc[priced["ts"].idxmax()]
-                if latest is None or top["ts"] > latest[0]:
-                    latest = (top["ts"], float(top["price"]))
-        if latest is not None:
-            price = latest[1]
-        times += sum(1 for d in days if last is None or d > last)
+                at = int(top["ts"].timestamp() * 1000)
+                if price_ms is None or at > price_ms:
+                    price_ms, price = at, float(top["price"])
+        counted = set(known.split(",")) - {""}
+        times += len(days - counted)
+        open_from = datetime.fromtimestamp(state.getCurrentWatermarkMs() / 1000, UTC).strftime("%Y-%m-%d")
+        known = ",".join(sorted(d for d in days | counted if d >= open_from))
         first = min([first, *days]) if first else min(days)
         last = max([last, *days]) if last else max(days)
-        state.update((first, last, times, price))
+        state.update((first, last, times, price, price_ms, known))
         state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + quiet_ms)
         yield pd.DataFrame([[key[0], first, last, times, price, "active"]], columns=_SEEN.fieldNames())
 

@@ -160,3 +160,33 @@ def test_upsert_stream_is_repeatable(spark, tmp_path):
     run()
     r = {x["id"]: (x["piece_name"], x["asking_price"], x["times_seen"], x["status"]) for x in kept.read().collect()}
     assert r == {"1": ("x", 4.0, 2, "active"), "2": ("y", 6.0, 1, "inactive")}
+
+
+def test_a_second_checkpoint_goes_on_from_the_store(spark, tmp_path):
+    cols = "id string, piece_name string, asking_price double, run_date string, source string, pos int"
+    absent = [f for f in schemas.LISTING.fields if f.name not in ("id", "piece_name", "asking_price", "source")]
+    wide = lambda r: spark.createDataFrame(r, cols).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
+    kept = stores.VersionedStore(spark, "t_second", str(tmp_path / "v"), schemas.LISTING, buckets=2)
+    for n in ("1", "2"):
+        wide([(n, "x", 5.0, f"2026-01-0{n}", "s", 1)]).write.parquet(str(tmp_path / n))
+        stream = spark.readStream.schema(wide([]).schema).parquet(str(tmp_path / n))
+        jobs.upsert_stream(stream, kept, str(tmp_path / f"ck{n}"), ["pos"]).awaitTermination()
+    assert sorted(r["id"] for r in kept.read().collect()) == ["1", "2"] and kept.versions() == [1, 2]
+
+
+def test_lifecycle_stream_late_rows_and_returns(spark, tmp_path):
+    make = lambda r: spark.createDataFrame(r, "id string, t string, price double").selectExpr("id", "cast(t AS timestamp) AS ts", "substr(t, 1, 10) AS date", "price").coalesce(1)
+    batches = [
+        [("a", "2026-01-03 10:00:00", 100.0)],
+        [("a", "2026-01-02 12:00:00", 7.0)],  # late: another day, an older price
+        [("b", "2026-03-01 10:00:00", 1.0)],
+        [("b", "2026-03-02 10:00:00", 1.0)],
+        [("a", "2026-03-03 10:00:00", None)],
+    ]
+    for k, rows in enumerate(batches):
+        make(rows).write.parquet(str(tmp_path / "in" / f"p={k}"))
+    stream = spark.readStream.schema(make(batches[0]).schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in") + "/p=*")
+    out = jobs.run_to_table(jobs.lifecycle_stream(stream, "7 days", "3 days"), str(tmp_path / "out"), str(tmp_path / "ck"), "update")
+    got = [(r["status"], r["first_seen"], r["last_seen"], r["times_seen"], r["last_price"]) for r in out.where("id = 'a'").orderBy("batch").collect()]
+    assert got[:2] == [("active", "2026-01-03", "2026-01-03", 1, 100.0), ("active", "2026-01-02", "2026-01-03", 2, 100.0)]
+    assert ("inactive", "2026-01-02", "2026-01-03", 2, 100.0) in got and got[-1] == ("active", "2026-01-02", "2026-03-03", 3, 100.0)
