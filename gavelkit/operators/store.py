@@ -91,6 +91,31 @@ def merge_listings(prev: DataFrame, batch: DataFrame, run_date: str, order: list
     )
 
 
+def merge_listing_days(prev: DataFrame, rows: DataFrame, day: str, order: list[str], rules=None) -> DataFrame:
+    """The next version of the store of listings after all the runs that ``rows`` hold, named by the column ``day``.
+
+    The same as merging day after day, in one fold and one join whatever the number of days; ``mark_missing`` with the
+    last day comes after it. Days lie after those already merged; the last one merged may come again and doesn't count
+    twice.
+    """
+    kept = ["first_seen", "last_seen", "times_seen", "status", "asking_price_usd"]
+    runs = rows.groupBy("id").agg(F.min(day).alias("_from"), F.max(day).alias("_to"), F.count_distinct(day).cast("int").alias("_days"))
+    out = _merged(prev, fold_batch(rows, LISTING_FIELDS, [day, *order]), LISTING_FIELDS, kept).join(runs, "id", "left")
+    seen = F.col("_in_batch")
+    again = F.when(F.col("last_seen").eqNullSafe(F.col("_from")), 1).otherwise(0)
+    first = F.coalesce("first_seen", "_from")
+    usd = usd_price(F.col("asking_price"), F.col("currency_note"), first, 1970)  # a listing in the rows has a first day
+    return (
+        out.withColumn("tags", _tags(rules))
+        .withColumn("asking_price_usd", F.when(seen, usd).otherwise(F.col("asking_price_usd")))
+        .withColumn("times_seen", F.when(seen, F.coalesce("times_seen", F.lit(0)) + F.col("_days") - again).otherwise(F.col("times_seen")))
+        .withColumn("first_seen", first)
+        .withColumn("last_seen", F.when(seen, F.col("_to")).otherwise(F.col("last_seen")))
+        .withColumn("status", F.when(seen, "active").otherwise(F.col("status")))
+        .select(*LISTING.fieldNames())
+    )
+
+
 def mark_missing(store: DataFrame, run_date: str, sources: DataFrame | None = None) -> DataFrame:
     """Listings not seen today become inactive.
 

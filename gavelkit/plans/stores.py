@@ -114,13 +114,10 @@ def _with_order(rows):
     return rows.select(*rows.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
 
 
-_RUNS = ["2024-01-10", "2024-01-20", "2024-01-29", "2024-01-30"]
-
-
-def _listing_batch(rows, day):
-    """The sightings of one day as a listing batch."""
-    shaped = rows.where(F.col("date") == day).select(
-        "id", "piece_name", "category", "price_type", "notes", "pos",
+def _listing_rows(rows):
+    """Sightings as rows of listing batches; ``date`` names the run."""
+    shaped = rows.select(
+        "id", "piece_name", "category", "price_type", "notes", "pos", "date",
         F.col("price").alias("asking_price"),
         F.lit("USD").alias("currency_note"),
         F.col("source_site").alias("dealer"),
@@ -130,31 +127,23 @@ def _listing_batch(rows, day):
     return shaped.select(*shaped.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
 
 
-def _lifecycle(spark, sf_dir, days):
-    rows = sightings(spark, sf_dir)
-    current = spark.createDataFrame([], schemas.LISTING)
-    for day in days:
-        current = store.merge_listings(current, _listing_batch(rows, day), day, ["pos"], DEMO_TAGS)
-        current = store.mark_missing(current, day)
-    return current
-
-
-_DAYS_SQL = ", ".join(f"'{d}'" for d in _RUNS)
-
-
 @query(
     with_views(
         f"""
 SELECT id, min(date) AS first_seen, max(date) AS last_seen, CAST(count(DISTINCT date) AS INTEGER) AS times_seen,
-       CASE WHEN max(date) = '{_RUNS[-1]}' THEN 'active' ELSE 'inactive' END AS status, {last_sql('price')} AS asking_price,
+       CASE WHEN max(date) = '{_END}' THEN 'active' ELSE 'inactive' END AS status, {last_sql('price')} AS asking_price,
        {last_sql('notes')} AS notes
-FROM sightings WHERE date IN ({_DAYS_SQL}) GROUP BY id""",
+FROM sightings WHERE date <= '{_END}' GROUP BY id""",
         SIGHTINGS_SQL,
     )
 )
 def listing_lifecycle(spark, sf_dir):
-    # the last day runs twice: a second run on the same day must not count again
-    out = _lifecycle(spark, sf_dir, [*_RUNS, _RUNS[-1]])
+    rows = _listing_rows(sightings(spark, sf_dir)).where(F.col("date") <= _END)
+    on = lambda d: rows.where(F.col("date") == d)
+    # all scan days: those before the last in one merge, then the last one twice: it must not count again
+    out = store.merge_listing_days(spark.createDataFrame([], schemas.LISTING), rows.where(F.col("date") < _END), "date", ["pos"], DEMO_TAGS)
+    for _ in range(2):
+        out = store.mark_missing(store.merge_listings(out, on(_END), _END, ["pos"], DEMO_TAGS), _END)
     return out.select("id", "first_seen", "last_seen", "times_seen", "status", "asking_price", "notes")
 
 
@@ -162,22 +151,21 @@ def listing_lifecycle(spark, sf_dir):
     with_views(
         f"""
 , s AS (SELECT id, max(date) AS last_seen, min(source_site) AS source FROM sightings
-        WHERE date IN ('{_RUNS[0]}', '{_RUNS[1]}') AND NOT (date = '{_RUNS[1]}' AND source_site = 'error') GROUP BY id)
-SELECT id, last_seen, CASE WHEN last_seen = '{_RUNS[1]}' THEN 'active' ELSE 'inactive' END AS status_run,
-       CASE WHEN last_seen = '{_RUNS[1]}' OR source = 'error' THEN 'active' ELSE 'inactive' END AS status_source
+        WHERE date <= '{_END}' AND NOT (date = '{_END}' AND source_site = 'error') GROUP BY id)
+SELECT id, last_seen, CASE WHEN last_seen = '{_END}' THEN 'active' ELSE 'inactive' END AS status_run,
+       CASE WHEN last_seen = '{_END}' OR source = 'error' THEN 'active' ELSE 'inactive' END AS status_source
 FROM s""",
         SIGHTINGS_SQL,
     )
 )
 def mark_inactive(spark, sf_dir):
-    rows = sightings(spark, sf_dir)
-    empty = spark.createDataFrame([], schemas.LISTING)
-    first = store.merge_listings(empty, _listing_batch(rows, _RUNS[0]), _RUNS[0], ["pos"])
-    batch = _listing_batch(rows, _RUNS[1]).where(F.col("source") != "error")
-    merged = store.merge_listings(first, batch, _RUNS[1], ["pos"])
-    by_run = store.mark_missing(merged, _RUNS[1])
+    rows = _listing_rows(sightings(spark, sf_dir)).where(F.col("date") <= _END)
+    first = store.merge_listing_days(spark.createDataFrame([], schemas.LISTING), rows.where(F.col("date") < _END), "date", ["pos"])
+    batch = rows.where((F.col("date") == _END) & (F.col("source") != "error"))
+    merged = store.merge_listings(first, batch, _END, ["pos"])
+    by_run = store.mark_missing(merged, _END)
     both = store.mark_missing(
-        by_run.withColumn("_by_run", F.col("status")).withColumn("status", F.lit("active")), _RUNS[1], batch
+        by_run.withColumn("_by_run", F.col("status")).withColumn("status", F.lit("active")), _END, batch
     )
     return both.select("id", "last_seen", F.col("_by_run").alias("status_run"), F.col("status").alias("status_source"))
 

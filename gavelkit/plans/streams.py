@@ -70,22 +70,18 @@ def stream_lifecycle(spark, sf_dir):
     return last.select("id", "r.*")
 
 
-_DAYS = ["2024-01-10", "2024-01-20", "2024-01-30"]
-_DAYS_SQL = ", ".join(f"'{d}'" for d in _DAYS)
-
-
 @query(
     with_views(
         f"""
 SELECT id, min(date) AS first_seen, max(date) AS last_seen, CAST(count(DISTINCT date) AS INTEGER) AS times_seen,
-       CASE WHEN max(date) = '{_DAYS[-1]}' THEN 'active' ELSE 'inactive' END AS status, {last_sql('price')} AS asking_price
-FROM sightings WHERE date IN ({_DAYS_SQL}) GROUP BY id""",
+       CASE WHEN max(date) = (SELECT max(date) FROM sightings) THEN 'active' ELSE 'inactive' END AS status, {last_sql('price')} AS asking_price
+FROM sightings GROUP BY id""",
         SIGHTINGS_SQL,
     )
 )
 def stream_store_upsert(spark, sf_dir):
     day = F.col("ts").cast("date").cast("string")
-    rows = _events(spark, sf_dir).where(day.isin(*_DAYS)).select(
+    rows = _events(spark, sf_dir).select(
         F.concat_ws("|", F.col("user_id").cast("string"), "event_type").alias("id"), day.alias("run_date"), F.col("event_id").alias("pos"),
         F.concat(F.lit("piece "), F.col("user_id").cast("string")).alias("piece_name"),
         F.when(F.col("event_id") % 7 != 0, F.col("value")).alias("asking_price"), F.col("event_type").alias("source"),

@@ -14,7 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from gavelkit.functions import fixed
-from gavelkit.operators.store import mark_missing, merge_listings
+from gavelkit.operators.store import mark_missing, merge_listing_days
 from gavelkit.sources.stores import VersionedStore
 
 
@@ -39,14 +39,10 @@ def upsert_stream(
         tag = f"{stream}-{batch_id}"
         if tag in store.tags():
             return
-        days = [r[0] for r in batch.select("run_date").distinct().orderBy("run_date").collect()]
-        if not days:
+        last = batch.agg(F.max("run_date")).first()[0]
+        if last is None:
             return
-        current = store.read()
-        # a micro-batch spans few run dates; each is one merge, in order
-        for day in days:
-            current = merge_listings(current, batch.where(F.col("run_date") == day), day, order, rules)
-            current = mark_missing(current, day)
+        current = mark_missing(merge_listing_days(store.read(), batch, "run_date", order, rules), last)
         store.write(current, max(store.versions(), default=0) + 1, tag)
 
     writer = batches.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -190,3 +190,22 @@ def test_lifecycle_stream_late_rows_and_returns(spark, tmp_path):
     got = [(r["status"], r["first_seen"], r["last_seen"], r["times_seen"], r["last_price"]) for r in out.where("id = 'a'").orderBy("batch").collect()]
     assert got[:2] == [("active", "2026-01-03", "2026-01-03", 1, 100.0), ("active", "2026-01-02", "2026-01-03", 2, 100.0)]
     assert ("inactive", "2026-01-02", "2026-01-03", 2, 100.0) in got and got[-1] == ("active", "2026-01-02", "2026-03-03", 3, 100.0)
+
+
+def test_many_days_in_one_merge_equal_day_after_day(spark):
+    cols = "id string, piece_name string, asking_price double, notes string, date string, source string, pos int"
+    absent = [f for f in schemas.LISTING.fields if f.name not in ("id", "piece_name", "asking_price", "notes", "source")]
+    wide = lambda r: spark.createDataFrame(r, cols).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
+    rows = wide(
+        [("1", "x", 5.0, None, "2025-12-30", "s", 1), ("1", None, 6.0, "ruby", "2025-12-30", "t", 2), ("2", "y", None, None, "2025-12-31", "s", 1)]
+        + [("1", "z", None, None, "2026-01-02", "u", 1), ("3", "w", 9.0, "new", "2026-01-02", "s", 1), ("2", None, 4.0, None, "2026-01-01", "v", 3)]
+    )
+    days = ["2025-12-30", "2025-12-31", "2026-01-01", "2026-01-02"]
+    slow = empty = spark.createDataFrame([], schemas.LISTING)
+    for d in days:
+        slow = store.mark_missing(store.merge_listings(slow, rows.where(F.col("date") == d), d, ["pos"]), d)
+    fast = store.mark_missing(store.merge_listing_days(empty, rows, "date", ["pos"]), days[-1])
+    early = store.merge_listing_days(empty, rows.where(F.col("date") <= days[1]), "date", ["pos"])
+    parts = store.mark_missing(store.merge_listing_days(early, rows.where(F.col("date") >= days[1]), "date", ["pos"]), days[-1])
+    want = sorted(map(str, slow.collect()))
+    assert sorted(map(str, fast.collect())) == want and sorted(map(str, parts.collect())) == want
