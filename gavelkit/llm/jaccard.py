@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from gavelkit.session import pinned
 
 WIDTH, PERCENT = 5, 75
-HOT_DOCS, HOT_LIMIT, GROUP = 16, 500_000, 32
+HOT_DOCS, HOT_LIMIT, GROUP, SHORT = 16, 500_000, 32, 8
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -236,19 +236,21 @@ def components(edges: DataFrame) -> DataFrame:
     return pinned(edges.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(roots.select("node", F.col("node").alias("comp"))), "components")
 
 
-def _posted(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """key, node of all tokens that more than one class is found by: equal lists of nodes are one key; hot tokens are keys."""
-    lists = classes.select("node", F.explode("cool").alias("token")).groupBy("token").agg(F.sort_array(F.collect_list("node")).alias("nodes")).where("size(nodes) > 1")
-    lists = pinned(lists.select("nodes").distinct().select(F.monotonically_increasing_id().alias("key"), "nodes"), "lists")
-    hot = pinned(classes.select(F.explode("hot").alias("key"), "node"), "hot")
-    return lists, hot
+def _posted(classes: DataFrame) -> DataFrame:
+    """key, nodes, c: the lists of nodes that c cool tokens have in common, of two nodes or more."""
+    lists = classes.select("node", F.explode("cool").alias("token")).groupBy("token").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
+    lists = lists.where("size(nodes) > 1").groupBy("nodes").agg(F.count("*").alias("c"))
+    return pinned(lists.select(F.monotonically_increasing_id().alias("key"), "nodes", "c"), "lists")
 
 
-def _stars(lists: DataFrame, hot: DataFrame) -> DataFrame:
-    """Pairs of each node with the first node of a list, and of each node with the first node that a hot token finds."""
-    short = lists.select(F.element_at("nodes", 1).alias("b"), F.explode(F.slice("nodes", 2, F.size("nodes"))).alias("a"))
+def _stars(lists: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of a node and a leader: of the first nodes of its lists the one that shares most tokens, and the first node of three of its hot tokens."""
+    short = lists.select(F.element_at("nodes", 1).alias("b"), F.explode(F.slice("nodes", 2, F.size("nodes"))).alias("a"), "c")
+    best = short.groupBy("a", "b").agg(F.sum("c").alias("c")).groupBy("a").agg(F.max_by("b", F.struct("c", -F.col("b"))).alias("b"))
+    least = lambda k: F.array_min(F.transform("hot", lambda t: F.struct(F.xxhash64(t, F.lit(k)).alias("o"), t.alias("t"))))["t"]
+    hot = pinned(classes.where("size(hot) > 0").select("node", F.explode(F.array_distinct(F.array(*[least(k) for k in range(3)]))).alias("key")), "hot")
     lead = pinned(hot.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("c")).where("c > 1").select("key", "b"), "leaders")
-    return short.select("a", "b").unionByName(hot.join(lead, "key").where("node <> b").select(F.col("node").alias("a"), "b")).distinct()
+    return best.select("a", "b").unionByName(hot.join(lead, "key").where("node <> b").select(F.col("node").alias("a"), "b")).distinct()
 
 
 def _near_size(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -289,21 +291,37 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return near.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(run, "a bigint, b bigint")
 
 
-def _open_groups(lists: DataFrame, hot: DataFrame, comp: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, group: int) -> DataFrame:
-    """Links between components that the stars didn't show, through the token-group matrix."""
-    posts = hot.unionByName(lists.select(F.col("key"), F.explode("nodes").alias("node")))
-    posts = pinned(posts.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")).distinct(), "posts")
+def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, group: int) -> DataFrame:
+    """Links between components that the stars didn't show, through the token-group matrix.
+
+    Two linked sets share at least o - need(n) + 1 of the tokens that each is found by, n being the size of the one whose
+    tokens end first and o the overlap that a link takes. Keys that many nodes have (long ones) only bring a query and a
+    group together where they alone could make up that number; else a short key must do it.
+    """
+    nodes = classes.select("node", "n", "hot").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    nodes = pinned(nodes, "nodes")
+    of_lists = lists.select("key", F.col("c"), (F.size("nodes") > SHORT).alias("long"), F.explode("nodes").alias("node")).join(nodes.select("node", "n", "comp"), "node")
+    of_hot = nodes.where("size(hot) > 0").select(F.explode("hot").alias("key"), F.lit(1).cast("bigint").alias("c"), F.lit(True).alias("long"), "node", "n", "comp")
+    posts = pinned(of_lists.unionByName(of_hot), "posts")
     mixed = pinned(posts.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "mixed")
-    posts = pinned(posts.join(mixed, "key").join(classes.select("node", "n"), "node"), "mixed-posts")
-    members = posts.select("node", "comp", "n").distinct()
+    posts = pinned(posts.join(mixed, "key"), "mixed-posts")
+    members = posts.groupBy("node", "comp", "n").agg(F.sum(F.when(F.col("long"), F.col("c")).otherwise(0)).alias("h"))
     sizes = pinned(members.groupBy("comp").agg(F.count("*").alias("size")), "sizes")
     members = members.join(sizes, "comp").withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / group)))
-    members = pinned(members.select("node", "n", "comp", F.xxhash64("comp", "part").alias("group")), "members")
+    members = pinned(members.select("node", "n", "h", "comp", F.xxhash64("comp", "part").alias("group")), "members")
     # a query goes to groups of components before its own; per key only the distinct groups matter
-    bounds = pinned(members.groupBy("group").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("g_comp")), "bounds")
-    to = pinned(posts.join(members.select("node", "group"), "node").select("key", "group").distinct().join(bounds, "group"), "to")
-    asked = posts.join(to, "key").where((F.col("g_comp") < F.col("comp")) & (100 * F.col("n") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("n")))
-    asked = pinned(asked.select(F.col("node").alias("q"), "group").distinct(), "asked")
+    bounds = members.groupBy("group").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("g_comp"), F.max("h").alias("g_h"))
+    to = posts.join(members.select("node", "group"), "node").select("key", "group").distinct()
+    to = pinned(to.join(pinned(bounds, "bounds"), "group"), "to")
+    from_ = pinned(posts.join(members.select("node", "h"), "node"), "from")
+    n, least, most = F.col("n"), F.col("least"), F.col("most")
+    overlap = lambda m: F.ceil(percent * (n + m) / (100 + percent))
+    floor = lambda m: F.ceil(percent * m / 100)
+    shared = F.greatest(F.lit(1), F.least(overlap(least) - floor(n), overlap(most) - floor(most)) + 1)
+    slack = F.least("h", "g_h")
+    meets = (F.col("g_comp") < F.col("comp")) & (100 * n >= percent * least) & (100 * most >= percent * n) & (~F.col("long") | (shared <= slack))
+    asked = from_.join(to, "key").where(meets).groupBy(F.col("node").alias("q"), "group").agg(F.sum("c").alias("c"), F.max(shared - slack).alias("due"))
+    asked = pinned(asked.where("c >= due").select("q", "group"), "asked")
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -364,10 +382,10 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     sets = _sets(rows)
     hot, rank = _hot_tokens(sets, hot_docs, hot_limit)
     classes = _classes(rows, hot, rank, percent)
-    lists, hot_posts = _posted(classes)
-    edges = _checked(_stars(lists, hot_posts), rows, classes, percent)
+    lists = _posted(classes)
+    edges = _checked(_stars(lists, classes), rows, classes, percent)
     comp = components(edges)
-    more = _open_groups(lists, hot_posts, comp, rows, classes, percent, group)
+    more = _open_groups(lists, comp, rows, classes, percent, group)
     if not more.isEmpty():
         comp = components(edges.unionByName(more))
     # names: only sets in a component of two or more take another name than their own first document
