@@ -47,7 +47,7 @@ PRICE_BANDS = [
     ("$120K+", 120000, float("inf")),
 ]
 
-# --- category rules, first match wins; WB stands for an ASCII word boundary --
+# --- category rules, first match wins --
 CATEGORY_RULES = {
     "A": [
         ("bracelet", r"bracelet|bangle|cuff(?!link)"),

@@ -284,7 +284,7 @@ def phone_list(c: Column) -> Column:
 
 def money_pair(c: Column) -> Column:
     """``USD 7,698,500`` as struct(currency, amount); null fields if the text differs."""
-    p = r"^([A-Z]{3})\s+([0-9,]+(?:\.[0-9]+)?)$"
+    p = r"^([A-Z]{3})\s+([\d,]+(?:\.\d+)?)$"
     t = tidy(F.coalesce(c, F.lit("")))
     amount = F.replace(F.regexp_extract(t, p, 2), F.lit(","), F.lit("")).try_cast("double")
     return F.struct(
@@ -294,7 +294,7 @@ def money_pair(c: Column) -> Column:
 
 def money_range(c: Column) -> Column:
     """``USD 3,000 - 5,000`` as struct(currency, low, high)."""
-    p = r"^([A-Z]{3})\s+([0-9,]+)\s*-\s*([0-9,]+)$"
+    p = r"^([A-Z]{3})\s+([\d,]+)\s*-\s*([\d,]+)$"
     t = tidy(F.coalesce(c, F.lit("")))
     low = F.replace(F.regexp_extract(t, p, 2), F.lit(","), F.lit("")).try_cast("double")
     high = F.replace(F.regexp_extract(t, p, 3), F.lit(","), F.lit("")).try_cast("double")
@@ -309,19 +309,19 @@ def money_range(c: Column) -> Column:
 def first_dollars(c: Column) -> Column:
     """The first ``$`` figure, thousands separators removed."""
     plain = F.replace(F.coalesce(c, F.lit("")), F.lit(","), F.lit(""))
-    return F.regexp_extract(plain, r"\$([0-9]+(?:\.[0-9]+)?)", 1).try_cast("double")
+    return F.regexp_extract(plain, r"\$(\d+(?:\.\d+)?)", 1).try_cast("double")
 
 
 def last_cents(c: Column) -> Column:
     """The last ``$`` figure that carries cents."""
-    figures = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"\$([0-9,]+\.[0-9]{2})"), F.lit(1))
+    figures = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"\$([\d,]+\.\d{2})"), F.lit(1))
     return F.replace(F.try_element_at(figures, F.lit(-1)), F.lit(","), F.lit("")).try_cast("double")
 
 
 def retail_note(c: Column) -> Column:
     """The retail estimate, with the discount if one is stated."""
-    off = r"([0-9]+)%\s*Off Est\. Retail \$([0-9,]+)"
-    plain = r"Est\. Retail \$([0-9,]+)"
+    off = r"(\d+)%\s*Off Est\. Retail \$([\d,]+)"
+    plain = r"Est\. Retail \$([\d,]+)"
     pct, was, est = F.regexp_extract(c, off, 1), F.regexp_extract(c, off, 2), F.regexp_extract(c, plain, 1)
     return (
         F.when(pct != "", F.concat(pct, F.lit("% off Est. Retail $"), was))

@@ -58,7 +58,7 @@ def page_title(html: Column) -> Column:
 
 def page_features(html: Column) -> list[Column]:
     """What a page offers an extractor: embedded state, linked data, search ids, prices, title."""
-    prices = F.regexp_extract_all(html, F.lit(r"\$[0-9,]{2,7}(?:\.[0-9]{2})?"), F.lit(0))
+    prices = F.regexp_extract_all(html, F.lit(r"\$[\d,]{2,7}(?:\.\d{2})?"), F.lit(0))
     found = lambda pattern: F.nullif(F.regexp_extract(html, pattern, 1), F.lit(""))
     return [
         F.contains(html, F.lit("__NEXT_DATA__")).alias("has_next_data"),
@@ -70,7 +70,7 @@ def page_features(html: Column) -> list[Column]:
         html.rlike("(?i)algolia").alias("mentions_search"),
         html.rlike(r'(?i)appId["\s:]').alias("mentions_app_id"),
         found(r'(?i)["\']?appId["\']?\s*[:=]\s*["\']([A-Z0-9]{6,12})["\']').alias("app_id"),
-        found(r'(?i)["\']?indexName["\']?\s*[:=]\s*["\']([A-Za-z0-9_.-]+)["\']').alias("index_name"),
+        found(r'(?i)["\']?indexName["\']?\s*[:=]\s*["\']([\w.-]+)["\']').alias("index_name"),
         F.size(prices).cast("bigint").alias("price_mentions"),
         F.slice(F.array_distinct(prices), 1, 10).alias("sample_prices"),
         page_title(html).alias("title"),
@@ -80,11 +80,11 @@ def page_features(html: Column) -> list[Column]:
 def product_facts(html: Column, keywords: list[str]) -> list[Column]:
     """Image, first price with cents, a text snippet, keyword hits, seller byline and vendor."""
     plain = page_text(html)
-    byline = r"(?i)(sold by|seller:|consigned by)\s*[:\-]?\s*([A-Z][A-Za-z0-9_&.,' -]{2,40})"
+    byline = r"(?i)(sold by|seller:|consigned by)\s*[:\-]?\s*([A-Z][\w&.,' -]{2,40})"
     some = lambda c: F.nullif(c, F.lit(""))
     return [
         some(F.regexp_extract(html, r'(?i)<meta property="og:image" content="([^"]+)"', 1)).alias("image"),
-        some(F.regexp_extract(html, r"\$[0-9,]+\.[0-9]{2}", 0)).alias("price"),
+        some(F.regexp_extract(html, r"\$[\d,]+\.\d{2}", 0)).alias("price"),
         F.left(plain, F.lit(400)).alias("snippet"),
         needles_found(F.lower(plain), keywords).alias("keywords"),
         some(F.regexp_extract(plain, byline, 0)).alias("byline"),

@@ -29,8 +29,8 @@ _CHUNK = '<div class="auction-lot">'
 _CHUNK_HREF = r'<a href="([^"]+)"'
 _CHUNK_TITLE = r"<span class='lot-title[^']*'>Lot\s+(\S+)<br\s*/>\s*([^<]*)</span>"
 _CHUNK_ORIGIN = r'<p class="stockfields-list">([^<]*)</p>'
-_CHUNK_SOLD = r"Sold for\s*\$([0-9,]+(?:\.[0-9]+)?)"
-_CHUNK_ESTIMATE = r"Estimated at\s*\$([0-9,]+(?:\.[0-9]+)?)\s*-\s*\$([0-9,]+(?:\.[0-9]+)?)"
+_CHUNK_SOLD = r"Sold for\s*\$([\d,]+(?:\.\d+)?)"
+_CHUNK_ESTIMATE = r"Estimated at\s*\$([\d,]+(?:\.\d+)?)\s*-\s*\$([\d,]+(?:\.\d+)?)"
 
 
 def attribute_state(raw: DataFrame, house: str, site: str) -> DataFrame:

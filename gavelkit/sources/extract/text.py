@@ -19,7 +19,7 @@ def rendered_blocks(raw: DataFrame, brand: str, dealer: str) -> DataFrame:
 
     The brand line opens every block and is no part of the title, so no brand filter follows.
     """
-    pattern = re.escape(brand) + r"\s*\n\s*([^\n]+?)\s*\n\s*Buy now\s*\n\s*([0-9,]+(?:\.[0-9]+)?)\s*([A-Z]{3})(?![A-Za-z0-9_])"
+    pattern = re.escape(brand) + r"\s*\n\s*([^\n]+?)\s*\n\s*Buy now\s*\n\s*([\d,]+(?:\.\d+)?)\s*([A-Z]{3})(?![A-Za-z0-9_])"
     part = lambda g: F.regexp_extract_all("body", F.lit(pattern), F.lit(g))
     rows = items_of(raw, F.arrays_zip(part(1).alias("name"), part(2).alias("price"), part(3).alias("currency")))
     rows = rows.select("*", positive(F.replace("it.price", F.lit(","), F.lit(""))).alias("amount"), tidy(F.col("it.name")).alias("name"))
