@@ -291,9 +291,11 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return near.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(run, "a bigint, b bigint")
 
 
-def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, group: int) -> DataFrame:
+def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, group: int, first: bool) -> DataFrame:
     """Links between components that the stars didn't show, through the token-group matrix.
 
+    With ``first`` a query is compared with one member of each qualifying group, else with all of them.
+
     Two linked sets share at least o - need(n) + 1 of the tokens that each is found by, n being the size of the one whose
     tokens end first and o the overlap that a link takes. Keys that many nodes have (long ones) only bring a query and a
     group together where they alone could make up that number; else a short key must do it.
@@ -341,7 +343,8 @@ def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: Da
     matrix = pinned(matrix.mapInArrow(unite, "group bigint, least bigint, until bigint, united array<bigint>"), "matrix")
     tried = asked.join(_only(classes, asked.select(F.col("q").alias("node"))).withColumnRenamed("node", "q"), "q").join(matrix, "group")
     opened = pinned(tried.select("q", "group", "n", "cool", "least", "until", "united").mapInArrow(bound, "q bigint, group bigint"), "opened")
-    pairs = opened.join(members.select(F.col("node").alias("b"), "group"), "group").select(F.col("q").alias("a"), "b").distinct()
+    met = members.groupBy("group").agg(F.min("node").alias("b")) if first else members.select(F.col("node").alias("b"), "group")
+    pairs = opened.join(pinned(met, "met"), "group").select(F.col("q").alias("a"), "b").distinct()
     return _checked(pairs, rows, classes, percent)
 
 
@@ -385,9 +388,12 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     lists = _posted(classes)
     edges = _checked(_stars(lists, classes), rows, classes, percent)
     comp = components(edges)
-    more = _open_groups(lists, comp, rows, classes, percent, group)
-    if not more.isEmpty():
-        comp = components(edges.unionByName(more))
+    # one member of each group first: what that links is one component and needs no further look; then every member
+    for first in (True, False):
+        more = _open_groups(lists, comp, rows, classes, percent, group, first)
+        if not more.isEmpty():
+            edges = edges.unionByName(more)
+            comp = components(edges)
     # names: only sets in a component of two or more take another name than their own first document
     named = comp.join(classes.select("node", "first", "digest"), "node")
     names = pinned(named.groupBy("comp").agg(F.min("first").alias("name")), "names")
