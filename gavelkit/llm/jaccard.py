@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gavelkit.session import pinned
@@ -291,6 +291,18 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return near.join(side("a", "x"), "a").join(side("b", "y"), "b").mapInArrow(run, "a bigint, b bigint")
 
 
+def _least_shared(n: Column, least: Column, most: Column, percent: int) -> Column:
+    """Least number of common prefix tokens of a set of ``n`` and one that it may be linked with, of ``least`` to ``most`` tokens.
+
+    Up to ``n`` the number doesn't fall with the size. Above, it falls by percent**2 / (100 (100 + percent)) a token on average,
+    and by rounding it is at most 1 more at a larger size: the least is at one of the last sizes that make a fall of 1.
+    """
+    overlap = lambda m: F.ceil(percent * (n + m) / (100 + percent))
+    floor = lambda m: F.ceil(percent * m / 100)
+    last = [F.greatest(most - k, least, n) for k in range(-(-100 * (100 + percent) // percent**2))]
+    return F.greatest(F.lit(1), F.least(overlap(least) - floor(n), *[overlap(m) - floor(m) for m in last]) + 1)
+
+
 def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, group: int, first: bool) -> DataFrame:
     """Links between components that the stars didn't show, through the token-group matrix.
 
@@ -317,9 +329,7 @@ def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: Da
     to = pinned(to.join(pinned(bounds, "bounds"), "group"), "to")
     from_ = pinned(posts.join(members.select("node", "h"), "node"), "from")
     n, least, most = F.col("n"), F.col("least"), F.col("most")
-    overlap = lambda m: F.ceil(percent * (n + m) / (100 + percent))
-    floor = lambda m: F.ceil(percent * m / 100)
-    shared = F.greatest(F.lit(1), F.least(overlap(least) - floor(n), overlap(most) - floor(most)) + 1)
+    shared = _least_shared(n, least, most, percent)
     slack = F.least("h", "g_h")
     meets = (F.col("g_comp") < F.col("comp")) & (100 * n >= percent * least) & (100 * most >= percent * n) & (~F.col("long") | (shared <= slack))
     asked = from_.join(to, "key").where(meets).groupBy(F.col("node").alias("q"), "group").agg(F.sum("c").alias("c"), F.max(shared - slack).alias("due"))

@@ -129,6 +129,55 @@ def test_jaccard_components_equal_brute_force(spark, seed, hot, group):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out), key=str) == components_by_hand(rows)
 
 
+def test_jaccard_least_shared_is_the_least_over_all_sizes_of_a_group(spark):
+    for percent in (50, 75, 100):
+        sizes = spark.range(1, 61).select(F.col("id").alias("n")).join(spark.range(1, 81).select(F.col("id").alias("least")))
+        sizes = sizes.join(spark.range(1, 81).select(F.col("id").alias("most"))).where("least <= most")
+        got = sizes.select("n", "least", "most", jaccard._least_shared(F.col("n"), F.col("least"), F.col("most"), percent).alias("s")).toArrow()
+        one = {(n, m): max(1, -(-percent * (n + m) // (100 + percent)) - jaccard.need(max(n, m), percent) + 1) for n in range(1, 61) for m in range(1, 81)}
+        want = {}
+        for n in range(1, 61):
+            for least in range(1, 81):
+                low = one[n, least]
+                for most in range(least, 81):
+                    want[n, least, most] = low = min(low, one[n, most])
+        assert {(n, a, b): s for n, a, b, s in zip(*(got.column(k).to_pylist() for k in ("n", "least", "most", "s")), strict=True)} == want
+
+
+def lone_token_families(seed, count):
+    """Rows whose query (13 shingles) is linked only with the 15 of a family of 13, 15 and 16, by one prefix token that ten more texts have."""
+    r = random.Random(seed)
+    word = lambda: f"v{r.getrandbits(40):x}"
+    rows = []
+    while len(rows) < 14 * count:
+        w = [word() for _ in range(16)]
+        common = jaccard.shingles(" ".join(w))
+        at = [int(jaccard.shingles(" ".join(w[k : k + 5]))[0]) for k in range(12)].index(int(common[0]))
+        if at < 2:
+            continue
+        for _ in range(20_000):
+            # the family's own tokens come before all that it shares with the query
+            a = [word() for _ in range(4)]
+            if jaccard.shingles(" ".join(w[-4:] + a)).max() < common[0]:
+                break
+        else:
+            continue
+        own = next(q for q in iter(word, None) if jaccard.shingles(" ".join([*w[-4:], q]))[0] > common[0])
+        family = [[*w, own], w + a[:3], w[2:] + a[:3], w + a]
+        while len(family) < 14:
+            x = [word(), word(), *w[at : at + 5], word(), word()]
+            if common[0] in jaccard.shingles(" ".join(x))[:2]:
+                family.append(x)
+        rows += [(len(rows) + k, " ".join(x)) for k, x in enumerate(family)]
+    return rows
+
+
+def test_jaccard_links_by_one_common_token_of_many_texts(spark):
+    rows = lone_token_families(5, 12)
+    out = jaccard.similar(docs(spark, rows), hot_docs=1000).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out), key=str) == components_by_hand(rows)
+
+
 def test_jaccard_bounds_never_lose_a_link():
     r = random.Random(4)
     for _ in range(3000):
