@@ -82,10 +82,11 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", dictionary_
     nothing. A table without such rows gives a model that answers ``und``.
     """
     rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text is not null and lang is not null and text rlike '\\\\p{L}'")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # the draw is by hash of the text, so its rate follows from the number of distinct texts; twice the rows wanted leave room for the estimate
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n")).collect()}
     if not counts:
         return LanguageModel({}, **settings)
-    chance = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 2 * sample_rows / n)))])
+    chance = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, 2 * sample_rows / max(n, 1))))])
     spot = F.xxhash64("text", F.lit(1))
     drawn = rows.where((F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / (1 << 20)) < chance[F.col("lang")])
     start = F.pmod(spot, F.greatest(F.length("text") - piece_chars, F.lit(0)) + 1).cast("int") + 1

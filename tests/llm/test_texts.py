@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from gavelkit.llm import language, pieces, secret_scan, token_counts
 from gavelkit.llm.queries import QUERIES
@@ -56,6 +57,15 @@ def test_language_fit_ignores_nulls_and_empty_tables(spark):
     assert language.fit(rows.limit(0)).dictionaries == {}
 
 
+def test_language_fit_learns_a_language_of_few_texts_in_many_rows(spark):
+    texts = spark.range(200).select(F.concat(F.lit("palabra número "), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("text"))
+    # the draw by hash at a rate of 800 in 2,000 rows would pass over each of these
+    few = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) >= 0.4 * (1 << 20)).orderBy("text").limit(5)
+    rows = few.crossJoin(spark.range(400)).select("text", F.lit("es").alias("lang"))
+    raw = language.fit(rows).dictionaries["es"].decode()
+    assert raw.count("palabra") == 5
+
+
 def test_language_accuracy_on_held_out_rows(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     out = QUERIES["op1_language_id"](spark, sf_dir)
