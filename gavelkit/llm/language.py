@@ -1,7 +1,7 @@
 """Language identification by compression with a dictionary for each language.
 
 Each language's dictionary is raw text of that language. A text is compressed against every dictionary; the language
-whose dictionary makes it smallest is the answer, and a narrow margin is a rejection.
+whose dictionary makes it smallest is the answer, and a tie is a rejection; narrow margins are too if ``min_share`` says so.
 """
 
 from __future__ import annotations
