@@ -21,6 +21,7 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 #: Strings that may hide a secret: long runs of key characters.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 #: Character classes: name, pattern of a string of the class, bits a character that a window must reach.
+#: Left out: lower-case letters with digits, upper-case letters with digits, letters alone; hex in a longer run is in the mixed class.
 CLASSES = (
     ("entropy_hex", re.compile(r"(?=.*[0-9])(?=.*[A-Fa-f])[0-9A-Fa-f-]+"), 3.0),
     ("entropy_mixed", re.compile(r"(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z]).+"), 3.9),
@@ -92,6 +93,7 @@ def secret_spans(text: Column, allowed: tuple[str, ...] = ALLOWED) -> Column:
     """Struct of three equally long arrays: kind, start, end (code points, end exclusive).
 
     Null and empty texts have empty arrays. The allow-list suppresses entropy spans only; what a base pattern finds stays.
+    Keys of lower-case letters and digits, of upper-case letters and digits, or of letters alone have no entropy spans.
     Long texts are scanned whole; equal texts give equal spans.
     """
 
