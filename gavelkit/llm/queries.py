@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavelkit.llm import ann, decontam, idfile, jaccard, language, pieces, secret_scan, sharding, token_counts, warc
+from gavelkit.llm import ann, decontam, idfile, jaccard, language, pieces, secret_scan, sharding, token_counts, warc, whitening
 
 SHARDS, SHARD_KEY = 40, "shuffle-1"
 
@@ -87,6 +87,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
 def _round(i: int, half: str, side: str) -> str:
     return f"CAST('0x' || substr(md5('{SHARD_KEY}:{i}:' || {half}), 1, 12) AS BIGINT) % {side}"
 
@@ -116,7 +121,7 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(p % {SHARDS} AS INTEGER) AS
 FROM numbered JOIN walk USING (n) WHERE step > 0 AND p < rows"""
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_pieces, op4_nearest, op5_token_counts, op6_shards, op7_jaccard, op8_secrets, op9_id_files, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_pieces, op4_nearest, op5_token_counts, op6_shards, op7_jaccard, op8_secrets, op9_id_files, op10_warc, op13_whitening)}
 _WARC_SQL = """
 WITH digits AS (SELECT page_id, html, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest FROM pages)
 SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
