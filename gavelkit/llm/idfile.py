@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gavelkit.llm.common import BoundedCache
-from gavelkit.session import pinned, work_path
+from gavelkit.llm.common import BoundedCache, shared_uri
+from gavelkit.session import pinned
 
 # Ids in a word and bits of each, by selector.
 SELECTORS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
@@ -302,6 +302,5 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def round_trip(spark: SparkSession, df: DataFrame, vocab: str, end_id: int = 1) -> DataFrame:
     """Write the ids of ``df`` to a new folder below the shared one and read them back from the files."""
-    folder = work_path(spark, "ids")
-    folder = folder if re.match(r"[a-z0-9+.-]+:/", folder) else f"file://{folder}"
+    folder = shared_uri(spark, "ids")
     return read_ids(write_ids(df, folder, vocab, end_id))

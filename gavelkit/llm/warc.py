@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from gavelkit.session import pinned, work_path
+from gavelkit.llm.common import shared_uri
+from gavelkit.session import pinned
 
 HEAD = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff"
 EXTRA = "<HBBHII"  # length of the extra field, 'S', 'L', length, compressed and inflated length of the member
@@ -324,7 +325,6 @@ def page_number(column: Column) -> Column:
 
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Write pages to a new folder below the shared one and read the archives back, payload digests checked."""
-    folder = work_path(spark, "warc")
-    folder = folder if re.match(r"[a-z0-9+.-]+:/", folder) else f"file://{folder}"
+    folder = shared_uri(spark, "warc")
     archives = write_warc(pages, folder)
     return read_warc(spark, [r["path"] for r in archives.collect()], "verify")
