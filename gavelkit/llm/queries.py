@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavelkit.llm import alignment, ann, decontam, idfile, jaccard, language, pieces, secret_scan, sharding, token_counts, warc, whitening
+from gavelkit.llm import alignment, ann, decontam, forest, idfile, jaccard, language, pieces, secret_scan, sharding, token_counts, warc, whitening
 
 SHARDS, SHARD_KEY = 40, "shuffle-1"
 
@@ -87,6 +87,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.similar(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path
     return alignment.aligned(table(spark, sf_dir, "documents"), path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))[0]
@@ -126,7 +130,7 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(p % {SHARDS} AS INTEGER) AS
 FROM numbered JOIN walk USING (n) WHERE step > 0 AND p < rows"""
 
 
-QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_pieces, op4_nearest, op5_token_counts, op6_shards, op7_jaccard, op8_secrets, op9_id_files, op10_warc, op12_alignment, op13_whitening)}
+QUERIES = {f.__name__: f for f in (op1_language_id, op2_decontamination, op3_pieces, op4_nearest, op5_token_counts, op6_shards, op7_jaccard, op8_secrets, op9_id_files, op10_warc, op11_near_dedup, op12_alignment, op13_whitening)}
 _WARC_SQL = """
 WITH digits AS (SELECT page_id, html, sha1(coalesce(html, '')) AS h, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest FROM pages)
 SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
