@@ -5,8 +5,9 @@ its signature, so that sets which agree on more leading values stand closer. Can
 
 1. Neighbours: sets next to each other in an order, with the longest common prefix. What they link is joined to components.
 2. Regions: sets that agree on the first ``base`` values of a tree are one region. Inside it, pairs from different components
-   are compared by all values of their signatures; those that may reach the threshold are checked on full sets. A pair is
-   only put out by the first tree that brings it together.
+   are compared by all values of their signatures; those that may reach the threshold are checked on full sets. Of a region
+   with many sets each first gives its best partner alone, as most sets are then of one component and their pairs need no
+   further look. A pair is only put out by the first tree that brings it together.
 3. Depth by region: a region of more than ``region`` sets is too dense for that. Its sets get new, longer signatures in more
    trees, so that dense regions are looked at with deeper prefixes and sparse ones with short ones. At the deepest level a
    region that still is too large is compared tile by tile.
@@ -31,7 +32,7 @@ from gavelkit.llm.jaccard import _marked as marked
 from gavelkit.llm.jaccard import components, shingles
 from gavelkit.session import pinned
 
-PERCENT, REGION, VALUES, TOGETHER = 85, 2048, 384, 4
+PERCENT, REGION, VALUES, TOGETHER, MANY = 85, 2048, 384, 4, 8
 #: Values of a prefix at each level, and how probable a missed pair at the threshold may be.
 DEPTHS, MISS = (3, 8, 16), 3e-9
 #: A pair is checked on full sets if its share of equal values is within so many standard deviations of the threshold.
@@ -65,10 +66,10 @@ def shape(level: tuple[int, int]) -> tuple[int, int]:
     return trees, max(base, -(-VALUES // trees))
 
 
-def sure(percent: int, values: int) -> float:
+def sure(percent: int, values: int, deviations: float = DEVIATIONS) -> float:
     """Least share of equal values with which a pair goes on to the check."""
     s = percent / 100
-    return s - DEVIATIONS * (s * (1 - s) / values) ** 0.5
+    return s - deviations * (s * (1 - s) / values) ** 0.5
 
 
 def text_key(text: str | None) -> int:
@@ -145,10 +146,11 @@ def _neighbours(entries: DataFrame, percent: int) -> DataFrame:
     return spread.select("prefix", "node", "n").mapInArrow(run, "a bigint, b bigint").where("a <> b").groupBy("a", "b").count().where(F.col("count") >= TOGETHER).select("a", "b")
 
 
-def _compared(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, sign: np.ndarray, heads: np.ndarray, mine: int, least: float, percent: int, tile: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _compared(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, sign: np.ndarray, heads: np.ndarray, mine: int, least: float, percent: int, tile: np.ndarray, best: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a region from different components that may be linked and aren't brought together by an earlier tree.
 
     ``heads`` has the hashes of all trees' prefixes, ``mine`` is this tree. In a tile only pairs of its two sides are compared.
+    With ``best`` each set gives only the pair with the one that shares most values.
     """
     out_a, out_b, values, sides = [], [], sign.shape[1], tile.max() > tile.min()
     for k in range(len(ids) - 1):
@@ -158,8 +160,11 @@ def _compared(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, sign: np.ndarray
             ok &= tile[rest] != tile[k]
         at = np.flatnonzero(ok) + k + 1
         if len(at):
-            at = at[np.count_nonzero(sign[at] == sign[k], axis=1) >= least * values]
-        if len(at) and mine:
+            equal = np.count_nonzero(sign[at] == sign[k], axis=1)
+            at = at[equal >= least * values]
+            if best and len(at):
+                at = at[np.argmax(equal[equal >= least * values])][None]
+        if len(at) and mine and not best:
             at = at[~(heads[at, :mine] == heads[k, :mine]).any(1)]
         out_a.append(np.full(len(at), ids[k]))
         out_b.append(ids[at])
@@ -177,13 +182,16 @@ def _heads(sign: np.ndarray, trees: int, values: int, base: int) -> np.ndarray:
     return np.array([[xxhash.xxh3_64_intdigest(p.tobytes()) for p in row] for row in cut], np.uint64).reshape(len(sign), trees)
 
 
-def _regions(entries: DataFrame, classes: DataFrame, comp: DataFrame, level: tuple[int, int], percent: int, region: int, deepest: bool) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs between components inside regions, and the nodes of regions too large for that (none at the deepest level)."""
+def _regions(entries: DataFrame, classes: DataFrame, comp: DataFrame, level: tuple[int, int], percent: int, region: int, deepest: bool, best: bool) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs between components inside regions, and the nodes of regions too large for that (none at the deepest level).
+
+    With ``best`` only regions of more than ``MANY`` sets are looked at, for the best partner of each set.
+    """
     trees, values = shape(level)
-    base, least = level[1], sure(percent, trees * values)
+    base, least = level[1], sure(percent, trees * values, 2 if best else DEVIATIONS)
     named = entries.select("prefix", "node").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = pinned(named, "named")
-    size = named.groupBy("prefix").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("prefix", "size")
+    size = named.groupBy("prefix").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").where(F.col("size") > (MANY if best else 0)).select("prefix", "size")
     size = pinned(size, "mixed")
     large = named.join(size.where(F.col("size") > region), "prefix").select("node").distinct()
     small = named.join(size.where(F.col("size") <= region).select("prefix"), "prefix").withColumns({"lo": F.lit(0), "hi": F.lit(0), "tile": F.lit(0)})
@@ -206,7 +214,7 @@ def _regions(entries: DataFrame, classes: DataFrame, comp: DataFrame, level: tup
             cut = sign.reshape(-1, trees, values)[:, :, :base]
             mine = int((cut == cut[0]).all(2).all(0).argmax())
             ids, comps, n, tile = (t.column(k).to_numpy() for k in ("node", "comp", "n", "tile"))
-            a, b = _compared(ids, comps, n, sign, _heads(sign, trees, values, base), mine, least, percent, tile)
+            a, b = _compared(ids, comps, n, sign, _heads(sign, trees, values, base), mine, least, percent, tile, best)
             return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
         for batch in batches:
@@ -225,7 +233,7 @@ def _regions(entries: DataFrame, classes: DataFrame, comp: DataFrame, level: tup
 
     spread = full.select("prefix", "lo", "hi", "node", "comp", "n", "sign", "tile").repartition("prefix", "lo", "hi").sortWithinPartitions("prefix", "lo", "hi", "node")
     pairs = pinned(spread.mapInArrow(run, "a bigint, b bigint").distinct(), "near")
-    return pairs, pinned(large if not deepest else large.limit(0), "dense")
+    return pairs, pinned(large.limit(0) if deepest or best else large, "dense")
 
 
 def _sets(rows: DataFrame, wanted: DataFrame, level: tuple[int, int] | None = None, bits: int = 22) -> DataFrame:
@@ -300,11 +308,12 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     comp = components(edges)
     signs = classes.select("node", "n", "sign")
     for k, level in enumerate(steps):
-        pairs, dense = _regions(entries, signs, comp, level, percent, region, level == steps[-1])
-        more = _linked(pairs, rows, classes, percent)
-        if not more.isEmpty():
-            edges = edges.unionByName(more)
-            comp = components(edges)
+        for best in (True, False):
+            pairs, dense = _regions(entries, signs, comp, level, percent, region, level == steps[-1], best)
+            more = _linked(pairs, rows, classes, percent)
+            if not more.isEmpty():
+                edges = edges.unionByName(more)
+                comp = components(edges)
         if dense.isEmpty():
             break
         wanted = pinned(classes.select("node", "digest", "key", "n").join(dense, "node"), "wanted")
