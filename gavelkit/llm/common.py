@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -42,6 +44,25 @@ def arrow_rows(make: Callable[[], Callable[[str | None], tuple]], ddl: str, kind
     return run.asNondeterministic()
 
 
+def release() -> None:
+    """Give memory that a task has freed back to the system, so that a worker doesn't keep the most it ever held."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 500):
+    """Inside, Arrow batches between Spark and Python hold up to ``rows`` rows; for rows that are large, such as sets of tokens."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def new_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}
@@ -66,13 +87,20 @@ def ascii_lower(text: Column) -> Column:
 
 
 class BoundedCache(dict):
-    """A memo of at most ``limit`` entries: when it is full, the older half goes. It bounds a task's memory."""
+    """A memo of at most ``limit`` entries: when it is full, the older half goes. It bounds a task's memory.
+
+    A text of more than ``LONGEST`` characters is never kept, as it seldom comes again: so entries are bounded in bytes too.
+    """
+
+    LONGEST = 64
 
     def __init__(self, limit: int):
         super().__init__()
         self.limit = limit
 
     def keep(self, key, value):
+        if isinstance(key, str) and len(key) > self.LONGEST:
+            return value
         if len(self) >= self.limit:
             for old in list(islice(self, max(1, self.limit // 2))):
                 del self[old]

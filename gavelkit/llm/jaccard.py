@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gavelkit.llm.common import release, small_batches
 from gavelkit.session import pinned
 
 WIDTH, PERCENT = 5, 75
@@ -103,14 +104,17 @@ def _sets(rows: DataFrame) -> DataFrame:
                 if digest not in seen:
                     seen[digest] = s
                     size += len(s)
-                if size >= 2_000_000:
+                if size >= 1_000_000:
                     yield shared()
                     seen, size = {}, 0
+                    release()
             ids, n, digest = zip(*out, strict=True) if out else ((), (), ())
             k = len(out)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), batch.column(2), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64())], schema=schema)
         if seen:
             yield shared()
+        del seen
+        release()
 
     return pinned(rows.mapInArrow(run, "doc_id bigint, n bigint, digest binary, tag bigint, token bigint, docs bigint"), "sets")
 
@@ -142,6 +146,7 @@ def _classes(rows: DataFrame, hot: np.ndarray, rank: np.ndarray, percent: int) -
                 digest, ids, key, n, cool, warm = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), *(pa.array(x, pa.int64()) for x in (ids, key, n)), pa.array(cool, kind), pa.array(warm, kind)], ["digest", "doc_id", "key", "n", "cool", "hot"])
 
+    # the order of Arrow batches doesn't matter, as one row a set is left
     found = rows.mapInArrow(run, "digest binary, doc_id bigint, key bigint, n bigint, cool array<bigint>, hot array<bigint>")
     one = found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("key").alias("key"), F.first("n").alias("n"), F.first("cool").alias("cool"), F.first("hot").alias("hot"))
     return pinned(one.withColumn("node", F.monotonically_increasing_id()), "classes")
@@ -183,16 +188,23 @@ def _fetch(rows: DataFrame, classes: DataFrame, nodes: DataFrame, bits: int = 22
     wanted = pinned(nodes.join(classes.select("node", "digest", "key"), "node"), "wanted")
     bitmap = _marked(wanted.select((F.col("key") % (1 << bits)).alias("spot")), bits)
 
+    made = lambda out: pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.binary())], ["digest", "tokens"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {}
+            out, size = {}, 0
             for _, text in _texts(batch):
                 at = _key(text) % (1 << bits)
                 if int(bitmap[at >> 5]) >> (at & 31) & 1:
                     raw = shingles(text).tobytes()
                     out[xxhash.xxh3_128_digest(raw)] = raw
+                    size += len(raw)
+                if size > 4 << 20:
+                    yield made(out)
+                    out, size = {}, 0
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.binary())], ["digest", "tokens"])
+                yield made(out)
+        release()
 
     sets = rows.mapInArrow(run, "digest binary, tokens binary").groupBy("digest").agg(F.first("tokens").alias("tokens"))
     return pinned(sets.join(wanted.select("node", "digest"), "digest").select("node", "tokens"), "tokens")
@@ -391,6 +403,11 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent
     equal sets and are linked. A null doc_id is in its component but doesn't name it; a component of nulls alone has a
     null name. Repeated rows each get a row.
     """
+    with small_batches(docs.sparkSession):
+        return _similar(docs, doc_id, text, percent, hot_docs, hot_limit, group, tag)
+
+
+def _similar(docs: DataFrame, doc_id: str, text: str, percent: int, hot_docs: int, hot_limit: int, group: int, tag: str | None) -> DataFrame:
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"), (F.col(tag) if tag else F.lit(None)).cast("bigint").alias("tag"))
     sets = _sets(rows)
     hot, rank = _hot_tokens(sets, hot_docs, hot_limit)
