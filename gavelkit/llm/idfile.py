@@ -203,10 +203,13 @@ def write_ids(df: DataFrame, folder: str, vocab: str, end_id: int, doc_id: str =
 
     Texts are dealt out by range of ``doc_id`` (nulls first) and sorted; each task encodes and writes its range as one
     file, block by block. The list is what counts: a file left by an attempt that failed is in no list. Null texts count
-    as empty. Rows with equal ids stand in an order that follows from their texts.
+    as empty. Rows with equal ids stand in an order that follows from their texts; one id that very many rows share is
+    dealt out by texts, and by where equal rows were read, so it doesn't fill one task.
     """
     rows = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    dealt = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", "gk_hash", "text", "gk_read_at"]
+    rows = rows.withColumns({"gk_hash": F.xxhash64("text"), "gk_read_at": F.monotonically_increasing_id()})
+    dealt = rows.repartitionByRange("doc_id", "gk_hash", "gk_read_at").sortWithinPartitions(*order).select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from gavelkit.llm.common import arrow_rows, new_name
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+# numbers such as halves, circled or Roman ones are word characters to ``re``, but neither digits nor letters
+_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_NOT_LETTERS = re.compile(rf"[\W\d_{re.escape(_NUMBERS)}]+")
 _KIND = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("margin", pa.int64()), ("rejected", pa.bool_())])
 
 
@@ -29,15 +31,14 @@ def letters(text: str) -> str:
 class LanguageModel:
     """``dictionaries``: text of each language. Texts are compressed in blocks of ``block`` bytes at ``level``.
 
-    A text of under ``primed`` bytes is compressed after ``primer`` bytes of the dictionary, whose own size is taken off:
-    alone, a short text would be stored as it is by every language.
+    The first block of each text follows ``primer`` bytes of the dictionary, whose own size is taken off: alone, a short
+    text would be stored as it is by every language.
     ``min_share``: a text is rejected if the best size is within this share of the second best; 0 rejects ties alone.
     """
 
     dictionaries: dict[str, bytes]
     level: int = 5
     block: int = 8192
-    primed: int = 512
     primer: int = 200
     min_share: float = 0.0
 
@@ -59,12 +60,11 @@ class LanguageModel:
             raw = letters(text or "").encode()
             if not raw or not sized:
                 return "und", 0.0, 0, True
-            short = len(raw) < self.primed
-            sizes = [-x for x in alone] if short else [0] * len(sized)
+            sizes = [-x for x in alone]
             for at in range(0, len(raw), self.block):
                 part = raw[at : at + self.block]
                 for k, (_, z) in enumerate(sized):
-                    sizes[k] += len(z.compress(primers[k] + part if short else part))
+                    sizes[k] += len(z.compress(part if at else primers[k] + part))
             best = min(range(len(sized)), key=lambda k: (sizes[k], sized[k][0]))
             second = min((s for k, s in enumerate(sizes) if k != best), default=2 * abs(sizes[best]) + 1)
             margin = second - sizes[best]

@@ -125,13 +125,13 @@ class PieceModel:
         else:
             words = text.split(" ")
         known = self.long
-        for w in {w for w in words if w not in known}:
+        for w in {w for w in words if w not in known and len(w) <= known.LONGEST}:
             # a key that begins with a mark is a stretch with its own marks; other keys have one mark before them
             known.keep(w, self.word(w[1:] if w[0] == SPACE else SPACE + w))
         try:
             return b"".join([first, *map(known.__getitem__, words), last])
-        except KeyError:  # the cache was emptied on the way
-            return b"".join([first, *(self.word(w[1:] if w[0] == SPACE else SPACE + w) for w in words), last])
+        except KeyError:  # long words aren't kept, and the cache may have been emptied on the way
+            return b"".join([first, *(known.get(w) or self.word(w[1:] if w[0] == SPACE else SPACE + w) for w in words), last])
 
     def decode(self, ids: bytes) -> str:
         """Text of ids: marks are spaces, the one before the first word goes, bytes that aren't UTF-8 become U+FFFD."""

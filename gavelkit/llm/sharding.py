@@ -12,6 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gavelkit.llm.common import new_name
 from gavelkit.session import pinned
 
 ROUNDS = 6
@@ -65,16 +66,16 @@ def numbered(df: DataFrame, order: list[str], number: str = "row_number") -> Dat
     per partition gives where each begins. No task sees more than its range. Rows that are alike in ``order`` are told
     apart by where they were read, so a value that very many rows share doesn't fill one range.
     """
-    tie, at = "gk_read_at", "gk_place"
+    tie, at, mine, start = (new_name(df, f"gk_{x}") for x in ("read_at", "place", "part", "from"))
     sort = [F.col(c) for c in [*order, tie]]
     dealt = df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(*sort).sortWithinPartitions(*sort)
     dealt = pinned(dealt.drop(tie).withColumn(at, F.monotonically_increasing_id()), "numbered")
     part = F.shiftright(F.col(at), 33)
-    before = Window.orderBy("gk_part").rowsBetween(Window.unboundedPreceding, -1)
-    begins = dealt.groupBy(part.alias("gk_part")).agg(F.count("*").alias("n")).select("gk_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("gk_from"))
+    before = Window.orderBy(mine).rowsBetween(Window.unboundedPreceding, -1)
+    begins = dealt.groupBy(part.alias(mine)).agg(F.count("*").alias("n")).select(mine, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(start))
     begins = pinned(begins, "begins")
-    place = F.col("gk_from") + F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
-    return dealt.join(begins, part == F.col("gk_part")).withColumn(number, place).drop(at, "gk_part", "gk_from")
+    place = F.col(start) + F.col(at).bitwiseAND(F.lit((1 << 33) - 1))
+    return dealt.join(begins, part == F.col(mine)).withColumn(number, place).drop(at, mine, start)
 
 
 def shard_rows(df: DataFrame, order: list[str], shards: int, key: str = "shuffle-1") -> DataFrame:
@@ -88,8 +89,9 @@ def shard_rows(df: DataFrame, order: list[str], shards: int, key: str = "shuffle
     rows = table.count()
     if rows == 0:
         return table.withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("bigint")})
-    place = table.withColumn("gk_to", permute(F.col("row_number"), rows, key))
-    return place.withColumns({"shard": (F.col("gk_to") % shards).cast("int"), "slot": ((F.col("gk_to") - F.col("gk_to") % shards) / shards).cast("bigint")}).drop("gk_to")
+    to = new_name(table, "gk_to")
+    place = table.withColumn(to, permute(F.col("row_number"), rows, key))
+    return place.withColumns({"shard": (F.col(to) % shards).cast("int"), "slot": ((F.col(to) - F.col(to) % shards) / shards).cast("bigint")}).drop(to)
 
 
 def row_at(shard: Column, slot: Column, rows: int, shards: int, key: str = "shuffle-1") -> Column:
