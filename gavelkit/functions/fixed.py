@@ -18,6 +18,7 @@ MIN_TAG_COUNT = 5
 STATS_KEEP = 26
 PAGE_SIZE = 50
 ALERT_THRESHOLD = 5000
+BACKFILL_SUSPECT = 10
 ALERT_LONG = 15
 ALERT_SHORT = 5
 BACKFILL_COUNT = 10

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gavelkit.functions import fixed
 from gavelkit.functions.text import domain_of, page_text, tidy
+from gavelkit.session import pinned
 
 
 def _count(text: Column, needle: str) -> Column:
@@ -265,17 +267,28 @@ def json_shape(rows: DataFrame, body: str) -> DataFrame:
     return out.select(*keep, keys.alias("top_keys"), flat(arrays).alias("arrays"), flat(paging).alias("paging"))
 
 
-def lot_objects(rows: DataFrame, body: str, depth: int = 8) -> DataFrame:
-    """Objects anywhere in a JSON document that carry a lot number and a price.
+def lot_objects(rows: DataFrame, body: str, levels: int = 8) -> DataFrame:
+    """Objects anywhere in a JSON document, at any depth, that carry a lot number and a price.
 
-    Level by level in one chain without a shuffle: open objects and arrays are replaced by their
-    children, matches stay as they are and are not searched further. A document with an object or
-    array still open after ``depth`` levels fails the query; no match is left out unseen.
+    Level by level without a shuffle: open objects and arrays are replaced by their children,
+    matches stay as they are and are not searched further. ``levels`` levels are one chain, whose
+    result is written; what is still open then goes through the next chain, until nothing is. So a
+    document costs its own depth, and only deep ones are read again. Null and broken documents give
+    no row; Spark's parser takes those of over 1,000 levels as broken.
     """
+    found, kept = [], F.struct(*[c for c in rows.columns if c != body]).alias("_kept")
+    start = rows.select(kept, F.lit("$").alias("path"), F.col(body).alias("lot"))
+    while True:
+        done = pinned(_lot_levels(start, levels), "lots")
+        found.append(done.where("done").select("_kept.*", "path", "lot"))
+        start = done.where("NOT done").drop("done")
+        if start.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+
+
+def _lot_levels(rows: DataFrame, levels: int) -> DataFrame:
+    """One chain over rows (_kept, path, lot): those that are done, and those still open."""
     spark = rows.sparkSession
-    # the columns to keep travel in one struct, apart from the names that exploding brings in
-    kept = F.struct(*[c for c in rows.columns if c != body]).alias("_kept")
-
     wanted = F.array(*[F.lit(k) for k in [fixed.LOT_KEY, *fixed.LOT_PRICE_KEYS]])
     roles = lambda keys: F.transform(
         F.filter(keys, lambda k: F.array_contains(wanted, F.lower(k))), lambda k: F.lower(k) == fixed.LOT_KEY
@@ -284,9 +297,9 @@ def lot_objects(rows: DataFrame, body: str, depth: int = 8) -> DataFrame:
     is_lot = F.coalesce(F.size(F.array_distinct(roles(F.json_object_keys(F.to_json("node"))))) == 2, F.lit(False))
     is_open = F.schema_of_variant("node").rlike("^(ARRAY|OBJECT)")
     # exploding a one-element array keeps the parsed document from being parsed again per use
-    level = rows.select(kept, F.lit("$").alias("path"), F.explode(F.array(F.try_parse_json(body))).alias("node"))
+    level = rows.select("_kept", "path", F.explode(F.array(F.try_parse_json("lot"))).alias("node"))
     level = level.where("node IS NOT NULL").withColumn("lot", is_lot)
-    for _ in range(depth):
+    for _ in range(levels):
         inside = F.when(~F.col("lot") & is_open, F.col("node"))
         child = level.lateralJoin(spark.tvf.variant_explode_outer(inside.outer()))
         step = F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(
@@ -300,6 +313,5 @@ def lot_objects(rows: DataFrame, body: str, depth: int = 8) -> DataFrame:
         ).where("node IS NOT NULL")
         level = level.select("_kept", "path", "node", (F.col("_was") | is_lot).alias("lot"))
     filled = ~F.to_json("node").isin("{}", "[]")
-    deeper = F.raise_error(F.concat(F.lit(f"more than {depth} levels deep: "), F.col("path")))
-    done = F.when(F.col("lot"), True).when(is_open & filled, deeper.cast("boolean")).otherwise(False)
-    return level.where(done).select("_kept.*", "path", F.to_json("node").alias("lot"))
+    ends = level.where(F.col("lot") | (is_open & filled))
+    return ends.select("_kept", "path", F.to_json("node").alias("lot"), F.col("lot").alias("done"))

@@ -19,8 +19,8 @@ def with_listing_key(rows: DataFrame) -> DataFrame:
     return rows.withColumn("id", listing_key(*[F.col(c) for c in ("listing_url", "dealer", "sku", "piece_name")]))
 
 
-def fold_batch(batch: DataFrame, fields: list[str], order: list[str]) -> DataFrame:
-    """One row per id: of each field the newest non-empty value, of the source the first.
+def fold_batch(batch: DataFrame, fields: list[str], order: list[str], *more: Column) -> DataFrame:
+    """One row per id: of each field the newest non-empty value, of the source the first, and what ``more`` adds.
 
     ``order`` names the columns that say which row of a batch came later. The fold is a
     partial aggregation, so a key that fills a large part of the batch shrinks in each
@@ -29,13 +29,18 @@ def fold_batch(batch: DataFrame, fields: list[str], order: list[str]) -> DataFra
     at = F.struct(*order)
     newest = [F.max_by(F.col(f), F.when(F.col(f).isNotNull(), at)).alias(f) for f in fields]
     first_source = F.min_by(F.col("source"), F.when(F.col("source").isNotNull(), at)).alias("source")
-    return batch.groupBy("id").agg(*newest, first_source)
+    return batch.groupBy("id").agg(*newest, first_source, *more)
 
 
-def _merged(prev: DataFrame, folded: DataFrame, fields: list[str], kept: list[str]) -> DataFrame:
-    """Full outer join on id; the batch value wins where it is not empty. Both sides are unique per id."""
+def _merged(prev: DataFrame, folded: DataFrame, fields: list[str], kept: list[str], carried: tuple = (), late: Column | None = None) -> DataFrame:
+    """Full outer join on id; the batch value wins where it is not empty, in a ``late`` batch row the stored one. Both sides are unique per id."""
     p, b = prev.alias("p"), folded.withColumn("_in_batch", F.lit(True)).alias("b")
-    pick = lambda f: F.coalesce(F.col(f"b.{f}"), F.col(f"p.{f}")).alias(f)
+
+    def pick(f: str) -> Column:
+        old, new = F.col(f"p.{f}"), F.col(f"b.{f}")
+        first = F.coalesce(new, old)
+        return (first if late is None else F.when(late, F.coalesce(old, new)).otherwise(first)).alias(f)
+
     return p.join(b, F.col("p.id") == F.col("b.id"), "full_outer").select(
         pick("id"),
         *[pick(f) for f in fields],
@@ -44,6 +49,7 @@ def _merged(prev: DataFrame, folded: DataFrame, fields: list[str], kept: list[st
         F.col("p.id").isNotNull().alias("_on_file"),
         F.coalesce(F.col("b._in_batch"), F.lit(False)).alias("_in_batch"),
         F.col("p.tags").alias("_tags"),
+        *[F.col(f"b.{c}").alias(c) for c in carried],
     )
 
 
@@ -95,22 +101,23 @@ def merge_listing_days(prev: DataFrame, rows: DataFrame, day: str, order: list[s
     """The next version of the store of listings after all the runs that ``rows`` hold, named by the column ``day``.
 
     The same as merging day after day, in one fold and one join whatever the number of days; ``mark_missing`` with the
-    last day comes after it. Days lie after those already merged; the last one merged may come again and doesn't count
-    twice.
+    last day comes after it. A row whose days all lie before the stored last day is late: it may move the first day back, but
+    stored values win over its own and the last day stays. The stored first and last day may come again and don't count twice.
     """
     kept = ["first_seen", "last_seen", "times_seen", "status", "asking_price_usd"]
-    runs = rows.groupBy("id").agg(F.min(day).alias("_from"), F.max(day).alias("_to"), F.count_distinct(day).cast("int").alias("_days"))
-    out = _merged(prev, fold_batch(rows, LISTING_FIELDS, [day, *order]), LISTING_FIELDS, kept).join(runs, "id", "left")
+    runs = F.min(day).alias("_from"), F.max(day).alias("_to"), F.collect_set(day).alias("_days")
+    folded = fold_batch(rows, LISTING_FIELDS, [day, *order], *runs)
+    out = _merged(prev, folded, LISTING_FIELDS, kept, ("_from", "_to", "_days"), F.coalesce(F.col("b._to") < F.col("p.last_seen"), F.lit(False)))
     seen = F.col("_in_batch")
-    again = F.when(F.col("last_seen").eqNullSafe(F.col("_from")), 1).otherwise(0)
-    first = F.coalesce("first_seen", "_from")
+    fresh = F.size(F.array_except("_days", F.array("first_seen", "last_seen")))
+    first = F.least("first_seen", "_from")
     usd = usd_price(F.col("asking_price"), F.col("currency_note"), first, 1970)  # a listing in the rows has a first day
     return (
         out.withColumn("tags", _tags(rules))
         .withColumn("asking_price_usd", F.when(seen, usd).otherwise(F.col("asking_price_usd")))
-        .withColumn("times_seen", F.when(seen, F.coalesce("times_seen", F.lit(0)) + F.col("_days") - again).otherwise(F.col("times_seen")))
+        .withColumn("times_seen", F.when(seen, F.coalesce("times_seen", F.lit(0)) + fresh).otherwise(F.col("times_seen")))
         .withColumn("first_seen", first)
-        .withColumn("last_seen", F.when(seen, F.col("_to")).otherwise(F.col("last_seen")))
+        .withColumn("last_seen", F.greatest("last_seen", "_to"))
         .withColumn("status", F.when(seen, "active").otherwise(F.col("status")))
         .select(*LISTING.fieldNames())
     )

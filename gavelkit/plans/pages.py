@@ -273,7 +273,7 @@ def json_shape_profile(spark, sf_dir):
 
 @query(
     """
-SELECT event_id, '$.page.list[' || i || '].lot' AS path, i + event_id AS lot_number, value AS price
+SELECT event_id, '$' || repeat('.a', [0, 10, 40][1 + event_id % 3]) || '.page.list[' || i || '].lot' AS path, i + event_id AS lot_number, value AS price
 FROM events, (SELECT unnest([0, 1]) AS i)"""
 )
 def lot_objects(spark, sf_dir):
@@ -281,9 +281,11 @@ def lot_objects(spark, sf_dir):
         F.lit('{"lot":{"LotNumber":'), (F.col("event_id") + i).cast("string"), F.lit(',"salePrice":'), F.col("value").cast("string"),
         F.lit(',"inner":{"lotNumber":1,"salePrice":2}}}'),
     )
-    body = F.concat(F.lit('{"a":{"lotNumber":1},"page":{"list":['), lot(0), F.lit(","), lot(1), F.lit("]}}"))
+    body = F.concat(F.lit('{"b":{"lotNumber":1},"page":{"list":['), lot(0), F.lit(","), lot(1), F.lit("]}}"))
+    around = F.element_at(F.array(F.lit(0), F.lit(10), F.lit(40)), (F.col("event_id") % 3 + 1).cast("int"))
+    body = F.concat(F.repeat(F.lit('{"a":'), around), body, F.repeat(F.lit("}"), around))
     rows = spread_table(spark, sf_dir, "events").select("event_id", body.alias("body"))
-    out = pf.lot_objects(rows, "body", depth=6)
+    out = pf.lot_objects(rows, "body")
     v = F.try_parse_json("lot")
     return out.select(
         "event_id", "path", F.try_variant_get(v, "$.LotNumber", "bigint").alias("lot_number"),

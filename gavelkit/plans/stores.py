@@ -12,6 +12,7 @@ from gavelkit.plans.adapters import (
 )
 from gavelkit.plans.market import FLAGS_SQL
 from gavelkit.plans.registry import Registry
+from gavelkit.session import pinned
 
 query = Registry()
 QUERIES, ORACLES = query.queries, query.oracles
@@ -42,6 +43,17 @@ def catalog_fold(spark, sf_dir):
     return catalog.catalog_order(catalog.catalog(sightings(spark, sf_dir))).select(*_CATALOG_COLS)
 
 
+@query(with_views("SELECT * FROM cat", SIGHTINGS_SQL, _CATALOG_SQL))
+def catalog_incremental(spark, sf_dir):
+    """Three lots of days, each folded on its own and merged into what was there, in an order that isn't that of time."""
+    rows, part = sightings(spark, sf_dir), F.dayofmonth(F.col("date").cast("date"))
+    kept = None
+    for days in (part > 20, part <= 10, (part > 10) & (part <= 20)):
+        new = catalog.day_fold(rows.where(days))
+        kept = pinned(new if kept is None else catalog.merged_folds(kept, new), "catalog")
+    return catalog.folded_catalog(kept).select(*_CATALOG_COLS)
+
+
 @query(
     with_views(
         """
@@ -114,6 +126,14 @@ def _with_order(rows):
     return rows.select(*rows.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
 
 
+_LAST = "(SELECT max(date) FROM sightings)"
+
+
+def _last_day(rows) -> str:
+    """The newest scan day of the rows; of an empty table one that no row has."""
+    return rows.agg(F.max("date")).first()[0] or "0000-00-00"
+
+
 def _listing_rows(rows):
     """Sightings as rows of listing batches; ``date`` names the run."""
     shaped = rows.select(
@@ -131,19 +151,20 @@ def _listing_rows(rows):
     with_views(
         f"""
 SELECT id, min(date) AS first_seen, max(date) AS last_seen, CAST(count(DISTINCT date) AS INTEGER) AS times_seen,
-       CASE WHEN max(date) = '{_END}' THEN 'active' ELSE 'inactive' END AS status, {last_sql('price')} AS asking_price,
+       CASE WHEN max(date) = {_LAST} THEN 'active' ELSE 'inactive' END AS status, {last_sql('price')} AS asking_price,
        {last_sql('notes')} AS notes
-FROM sightings WHERE date <= '{_END}' GROUP BY id""",
+FROM sightings GROUP BY id""",
         SIGHTINGS_SQL,
     )
 )
 def listing_lifecycle(spark, sf_dir):
-    rows = _listing_rows(sightings(spark, sf_dir)).where(F.col("date") <= _END)
+    rows = _listing_rows(sightings(spark, sf_dir))
+    end = _last_day(rows)
     on = lambda d: rows.where(F.col("date") == d)
     # all scan days: those before the last in one merge, then the last one twice: it must not count again
-    out = store.merge_listing_days(spark.createDataFrame([], schemas.LISTING), rows.where(F.col("date") < _END), "date", ["pos"], DEMO_TAGS)
+    out = store.merge_listing_days(spark.createDataFrame([], schemas.LISTING), rows.where(F.col("date") < end), "date", ["pos"], DEMO_TAGS)
     for _ in range(2):
-        out = store.mark_missing(store.merge_listings(out, on(_END), _END, ["pos"], DEMO_TAGS), _END)
+        out = store.mark_missing(store.merge_listings(out, on(end), end, ["pos"], DEMO_TAGS), end)
     return out.select("id", "first_seen", "last_seen", "times_seen", "status", "asking_price", "notes")
 
 
@@ -151,21 +172,22 @@ def listing_lifecycle(spark, sf_dir):
     with_views(
         f"""
 , s AS (SELECT id, max(date) AS last_seen, min(source_site) AS source FROM sightings
-        WHERE date <= '{_END}' AND NOT (date = '{_END}' AND source_site = 'error') GROUP BY id)
-SELECT id, last_seen, CASE WHEN last_seen = '{_END}' THEN 'active' ELSE 'inactive' END AS status_run,
-       CASE WHEN last_seen = '{_END}' OR source = 'error' THEN 'active' ELSE 'inactive' END AS status_source
+        WHERE NOT (date = {_LAST} AND source_site = 'error') GROUP BY id)
+SELECT id, last_seen, CASE WHEN last_seen = {_LAST} THEN 'active' ELSE 'inactive' END AS status_run,
+       CASE WHEN last_seen = {_LAST} OR source = 'error' THEN 'active' ELSE 'inactive' END AS status_source
 FROM s""",
         SIGHTINGS_SQL,
     )
 )
 def mark_inactive(spark, sf_dir):
-    rows = _listing_rows(sightings(spark, sf_dir)).where(F.col("date") <= _END)
-    first = store.merge_listing_days(spark.createDataFrame([], schemas.LISTING), rows.where(F.col("date") < _END), "date", ["pos"])
-    batch = rows.where((F.col("date") == _END) & (F.col("source") != "error"))
-    merged = store.merge_listings(first, batch, _END, ["pos"])
-    by_run = store.mark_missing(merged, _END)
+    rows = _listing_rows(sightings(spark, sf_dir))
+    end = _last_day(rows)
+    first = store.merge_listing_days(spark.createDataFrame([], schemas.LISTING), rows.where(F.col("date") < end), "date", ["pos"])
+    batch = rows.where((F.col("date") == end) & (F.col("source") != "error"))
+    merged = store.merge_listings(first, batch, end, ["pos"])
+    by_run = store.mark_missing(merged, end)
     both = store.mark_missing(
-        by_run.withColumn("_by_run", F.col("status")).withColumn("status", F.lit("active")), _END, batch
+        by_run.withColumn("_by_run", F.col("status")).withColumn("status", F.lit("active")), end, batch
     )
     return both.select("id", "last_seen", F.col("_by_run").alias("status_run"), F.col("status").alias("status_source"))
 

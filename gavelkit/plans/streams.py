@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from gavelkit import schemas
-from gavelkit.plans.adapters import SIGHTINGS_SQL, table, with_views
+from gavelkit.plans.adapters import SIGHTINGS_SQL, median_sql, table, with_views
 from gavelkit.plans.registry import Registry
 from gavelkit.plans.stores import last_sql
 from gavelkit.session import work_path
@@ -37,6 +37,50 @@ def stream_daily_prices(spark, sf_dir):
     return rows.withColumn("total", F.round("total", 2))
 
 
+_CLOSED = "<= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"
+
+
+@query(
+    f"""
+WITH e AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= INTERVAL 6 HOUR THEN 1 ELSE 0 END AS pause FROM events),
+s AS (SELECT *, sum(pause) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS started, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS ended, count(*) AS n, min(value) AS low, max(value) AS high
+FROM s GROUP BY user_id, k HAVING max(ts) + INTERVAL 6 HOUR {_CLOSED}"""
+)
+def stream_sessions(spark, sf_dir):
+    out = jobs.session_stream(_events(spark, sf_dir).withColumn("price", F.col("value")), "user_id", "6 hours", "1 hour")
+    rows = jobs.run_to_table(out, work_path(spark, "sessions"), work_path(spark, "sessions-checkpoint"))
+    return rows.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("started", "ended")})
+
+
+@query(
+    f"""
+SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n, {median_sql('value')} AS median
+FROM events WHERE value >= 50 AND date_trunc('day', ts) + INTERVAL 1 DAY {_CLOSED} GROUP BY 1, 2"""
+)
+def stream_daily_median(spark, sf_dir):
+    counts = jobs.price_count_stream(_events(spark, sf_dir).withColumn("price", F.col("value")), "event_type", "1 hour")
+    rows = jobs.run_to_table(counts, work_path(spark, "counts"), work_path(spark, "counts-checkpoint"))
+    return jobs.daily_median(rows, "event_type")
+
+
+@query(
+    f"""
+WITH d AS (SELECT event_type AS dealer, strftime(ts, '%Y-%m-%d') AS day, user_id || '|' || event_type AS id, max(value) AS price
+  FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY {_CLOSED} GROUP BY 1, 2, 3),
+stock AS (SELECT dealer, day, count(*) AS n FROM d GROUP BY 1, 2),
+imports AS (SELECT dealer, min(day) AS day FROM stock GROUP BY 1 HAVING arg_min(n, day) > 10),
+firsts AS (SELECT dealer, id, min(day) AS day, arg_min(price, day) AS price FROM d GROUP BY 1, 2)
+SELECT * FROM firsts f WHERE price >= 300 AND NOT EXISTS (SELECT 1 FROM imports i WHERE i.dealer = f.dealer AND i.day = f.day)"""
+)
+def stream_alerts_after_import(spark, sf_dir):
+    rows = _events(spark, sf_dir).select(
+        F.concat_ws("|", F.col("user_id").cast("string"), "event_type").alias("id"), F.col("event_type").alias("dealer"), "ts", F.col("value").alias("price")
+    )
+    days = jobs.run_to_table(jobs.listing_day_stream(rows, "1 hour"), work_path(spark, "days"), work_path(spark, "days-checkpoint"))
+    return jobs.alerts_after_import(days, 300, 10)
+
+
 @query("SELECT DISTINCT user_id || '|' || event_type AS id FROM events WHERE value >= 300")
 def stream_new_alert(spark, sf_dir):
     rows = _events(spark, sf_dir).select(

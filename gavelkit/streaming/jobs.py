@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
+from functools import reduce
+from operator import and_
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -29,20 +30,23 @@ def upsert_stream(
 ) -> StreamingQuery:
     """Merge landed listing batches into a versioned store as they arrive.
 
-    ``batches`` carries ``run_date``. Each version keeps the name of its batch, which is the
-    checkpoint's and the batch's number: a batch that runs again after a failure changes nothing,
-    and a new checkpoint on the same store goes on from its latest version.
+    ``batches`` carries ``run_date``. Each version keeps the name of its batch, which is the query's
+    id, kept in the checkpoint, and the batch's number: a batch that runs again after a failure
+    changes nothing, and a new checkpoint on the same store, also at the path of a lost one, goes on
+    from its latest version. A batch of earlier days than the store's is merged as late rows.
     """
-    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId").replace("-", "")[:12]
         tag = f"{stream}-{batch_id}"
         if tag in store.tags():
             return
-        last = batch.agg(F.max("run_date")).first()[0]
+        known = store.read()
+        days = batch.select(F.col("run_date").alias("d")).unionByName(known.select(F.col("last_seen").alias("d")))
+        last = days.agg(F.max("d")).first()[0]
         if last is None:
             return
-        current = mark_missing(merge_listing_days(store.read(), batch, "run_date", order, rules), last)
+        current = mark_missing(merge_listing_days(known, batch, "run_date", order, rules), last)
         store.write(current, max(store.versions(), default=0) + 1, tag)
 
     writer = batches.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
@@ -124,6 +128,72 @@ def daily_price_stream(prices: DataFrame, group: str, late: str = "1 day") -> Da
     )
 
 
+def session_stream(sightings: DataFrame, key: str, gap: str = "6 hours", late: str = "1 day") -> DataFrame:
+    """Sessions of a key: rows (``ts``, price) with no pause of ``gap`` or more between them, put out when the watermark has passed.
+
+    Open sessions merge in the state store, so a late row may join two of them. A null key is a key; prices may be null.
+    """
+    held = sightings.withWatermark("ts", late).groupBy(F.session_window("ts", gap), key)
+    found = held.agg(F.min("ts").alias("started"), F.max("ts").alias("ended"), F.count("*").alias("n"), F.min("price").alias("low"), F.max("price").alias("high"))
+    return found.select(key, "started", "ended", "n", "low", "high")
+
+
+def price_count_stream(prices: DataFrame, group: str, late: str = "1 day") -> DataFrame:
+    """How often each plausible price stood in a day and group: what an exact median needs, and mergeable.
+
+    State is a row for each distinct price of the open days, so a busy group is spread over all tasks.
+    """
+    open_days = prices.withWatermark("ts", late).where(F.col("price") >= fixed.PRICE_FLOOR)
+    counts = open_days.groupBy(F.window("ts", "1 day"), group, "price").agg(F.count("*").alias("n"))
+    return counts.select(F.col("window.start").cast("date").cast("string").alias("day"), group, "price", "n")
+
+
+def daily_median(counts: DataFrame, group: str, slices: int = 200) -> DataFrame:
+    """Exact median of each day and group from ``price_count_stream``: day, group, n, median (even counts: rounded mean).
+
+    A first pass adds up counts by price slice (``slices`` to a factor of e) and finds those of the middle ranks; a second
+    reads only these slices. So no group's prices are sorted as a whole. Counts of a price may come in several rows.
+    """
+    keys = ["day", group]
+    spot = counts.withColumn("_slice", F.floor(F.log("price") * slices))
+    summed = spot.groupBy(*keys, "_slice").agg(F.sum("n").alias("_n"))
+    upto, whole = Window.partitionBy(*keys).orderBy("_slice"), Window.partitionBy(*keys)
+    ranked = summed.withColumns({"_before": F.sum("_n").over(upto) - F.col("_n"), "n": F.sum("_n").over(whole)})
+    low, high = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+    holds = lambda rank, before, n: (before < rank) & (rank <= before + n)
+    middle = ranked.where(holds(low, F.col("_before"), F.col("_n")) | holds(high, F.col("_before"), F.col("_n"))).select(*keys, "_slice", "_before", F.col("n").alias("_total"))
+    prices = spot.groupBy(*keys, "_slice", "price").agg(F.sum("n").alias("n"))
+    same = [prices[k].eqNullSafe(middle[k]) for k in [*keys, "_slice"]]
+    near = prices.join(middle, reduce(and_, same)).select(*[prices[k] for k in [*keys, "_slice"]], "price", F.col("n").alias("_n"), "_before", F.col("_total").alias("n"))
+    at = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys, "_slice").orderBy("price")) - F.col("_n")
+    near = near.withColumn("_at", at)
+    one = lambda rank: F.max(F.when(holds(rank, F.col("_at"), F.col("_n")), F.col("price")))
+    ends = near.groupBy(*keys, "n").agg(one(low).alias("_low"), one(high).alias("_high"))
+    mean = F.floor((F.col("_low") + F.col("_high")) / 2 + 0.5).cast("double")
+    return ends.select(*keys, "n", F.when(F.col("n") % 2 == 1, F.col("_low")).otherwise(mean).alias("median"))
+
+
+def listing_day_stream(listings: DataFrame, late: str = "1 day") -> DataFrame:
+    """Each listing's highest price of a day (dealer, day, id, price), held back until the day has closed for all.
+
+    ``listings``: id, dealer, ts, price.
+    """
+    days = listings.withWatermark("ts", late).groupBy(F.window("ts", "1 day"), "dealer", "id").agg(F.max("price").alias("price"))
+    return days.select("dealer", F.col("window.start").cast("date").cast("string").alias("day"), "id", "price")
+
+
+def alerts_after_import(days: DataFrame, threshold: float = fixed.ALERT_THRESHOLD, more_than: int = fixed.BACKFILL_SUSPECT) -> DataFrame:
+    """New listings at or above the threshold on their first day (dealer, day, id, price), from ``listing_day_stream``.
+
+    A dealer's first day brings its whole stock: with more than ``more_than`` listings it is an import, and none of them is
+    reported, on that day or later. Everything is decided per closed day, so late rows of an open day can't change it.
+    """
+    firsts = days.groupBy("dealer", "id").agg(F.min("day").alias("day"), F.min_by("price", "day").alias("price"))
+    stock = days.groupBy("dealer", "day").agg(F.count("*").alias("_n"))
+    imports = stock.groupBy("dealer").agg(F.min("day").alias("day"), F.min_by("_n", "day").alias("_n")).where(F.col("_n") > more_than)
+    return firsts.where(F.col("price") >= threshold).join(imports.select("dealer", "day"), ["dealer", "day"], "left_anti").select("dealer", "day", "id", "price")
+
+
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """Run a stream over what is there now and read its result table back."""
     spark = stream.sparkSession

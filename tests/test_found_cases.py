@@ -30,15 +30,30 @@ def test_replies_are_tried_block_by_block(spark, blocks, names):
     assert reply(spark, *blocks) == names
 
 
-def test_lots_below_the_level_limit_fail_the_query(spark):
-    deep = {"lotNumber": 1, "salePrice": 5}
-    for _ in range(10):
-        deep = {"a": deep}
-    rows = spark.createDataFrame([(1, json.dumps(deep)), (2, '{"a": {"b": {}, "c": []}}')], "k int, body string")
-    assert [r.k for r in profiling.lot_objects(rows, "body", depth=11).collect()] == [1]
-    with pytest.raises(Exception, match="levels deep"):
-        profiling.lot_objects(rows, "body", depth=4).collect()
-    assert profiling.lot_objects(rows.where("k = 2"), "body", depth=2).collect() == []
+def _found_lots(node, path="$"):
+    """Plain recursion: paths of objects with a lot number and a price."""
+    if isinstance(node, dict):
+        low = {k.lower() for k in node}
+        if "lotnumber" in low and "saleprice" in low:
+            return [path]
+        return [p for k, v in node.items() for p in _found_lots(v, f"{path}.{k}")]
+    if isinstance(node, list):
+        return [p for k, v in enumerate(node) for p in _found_lots(v, f"{path}[{k}]")]
+    return []
+
+
+@pytest.mark.parametrize("levels", [1, 3, 8])
+def test_lots_at_any_depth(spark, levels):
+    documents = []
+    for depth in (0, 1, 7, 8, 9, 17, 40):
+        deep = {"lotNumber": depth, "salePrice": 5, "inner": {"lotNumber": 1, "salePrice": 2}}
+        for k in range(depth):
+            deep = {"a": deep, "b": {}, "c": [[], {"x": None}]} if k % 2 else [deep, 1]
+        documents.append(deep)
+    documents += [{"a": {"b": {}, "c": []}}, {}, [], 5]
+    rows = spark.createDataFrame([(k, json.dumps(d)) for k, d in enumerate(documents)] + [(98, None), (99, "{broken")], "k int, body string")
+    got = sorted((r.k, r.path) for r in profiling.lot_objects(rows, "body", levels=levels).collect())
+    assert got == sorted((k, p) for k, d in enumerate(documents) for p in _found_lots(d))
 
 
 def test_a_document_of_two_days_is_two_rows(spark):

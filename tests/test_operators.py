@@ -156,11 +156,11 @@ def test_catalog_first_price_may_be_missing(spark):
 def test_incremental_merge_equals_rebuild(spark, sf_dir):
     rows = adapters.sightings(spark, sf_dir).where("date <= '2024-01-03'")
     days = sorted(r[0] for r in rows.select("date").distinct().collect())
-    from gavelkit.plans.stores import _listing_batch
+    from gavelkit.plans.stores import _listing_rows
 
-    s = _empty(spark)
+    s, shaped = _empty(spark), _listing_rows(rows)
     for d in days:
-        s = store.merge_listings(s, _listing_batch(rows, d), d, ["pos"])
+        s = store.merge_listings(s, shaped.where(F.col("date") == d), d, ["pos"])
     got = {r["id"]: (r["times_seen"], r["asking_price"], r["first_seen"], r["last_seen"]) for r in s.collect()}
     want = {
         r["id"]: (r["times_seen"], r["current_price"], r["first_seen"], r["last_seen"]) for r in catalog.catalog(rows).collect()
@@ -168,6 +168,17 @@ def test_incremental_merge_equals_rebuild(spark, sf_dir):
     assert got == want
 
 
+def test_late_days_move_nothing_back(spark):
+    cols = "id string, piece_name string, asking_price double, date string, source string, pos int"
+    absent = [f for f in schemas.LISTING.fields if f.name not in ("id", "piece_name", "asking_price", "source")]
+    wide = lambda r: spark.createDataFrame(r, cols).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
+    s = _empty(spark)
+    for batch in ([("a", "new", 5.0, "2024-01-05", "s", 1)], [("a", "old", 3.0, "2024-01-03", "s", 1), ("b", "x", 1.0, "2024-01-03", "s", 2)], [("a", None, 6.0, "2024-01-05", "s", 1)]):
+        s = store.mark_missing(store.merge_listing_days(s, wide(batch), "date", ["pos"]), "2024-01-05")
+    got = {r["id"]: (r["piece_name"], r["asking_price"], r["first_seen"], r["last_seen"], r["times_seen"], r["status"]) for r in s.collect()}
+    assert got == {"a": ("new", 6.0, "2024-01-03", "2024-01-05", 2, "active"), "b": ("x", 1.0, "2024-01-03", "2024-01-03", 1, "inactive")}
+
+
 # --- pages -----------------------------------------------------------------------------
 def test_stop_rules(spark):
     items = [("s", 1, i, i) for i in range(3)] + [("s", 2, i, i + 2) for i in range(3)] + [("s", 3, i, i + 2) for i in range(3)] + [("s", 4, 0, 9)]

@@ -1,6 +1,8 @@
 """Files in and out, versions, extraction edge cases and streams."""
 
 import json
+import math
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -209,3 +211,84 @@ def test_many_days_in_one_merge_equal_day_after_day(spark):
     parts = store.mark_missing(store.merge_listing_days(early, rows.where(F.col("date") >= days[1]), "date", ["pos"]), days[-1])
     want = sorted(map(str, slow.collect()))
     assert sorted(map(str, fast.collect())) == want and sorted(map(str, parts.collect())) == want
+
+
+def _wide(spark, rows):
+    cols = "id string, piece_name string, asking_price double, run_date string, source string, pos int"
+    absent = [f for f in schemas.LISTING.fields if f.name not in ("id", "piece_name", "asking_price", "source")]
+    return spark.createDataFrame(rows, cols).select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in absent])
+
+
+def test_a_checkpoint_begun_again_loses_no_batch(spark, tmp_path):
+    kept = stores.VersionedStore(spark, "t_again", str(tmp_path / "v"), schemas.LISTING, buckets=2)
+    for n in ("a", "z"):
+        _wide(spark, [(n, "x", 5.0, "2026-01-01", "s", 1)]).write.parquet(str(tmp_path / n))
+        stream = spark.readStream.schema(_wide(spark, []).schema).parquet(str(tmp_path / n))
+        jobs.upsert_stream(stream, kept, str(tmp_path / "ck"), ["pos"]).awaitTermination()
+        (tmp_path / "ck").rename(tmp_path / f"lost-{n}")
+    assert sorted(r["id"] for r in kept.read().collect()) == ["a", "z"]
+
+
+def test_a_late_batch_keeps_the_last_day(spark, tmp_path):
+    kept = stores.VersionedStore(spark, "t_late", str(tmp_path / "v"), schemas.LISTING, buckets=2)
+    for n, row in enumerate([("a", "new", 5.0, "2024-01-05", "s", 1), ("a", "old", 3.0, "2024-01-03", "s", 1)]):
+        _wide(spark, [row]).write.parquet(str(tmp_path / str(n)))
+        stream = spark.readStream.schema(_wide(spark, []).schema).parquet(str(tmp_path / str(n)))
+        jobs.upsert_stream(stream, kept, str(tmp_path / f"ck{n}"), ["pos"]).awaitTermination()
+    r = kept.read().collect()[0]
+    assert (r.piece_name, r.asking_price, r.first_seen, r.last_seen, r.times_seen, r.status) == ("new", 5.0, "2024-01-03", "2024-01-05", 2, "active")
+
+
+def _batches(spark, tmp_path, schema, batches):
+    """A stream that reads one batch at a time, in order."""
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"in/p={k}"))
+    kind = spark.createDataFrame([], schema).schema
+    return spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(str(tmp_path / "in") + "/p=*")
+
+
+def _at(text):
+    return datetime.fromisoformat(f"2024-01-{text}")
+
+
+def test_a_late_row_joins_two_sessions(spark, tmp_path):
+    batches = [
+        [("d", _at("01 00:00"), 5.0), ("d", _at("01 08:00"), 7.0), (None, _at("01 00:00"), None)],
+        [("d", _at("01 04:30"), 1.0), ("d", _at("01 20:00"), 2.0)],
+        [("x", _at("09 00:00"), 1.0)],
+    ]
+    stream = _batches(spark, tmp_path, "k string, ts timestamp, price double", batches)
+    out = jobs.run_to_table(jobs.session_stream(stream, "k", "5 hours", "1 day"), str(tmp_path / "out"), str(tmp_path / "ck"))
+    got = sorted(((r.k, str(r.started), str(r.ended), r.n, r.low, r.high) for r in out.collect()), key=str)
+    day = "2024-01-01 "
+    assert got == sorted([(None, f"{day}00:00:00", f"{day}00:00:00", 1, None, None), ("d", f"{day}00:00:00", f"{day}08:00:00", 3, 1.0, 7.0), ("d", f"{day}20:00:00", f"{day}20:00:00", 1, 2.0, 2.0)], key=str)
+
+
+def test_daily_median_of_counts_in_parts(spark):
+    import random
+    import statistics
+
+    r = random.Random(6)
+    rows, want = [], {}
+    for day in ("a", "b", None):
+        for group in ("x", None):
+            prices = [r.choice([50.0, 75.5, 99.99, 100.0, r.uniform(50, 1e6)]) for _ in range(r.randint(1, 60))]
+            rows += [(day, group, p, 1) for p in prices]
+            m = statistics.median(prices)
+            want[day, group] = (len(prices), m if len(prices) % 2 else math.floor(m + 0.5))
+    out = jobs.daily_median(spark.createDataFrame(rows, "day string, g string, price double, n long"), "g").collect()
+    assert {(x.day, x.g): (x.n, x.median) for x in out} == want
+    assert jobs.daily_median(spark.createDataFrame([], "day string, g string, price double, n long"), "g").collect() == []
+
+
+def test_first_imports_are_not_reported(spark, tmp_path):
+    batches = [
+        [("big", f"b{k}", _at("01 01:00"), 500.0) for k in range(4)] + [("small", "s1", _at("01 02:00"), 500.0)],
+        [("big", "b0", _at("02 01:00"), 900.0), ("big", "b9", _at("02 01:00"), 900.0), ("small", "s2", _at("02 01:00"), 10.0), ("big", "late", _at("01 23:00"), 700.0)],
+        [("small", "s2", _at("03 01:00"), 800.0), ("other", "o", _at("09 00:00"), 800.0)],
+    ]
+    stream = _batches(spark, tmp_path, "dealer string, id string, ts timestamp, price double", batches)
+    days = jobs.run_to_table(jobs.listing_day_stream(stream, "1 day"), str(tmp_path / "out"), str(tmp_path / "ck"))
+    got = sorted((r.dealer, r.day, r.id) for r in jobs.alerts_after_import(days, 300, 4).collect())
+    assert got == [("big", "2024-01-02", "b9"), ("small", "2024-01-01", "s1")]
+    assert ("big", "2024-01-01", "b1") in [(r.dealer, r.day, r.id) for r in jobs.alerts_after_import(days, 300, 5).collect()]
