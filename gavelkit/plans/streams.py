@@ -66,7 +66,7 @@ def stream_daily_median(spark, sf_dir):
 
 @query(
     f"""
-WITH d AS (SELECT event_type AS dealer, strftime(ts, '%Y-%m-%d') AS day, user_id || '|' || event_type AS id, max(value) AS price
+WITH d AS (SELECT CASE WHEN user_id % 3 = 0 THEN event_type ELSE event_type || '-' || user_id % 50 END AS dealer, strftime(ts, '%Y-%m-%d') AS day, user_id || '|' || event_type AS id, max(value) AS price
   FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY {_CLOSED} GROUP BY 1, 2, 3),
 stock AS (SELECT dealer, day, count(*) AS n FROM d GROUP BY 1, 2),
 imports AS (SELECT dealer, min(day) AS day FROM stock GROUP BY 1 HAVING arg_min(n, day) > 10),
@@ -74,8 +74,11 @@ firsts AS (SELECT dealer, id, min(day) AS day, arg_min(price, day) AS price FROM
 SELECT * FROM firsts f WHERE price >= 300 AND NOT EXISTS (SELECT 1 FROM imports i WHERE i.dealer = f.dealer AND i.day = f.day)"""
 )
 def stream_alerts_after_import(spark, sf_dir):
+    # a few large dealers, whose first day is an import, and many small ones
+    small = F.concat_ws("-", "event_type", (F.col("user_id") % 50).cast("string"))
+    dealer = F.when(F.col("user_id") % 3 == 0, F.col("event_type")).otherwise(small).alias("dealer")
     rows = _events(spark, sf_dir).select(
-        F.concat_ws("|", F.col("user_id").cast("string"), "event_type").alias("id"), F.col("event_type").alias("dealer"), "ts", F.col("value").alias("price")
+        F.concat_ws("|", F.col("user_id").cast("string"), "event_type").alias("id"), dealer, "ts", F.col("value").alias("price")
     )
     days = jobs.run_to_table(jobs.listing_day_stream(rows, "1 hour"), work_path(spark, "days"), work_path(spark, "days-checkpoint"))
     return jobs.alerts_after_import(days, 300, 10)
