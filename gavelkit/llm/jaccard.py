@@ -18,14 +18,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gavelkit.llm.common import release, small_batches
 from gavelkit.session import pinned
 
 WIDTH, PERCENT = 5, 75
-HOT_DOCS, HOT_LIMIT, GROUP, SHORT = 16, 500_000, 32, 8
+HOT_DOCS, HOT_LIMIT, GROUP = 16, 500_000, 32
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -249,10 +249,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _posted(classes: DataFrame) -> DataFrame:
-    """key, nodes, c: the lists of nodes that c cool tokens have in common, of two nodes or more."""
-    lists = classes.select("node", F.explode("cool").alias("token")).groupBy("token").agg(F.sort_array(F.collect_list("node")).alias("nodes"))
-    lists = lists.where("size(nodes) > 1").groupBy("nodes").agg(F.count("*").alias("c"))
-    return pinned(lists.select(F.monotonically_increasing_id().alias("key"), "nodes", "c"), "lists")
+    """key, nodes, c, places: the lists of nodes that c cool tokens have in common, of two nodes or more.
+
+    Places tell where the first of these tokens stands in each node's list; the first is the same one for all.
+    """
+    lists = classes.select("node", F.posexplode("cool").alias("at", "token")).groupBy("token").agg(F.sort_array(F.collect_list(F.struct("node", "at"))).alias("found"))
+    lists = lists.where("size(found) > 1").select(F.col("found.node").alias("nodes"), F.col("found.at").alias("places"))
+    # of equal lists the one with the smallest places holds the first token, for any of the nodes
+    lists = lists.groupBy("nodes").agg(F.count("*").alias("c"), F.min_by("places", F.element_at("places", 1)).alias("places"))
+    return pinned(lists.select(F.monotonically_increasing_id().alias("key"), "nodes", "c", "places"), "lists")
 
 
 def _stars(lists: DataFrame, classes: DataFrame) -> DataFrame:
@@ -315,37 +320,64 @@ def _least_shared(n: Column, least: Column, most: Column, percent: int) -> Colum
     return F.greatest(F.lit(1), F.least(overlap(least) - floor(n), *[overlap(m) - floor(m) for m in last]) + 1)
 
 
+def _size_class(n: Column) -> Column:
+    """A number for sizes that are near: sizes below 32 are each their own, above, 16 classes a doubling."""
+    fall = F.greatest(F.length(F.bin(n)) - 5, F.lit(0)).cast("int")
+    return F.call_function("shiftright", n.cast("bigint"), fall) + 16 * fall
+
+
+def _sizes_met(posts: DataFrame, percent: int) -> DataFrame:
+    """key, node, comp, n of the posts with each class of sizes that the key may lead to (least to most), and the common tokens that takes (due).
+
+    If the key is the first that is common, the overlap is at most ``n`` less the tokens before it: so sizes end at ``far``.
+    """
+    n, c = F.col("n"), F.col("class")
+    low = F.ceil(percent * n / 100)
+    far = F.least(F.floor(100 * n / percent), F.floor((n - F.col("at")) * (100 + percent) / percent) - n)
+    met = posts.withColumns({"low": low, "far": far}).where("low <= far")
+    met = met.withColumn("class", F.explode(F.sequence(_size_class(F.col("low")), _size_class(F.col("far")))))
+    fall = F.greatest(F.floor(c / 16) - 1, F.lit(0)).cast("int")
+    first, last = F.call_function("shiftleft", c - 16 * fall, fall), F.call_function("shiftleft", c - 16 * fall + 1, fall) - 1
+    # generators keep the planner from putting the long expressions into each other, which would be too long to compile
+    sizes = F.array(F.struct(F.greatest(first, "low").alias("least"), F.least(last, "far").alias("most")))
+    met = met.select("key", "node", "comp", "n", "class", "left", F.inline(sizes)).where("least <= most")
+    due = F.explode(F.array(_least_shared(n, F.col("least"), F.col("most"), percent)))
+    return met.select("key", "node", "comp", "n", "class", "least", "most", "left", due.alias("due")).where("due <= left").drop("left")
+
+
 def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, group: int, first: bool) -> DataFrame:
     """Links between components that the stars didn't show, through the token-group matrix.
 
     With ``first`` a query is compared with one member of each qualifying group, else with all of them.
 
     Two linked sets share at least o - need(n) + 1 of the tokens that each is found by, n being the size of the one whose
-    tokens end first and o the overlap that a link takes. Keys that many nodes have (long ones) only bring a query and a
-    group together where they alone could make up that number; else a short key must do it.
+    tokens end first and o the overlap that a link takes. What stands from the first common token on, in the order that
+    all sets have, must be that many tokens of those that other components have too, and o tokens in all, in both sets.
+    So a key brings a query only to sets of those sizes for which it may be the first one; a hot token, which stands
+    last, to few.
     """
-    nodes = classes.select("node", "n", "hot").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    nodes = classes.select("node", "n", "hot", F.size("cool").alias("cools")).join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     nodes = pinned(nodes, "nodes")
-    of_lists = lists.select("key", F.col("c"), (F.size("nodes") > SHORT).alias("long"), F.explode("nodes").alias("node")).join(nodes.select("node", "n", "comp"), "node")
-    of_hot = nodes.where("size(hot) > 0").select(F.explode("hot").alias("key"), F.lit(1).cast("bigint").alias("c"), F.lit(True).alias("long"), "node", "n", "comp")
-    posts = pinned(of_lists.unionByName(of_hot), "posts")
+    of_lists = lists.select("key", F.col("c"), F.explode(F.arrays_zip("nodes", "places")).alias("post"))
+    of_lists = of_lists.select("key", "c", "post.nodes", "post.places").toDF("key", "c", "node", "at").join(nodes.select("node", "n", "comp"), "node")
+    of_hot = nodes.where("size(hot) > 0").select("node", "n", "comp", "cools", F.posexplode("hot").alias("at", "key"))
+    of_hot = of_hot.select("key", F.lit(1).cast("bigint").alias("c"), "node", (F.col("cools") + F.col("at")).alias("at"), "n", "comp")
+    posts = pinned(of_lists.select(*of_hot.columns).unionByName(of_hot), "posts")
     mixed = pinned(posts.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "mixed")
-    posts = pinned(posts.join(mixed, "key"), "mixed-posts")
-    members = posts.groupBy("node", "comp", "n").agg(F.sum(F.when(F.col("long"), F.col("c")).otherwise(0)).alias("h"))
+    left = F.sum("c").over(Window.partitionBy("node").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, 0))
+    posts = pinned(posts.join(mixed, "key").select("key", "node", "at", "n", "comp", left.alias("left")), "mixed-posts")
+    members = posts.select("node", "comp", "n").distinct()
     sizes = pinned(members.groupBy("comp").agg(F.count("*").alias("size")), "sizes")
     members = members.join(sizes, "comp").withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / group)))
-    members = pinned(members.select("node", "n", "h", "comp", F.xxhash64("comp", "part").alias("group")), "members")
-    # a query goes to groups of components before its own; per key only the distinct groups matter
-    bounds = members.groupBy("group").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("comp").alias("g_comp"), F.max("h").alias("g_h"))
-    to = posts.join(members.select("node", "group"), "node").select("key", "group").distinct()
-    to = pinned(to.join(pinned(bounds, "bounds"), "group"), "to")
-    from_ = pinned(posts.join(members.select("node", "h"), "node"), "from")
-    n, least, most = F.col("n"), F.col("least"), F.col("most")
-    shared = _least_shared(n, least, most, percent)
-    slack = F.least("h", "g_h")
-    meets = (F.col("g_comp") < F.col("comp")) & (100 * n >= percent * least) & (100 * most >= percent * n) & (~F.col("long") | (shared <= slack))
-    asked = from_.join(to, "key").where(meets).groupBy(F.col("node").alias("q"), "group").agg(F.sum("c").alias("c"), F.max(shared - slack).alias("due"))
-    asked = pinned(asked.where("c >= due").select("q", "group"), "asked")
+    members = pinned(members.select("node", F.xxhash64("comp", "part").alias("group")), "members")
+    # a query goes to groups of components before its own; per key and class of sizes only the distinct groups matter
+    n = F.col("n")
+    reach = F.floor((n - F.col("at")) * (100 + percent) / percent) - n
+    to = posts.join(members, "node").groupBy("key", _size_class(n).alias("class"), "group")
+    to = pinned(to.agg(F.min("comp").alias("g_comp"), F.max("left").alias("g_left"), F.max(reach).alias("g_reach"), F.min("n").alias("g_least"), F.max("n").alias("g_most")), "to")
+    from_ = pinned(_sizes_met(posts, percent), "from")
+    meets = (F.col("g_comp") < F.col("comp")) & (F.col("g_left") >= F.col("due")) & (F.col("g_reach") >= n) & (F.col("g_least") <= F.col("most")) & (F.col("g_most") >= F.col("least"))
+    asked = pinned(from_.join(to, ["key", "class"]).where(meets).select(F.col("node").alias("q"), "group").distinct(), "asked")
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -172,6 +172,22 @@ def lone_token_families(seed, count):
     return rows
 
 
+def test_jaccard_size_classes_of_a_key_leave_out_no_linked_size(spark):
+    rows = [(k, k, k, n, at, left) for k, (n, at, left) in enumerate((n, at, left) for n in (1, 2, 7, 31, 32, 33, 64, 110, 147, 500) for at in (0, 1, 3, 9) for left in (1, 2, 5, 40))]
+    posts = spark.createDataFrame(rows, "key bigint, node bigint, comp bigint, n bigint, at int, left bigint")
+    for percent in (75, 85):
+        met = {(r["key"], r["class"]): r for r in jaccard._sizes_met(posts, percent).collect()}
+        sizes = spark.range(1, 1000).select("id", jaccard._size_class(F.col("id")).alias("class")).collect()
+        size_class = {r["id"]: r["class"] for r in sizes}
+        for key, _, _, n, at, left in rows:
+            for m in range(1, min(1000, 2 * n + 2)):
+                overlap = -(-percent * (n + m) // (100 + percent))
+                due = max(1, overlap - jaccard.need(max(n, m), percent) + 1)
+                if overlap <= min(n - at, m) and due <= left and 100 * min(n, m) >= percent * max(n, m):
+                    r = met[key, size_class[m]]
+                    assert r["least"] <= m <= r["most"] and r["due"] <= due
+
+
 def test_jaccard_links_by_one_common_token_of_many_texts(spark):
     rows = lone_token_families(5, 12)
     out = jaccard.similar(docs(spark, rows), hot_docs=1000).collect()
