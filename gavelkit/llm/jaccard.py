@@ -345,10 +345,12 @@ def _sizes_met(posts: DataFrame, percent: int) -> DataFrame:
     return met.select("key", "node", "comp", "n", "class", "least", "most", "left", due.alias("due")).where("due <= left").drop("left")
 
 
-def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, group: int, first: bool) -> DataFrame:
+def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, group: int, reach: str) -> DataFrame:
     """Links between components that the stars didn't show, through the token-group matrix.
 
-    With ``first`` a query is compared with one member of each qualifying group, else with all of them.
+    With the reach "lead" a query goes to the first group of each key and class of sizes, with "one" and "all" to every
+    group, and is compared with one member of each qualifying group, with "all" with every one. Only "all" is whole; the
+    others come before it, since what they link is one component and needs no further look.
 
     Two linked sets share at least o - need(n) + 1 of the tokens that each is found by, n being the size of the one whose
     tokens end first and o the overlap that a link takes. What stands from the first common token on, in the order that
@@ -372,11 +374,15 @@ def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: Da
     members = pinned(members.select("node", F.xxhash64("comp", "part").alias("group")), "members")
     # a query goes to groups of components before its own; per key and class of sizes only the distinct groups matter
     n = F.col("n")
-    reach = F.floor((n - F.col("at")) * (100 + percent) / percent) - n
+    far = F.floor((n - F.col("at")) * (100 + percent) / percent) - n
     to = posts.join(members, "node").groupBy("key", _size_class(n).alias("class"), "group")
-    to = pinned(to.agg(F.min("comp").alias("g_comp"), F.max("left").alias("g_left"), F.max(reach).alias("g_reach"), F.min("n").alias("g_least"), F.max("n").alias("g_most")), "to")
+    to = to.agg(F.min("comp").alias("g_comp"), F.max("left").alias("g_left"), F.max(far).alias("g_far"), F.min("n").alias("g_least"), F.max("n").alias("g_most"))
+    if reach == "lead":
+        lead = F.min_by(F.struct("group", "g_comp", "g_left", "g_far", "g_least", "g_most"), F.struct("g_comp", "group"))
+        to = to.groupBy("key", "class").agg(lead.alias("to")).select("key", "class", "to.*")
+    to = pinned(to, "to")
     from_ = pinned(_sizes_met(posts, percent), "from")
-    meets = (F.col("g_comp") < F.col("comp")) & (F.col("g_left") >= F.col("due")) & (F.col("g_reach") >= n) & (F.col("g_least") <= F.col("most")) & (F.col("g_most") >= F.col("least"))
+    meets = (F.col("g_comp") < F.col("comp")) & (F.col("g_left") >= F.col("due")) & (F.col("g_far") >= n) & (F.col("g_least") <= F.col("most")) & (F.col("g_most") >= F.col("least"))
     asked = pinned(from_.join(to, ["key", "class"]).where(meets).select(F.col("node").alias("q"), "group").distinct(), "asked")
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -397,7 +403,7 @@ def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: Da
     matrix = pinned(matrix.mapInArrow(unite, "group bigint, least bigint, until bigint, united array<bigint>"), "matrix")
     tried = asked.join(_only(classes, asked.select(F.col("q").alias("node"))).withColumnRenamed("node", "q"), "q").join(matrix, "group")
     opened = pinned(tried.select("q", "group", "n", "cool", "least", "until", "united").mapInArrow(bound, "q bigint, group bigint"), "opened")
-    met = members.groupBy("group").agg(F.min("node").alias("b")) if first else members.select(F.col("node").alias("b"), "group")
+    met = members.groupBy("group").agg(F.min("node").alias("b")) if reach != "all" else members.select(F.col("node").alias("b"), "group")
     pairs = opened.join(pinned(met, "met"), "group").select(F.col("q").alias("a"), "b").distinct()
     return _checked(pairs, rows, classes, percent)
 
@@ -447,9 +453,8 @@ def _similar(docs: DataFrame, doc_id: str, text: str, percent: int, hot_docs: in
     lists = _posted(classes)
     edges = _checked(_stars(lists, classes), rows, classes, percent)
     comp = components(edges)
-    # one member of each group first: what that links is one component and needs no further look; then every member
-    for first in (True, False):
-        more = _open_groups(lists, comp, rows, classes, percent, group, first)
+    for reach in ("lead", "one", "all"):
+        more = _open_groups(lists, comp, rows, classes, percent, group, reach)
         if not more.isEmpty():
             edges = edges.unionByName(more)
             comp = components(edges)
