@@ -12,7 +12,9 @@ from gavelkit.plans.adapters import (
 )
 from gavelkit.plans.market import FLAGS_SQL
 from gavelkit.plans.registry import Registry
-from gavelkit.session import pinned
+from gavelkit.session import pinned, work_path
+from gavelkit.sources import stores
+from gavelkit.sources.arrays import write_arrays
 
 query = Registry()
 QUERIES, ORACLES = query.queries, query.oracles
@@ -72,15 +74,18 @@ def catalog_counters(spark, sf_dir):
 @query(
     with_views(
         """
-SELECT date, count(*) AS pieces, min(pos) AS first_pos, max(pos) AS last_pos FROM sightings GROUP BY date""",
+SELECT date AS date_pulled, CAST(row_number() OVER (PARTITION BY date ORDER BY pos) - 1 AS INTEGER) AS pos, piece_name, category,
+       price AS asking_or_hammer_price, price_type, source_site, notes FROM sightings""",
         SIGHTINGS_SQL,
     )
 )
 def scan_snapshots(spark, sf_dir):
-    rows = sightings(spark, sf_dir)
-    return rows.groupBy("date").agg(
-        F.count("*").alias("pieces"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos")
-    ).orderBy("date")
+    """Sightings written as one array file a day, and read back; notes hold JSON themselves."""
+    folder = work_path(spark, "snapshots")
+    rows = sightings(spark, sf_dir).withColumnRenamed("price", "asking_or_hammer_price")
+    write_arrays(rows.drop("id"), "date", ["pos"], folder)
+    back = stores.scan_snapshots(spark, folder)
+    return back.select("date_pulled", "pos", "piece_name", "category", "asking_or_hammer_price", "price_type", "source_site", "notes")
 
 
 # --- merge and lifecycle ----------------------------------------------------------

@@ -7,25 +7,21 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gavelkit.operators.store import store_order, with_auction_key, with_listing_key
 from gavelkit.schemas import AUCTION, SIGHTING, STATS, conform
+from gavelkit.sources.arrays import scan_arrays
 
 
 def scan_json_array(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The objects of a JSON array file; no rows if the file is missing, broken or no array.
-
-    These files are exports of small stores and hold one array each. Big stores are Parquet.
-    """
+    """The objects of a JSON array file, read in as many tasks as it has splits; no rows if the file is missing, broken or no array."""
     try:
-        files = spark.read.option("wholetext", True).text(path)
+        return scan_arrays(spark, path, schema).select("record.*")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
-    is_array = F.schema_of_variant(F.try_parse_json("value")).startswith("ARRAY")
-    return files.where(is_array).select(F.inline(F.from_json("value", ArrayType(schema))))
 
 
 def _store_shape(schema: StructType) -> StructType:
@@ -42,16 +38,13 @@ def scan_store(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return conform(keyed.withColumn("tags", tags), schema)
 
 
-_PIECES = "ARRAY<STRUCT<query STRING, piece_name STRING, category STRING, era_or_year STRING, materials_gemstones STRING, " \
-    "asking_or_hammer_price STRING, price_type STRING, source_site STRING, listing_url STRING, notes STRING>>"
+_PIECES = _store_shape(StructType([f for f in SIGHTING.fields if f.name not in ("date_pulled", "pos")]))
 
 
 def scan_snapshots(spark: SparkSession, folder: str) -> DataFrame:
-    """All dated snapshot files of a folder; the date is the file name, the array position is kept."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(folder)
-    day = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1)
-    rows = files.select(day.alias("date_pulled"), F.posexplode(F.from_json("value", _PIECES)).alias("pos", "p"))
-    return conform(rows.select("date_pulled", "pos", "p.*"), SIGHTING)
+    """All dated snapshot files of a folder; the date is the file name, the array position is kept. Big files are read in several tasks."""
+    rows = scan_arrays(spark, folder, _PIECES, "*.json")
+    return conform(rows.select(F.regexp_extract("file", r"([^/]*)\.json$", 1).alias("date_pulled"), "pos", "record.*"), SIGHTING)
 
 
 def scan_series(spark: SparkSession, path: str) -> DataFrame:
