@@ -123,15 +123,17 @@ def merge_listing_days(prev: DataFrame, rows: DataFrame, day: str, order: list[s
     )
 
 
-def mark_missing(store: DataFrame, run_date: str, sources: DataFrame | None = None) -> DataFrame:
+def mark_missing(store: DataFrame, run_date: str, sources: DataFrame | list[str] | None = None) -> DataFrame:
     """Listings not seen today become inactive.
 
     Without ``sources`` every listing is judged, also those of a source that failed today.
-    With ``sources`` (a column ``source`` of the sources that delivered) the others stay as they are.
+    With ``sources`` (names, or a column ``source``, of the sources that delivered) the others stay as they are; names need no join.
     """
     unseen = ~F.col("last_seen").eqNullSafe(F.lit(run_date))
     if sources is None:
         return store.withColumn("status", F.when(unseen, "inactive").otherwise(F.col("status")))
+    if isinstance(sources, list):
+        return store.withColumn("status", F.when(unseen & F.col("source").isin(sources), "inactive").otherwise(F.col("status")))
     came = sources.select("source", F.lit(True).alias("_came")).distinct()
     return (
         store.join(came, "source", "left")

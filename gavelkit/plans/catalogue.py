@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["market", "stores", "texts", "pages", "pairs", "extraction", "digests", "streams"]
+_MODULES = ["market", "stores", "texts", "pages", "pairs", "extraction", "digests", "streams", "intake"]
 
 
 def _collect(attribute: str) -> dict:

@@ -24,13 +24,14 @@ class Extractor(Protocol):
 
 @dataclass(frozen=True)
 class Source:
-    """A registered source. ``needs_brand`` is false where the source is queried by a maker field."""
+    """A registered source. ``needs_brand`` is false where the source is queried by a maker field; ``item_url`` is a pattern of its item pages."""
 
     name: str
     kind: str  # "auction" or "listing"
     extract: Extractor
     params: dict = field(default_factory=dict)
     needs_brand: bool = True
+    item_url: str | None = None
     status: str = "structured"
 
 
