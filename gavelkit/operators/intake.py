@@ -48,12 +48,15 @@ def ingest_listings(prev: DataFrame, batch: DataFrame, sources: list[Source], ou
 
     first = kept.groupBy("id").agg(F.min_by("source", "pos").alias("source")).join(prev.select("id"), "id", "left_anti")
     added = first.groupBy("source").agg(F.count("*").alias("added"))
-    report = ingest.ingest_summary(rows.withColumn("added", F.lit(False))).drop("added").join(added, "source", "left").fillna({"added": 0})
+    report = ingest.ingest_summary(rows.withColumn("added", F.lit(False))).drop("added").join(added, "source", "left")
     if truncated is not None:
         report = report.join(truncated.groupBy("source").agg(F.bool_or("truncated").alias("truncated")), "source", "left")
     else:
-        report = report.withColumn("truncated", F.lit(False))
-    report = report.fillna({"truncated": False}).withColumn("error", F.lit(None).cast("string"))
+        report = report.withColumn("truncated", F.lit(None).cast("boolean"))
+    report = report.withColumn("error", F.lit(None).cast("string"))
     # one row a registered source, so a handful
     failed = prev.sparkSession.createDataFrame([(o["source"], o["error"]) for o in outcome if o["status"] == "failed"], "source string, error string")
-    return out, report.unionByName(failed, allowMissingColumns=True)
+    every = report.unionByName(failed, allowMissingColumns=True)
+    ran = lambda c, default: F.when(F.col("error").isNull(), F.coalesce(c, F.lit(default))).alias(c)
+    filled = {"added": 0, "truncated": False}
+    return out, every.select(*[ran(c, filled[c]) if c in filled else c for c in every.columns])
