@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,6 +274,21 @@ def test_print_pairs_equal_brute_force(spark, bits):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
+def test_prints_equal_in_most_bits_are_compared_once_a_pair(spark):
+    """Three of four parts are equal in all prints: blocks by part would hold every pair hundreds of times."""
+    rnd = np.random.default_rng(7)
+    prints = np.unique(rnd.integers(0, 2**16, 3000)).astype(np.int64) << 48
+    df = spark.createDataFrame([(int(p),) for p in prints], "print bigint")
+    links = pairs.print_links(df, 3, tile=700)
+    met = links.where("gid_a <> gid_b").toPandas()
+    bits = prints.view(np.uint64)
+    dist = np.bitwise_count(bits[:, None] ^ bits[None, :])
+    want = {(min(a, b), max(a, b)): d for i, a in enumerate(prints.tolist()) for b, d in zip(prints[i + 1 :].tolist(), dist[i, i + 1 :].tolist(), strict=True) if d <= 3}
+    assert len(met) == len(want) and {(a, b): d for a, b, d in met.itertuples(index=False)} == want
+    whole = links._jdf.queryExecution().optimizedPlan().toString()
+    assert "meet" not in whole and "mask" not in whole
+
+
 # --- browse --------------------------------------------------------------------------------
 def test_filters_reach_the_scans(spark, tmp_path):
     a = spark.createDataFrame([], schemas.AUCTION)
