@@ -188,7 +188,7 @@ class _ArrayWriter(DataSourceWriter):
                         sink.close()
                     name = row[0]
                     done.append((f"{root}/_{uuid.uuid4().hex}", f"{root}/{name}.json"))
-                    sink = store.open_output_stream(done[-1][0])
+                    sink = store.open_output_stream(done[-1][0], buffer_size=1 << 20)
                     sink.write(b"[\n")
                 else:
                     sink.write(b",\n")

@@ -4,6 +4,7 @@ import json
 import random
 
 import pytest
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from gavelkit.sources import arrays
@@ -55,6 +56,21 @@ def test_written_files(spark, tmp_path):
     assert {p.name: json.loads(p.read_text()) for p in (tmp_path / "out").iterdir()} == {"d1.json": [{"text": 'q"}\n'}, {"text": "b"}], "d2.json": [{"text": "new"}]}
 
 
+def test_small_records_share_writes(tmp_path, monkeypatch):
+    opened = []
+
+    class Store(fs.SubTreeFileSystem):
+        def open_output_stream(self, path, **options):
+            opened.append(options.get("buffer_size") or 0)
+            return super().open_output_stream(path, **options)
+
+    writer = arrays._ArrayWriter(str(tmp_path))
+    monkeypatch.setattr(writer, "_at", lambda: (Store(str(tmp_path), fs.LocalFileSystem()), "out"))
+    writer.commit([writer.write(iter([("d1", "{}"), ("d1", "{}"), ("d2", "{}")]))])
+    assert len(opened) == 2 and min(opened) >= 1 << 16
+    assert json.loads((tmp_path / "out" / "d1.json").read_text()) == [{}, {}]
+
+
 def test_a_failed_write_leaves_no_file(spark, tmp_path):
     folder = str(tmp_path / "out")
     rows = spark.createDataFrame([("d1", 1, "a"), (None, 2, "b")], "day string, at int, text string")
