@@ -293,14 +293,16 @@ def _lot_levels(rows: DataFrame, levels: int) -> DataFrame:
     roles = lambda keys: F.transform(
         F.filter(keys, lambda k: F.array_contains(wanted, F.lower(k))), lambda k: F.lower(k) == fixed.LOT_KEY
     )
+    # one step into the document; its whole text or schema would cost the rest of its depth at every level
+    fields, items = (F.try_variant_get("node", "$", t) for t in ("map<string,variant>", "array<variant>"))
     # both a lot number and a price: the two roles differ
-    is_lot = F.coalesce(F.size(F.array_distinct(roles(F.json_object_keys(F.to_json("node"))))) == 2, F.lit(False))
-    is_open = F.schema_of_variant("node").rlike("^(ARRAY|OBJECT)")
+    is_lot = F.coalesce(F.size(F.array_distinct(roles(F.map_keys(fields)))) == 2, F.lit(False))
     # exploding a one-element array keeps the parsed document from being parsed again per use
     level = rows.select("_kept", "path", F.explode(F.array(F.try_parse_json("lot"))).alias("node"))
     level = level.where("node IS NOT NULL").withColumn("lot", is_lot)
     for _ in range(levels):
-        inside = F.when(~F.col("lot") & is_open, F.col("node"))
+        # of what is no object or array nothing comes out
+        inside = F.when(~F.col("lot"), F.col("node"))
         child = level.lateralJoin(spark.tvf.variant_explode_outer(inside.outer()))
         step = F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).otherwise(
             F.concat(F.lit("."), F.col("key"))
@@ -312,6 +314,6 @@ def _lot_levels(rows: DataFrame, levels: int) -> DataFrame:
             F.col("lot").alias("_was"),
         ).where("node IS NOT NULL")
         level = level.select("_kept", "path", "node", (F.col("_was") | is_lot).alias("lot"))
-    filled = ~F.to_json("node").isin("{}", "[]")
-    ends = level.where(F.col("lot") | (is_open & filled))
+    filled = F.coalesce(F.size(fields) > 0, F.size(items) > 0, F.lit(False))
+    ends = level.where(F.col("lot") | filled)
     return ends.select("_kept", "path", F.to_json("node").alias("lot"), F.col("lot").alias("done"))

@@ -56,6 +56,15 @@ def test_lots_at_any_depth(spark, levels):
     assert got == sorted((k, p) for k, d in enumerate(documents) for p in _found_lots(d))
 
 
+def test_a_level_of_lots_takes_one_step(spark):
+    """The whole text or schema of an open node at every level costs the rest of its depth again and again."""
+    rows = spark.createDataFrame([(1, '{"a":{"lotNumber":1,"salePrice":2}}')], "_kept int, lot string").withColumn("path", F.lit("$"))
+    found = profiling._lot_levels(rows, 4)
+    text = found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "schema_of_variant" not in text and "schemaofvariant" not in text and "json_object_keys" not in text
+    assert [(r.path, r.done) for r in found.collect()] == [("$.a", True)]
+
+
 def test_a_document_of_two_days_is_two_rows(spark):
     body = lambda p: json.dumps({"results": [{"hits": [{"document": {"id": "d1", "title": "Ring", "price": {"hammerPrice": p}}}]}]})
     rows = spark.createDataFrame([("s", "2024-01-01", 1, 0, body(100)), ("s", "2024-01-02", 1, 0, body(900)), ("s", "2024-01-02", 2, 1, body(700))], "source string, run_date string, page int, pos int, body string")
