@@ -239,6 +239,17 @@ def test_title_pairs_equal_brute_force(spark):
     assert share["involved"] == len({i for p in want for i in p})
 
 
+def test_title_tiles_equal_brute_force_and_no_pair_carries_words(spark):
+    """Cells are cut into tiles of a few words; what is left after the comparison is links alone."""
+    df = _titles(spark)
+    members = pairs.title_groups(df)
+    links = pairs.title_links(members, tile=20)
+    got = [tuple(r) for r in pairs.listing_pairs(members, links, []).collect()]
+    want = {tuple(r) for r in _brute_titles(df).collect()}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert "array_intersect" not in plan(links) and "Join" not in plan(links)
+
+
 def test_groups_are_compared_not_listings(spark):
     members = pairs.title_groups(_titles(spark).where("id >= 1000"))
     assert pairs.title_links(members).count() == 1
