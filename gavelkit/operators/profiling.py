@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gavelkit.functions import fixed
 from gavelkit.functions.text import domain_of, page_text, tidy
 from gavelkit.session import pinned
+from gavelkit.sources.extract.base import computed_once
 
 
 def _count(text: Column, needle: str) -> Column:
@@ -239,20 +240,24 @@ def json_shape(rows: DataFrame, body: str) -> DataFrame:
     Below the top only the first child that holds an object or array is followed.
     """
     keep = [c for c in rows.columns if c != body]
-    out = rows.withColumn("_v", F.try_parse_json(body)).where(F.col("_v").isNotNull())
+    # each level's text and entries are generated, so that they are parsed once and not in every use
+    out = computed_once(rows, "_v", F.try_parse_json(body)).where(F.col("_v").isNotNull())
     node, prefix, arrays, paging = F.col(body), "", [], []
-    for _ in range(3):
+    for level in range(3):
+        out = computed_once(out, f"_node{level}", node)
+        node = F.col(f"_node{level}")
         fields = F.map_entries(F.from_json(node, "map<string,variant>"))
         items = F.transform(
             F.from_json(node, "array<variant>"), lambda v, i: F.struct(i.cast("string").alias("key"), v.alias("value"))
         )
-        entries = F.when(tidy(node).startswith("["), items).otherwise(fields)
+        out = computed_once(out, f"_entries{level}", F.when(tidy(node).startswith("["), items).otherwise(fields))
+        entries = F.col(f"_entries{level}")
         kind = lambda e: F.schema_of_variant(e["value"])
         arrays.append(_array_lengths(F.filter(entries, lambda e: kind(e).startswith("ARRAY")), prefix))
         numeric = r"^(BIGINT|DOUBLE|DECIMAL)"
         paging.append(
             F.transform(
-                F.filter(entries, lambda e: kind(e).rlike(numeric) & e["key"].rlike(fixed.PAGINATION_KEY)),
+                F.filter(entries, lambda e: e["key"].rlike(fixed.PAGINATION_KEY) & kind(e).rlike(numeric)),
                 lambda e: F.concat(e["key"], F.lit("="), F.to_json(e["value"])),
             )
         )

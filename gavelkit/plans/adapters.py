@@ -36,9 +36,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table for costly work per row: parsing, patterns, long texts."""
-    return spread(table(spark, sf_dir, name))
+def spread_table(spark: SparkSession, sf_dir: str, name: str, rows: int | None = None, by: str | None = None) -> DataFrame:
+    """A table for costly work per row: parsing, patterns, long texts; ``rows`` bounds what one task gets."""
+    return spread(table(spark, sf_dir, name), rows, by)
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:

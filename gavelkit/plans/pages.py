@@ -264,7 +264,7 @@ def _shape_body():
 SELECT event_id, 'results,page,props' AS top_keys, 'results:1 [nested].[nested].hits:3' AS arrays, 'page=2 nbHits=' || user_id AS paging FROM events"""
 )
 def json_shape_profile(spark, sf_dir):
-    rows = spread_table(spark, sf_dir, "events").select("event_id", _shape_body().alias("body"))
+    rows = spread_table(spark, sf_dir, "events", rows=200_000).select("event_id", _shape_body().alias("body"))
     out = pf.json_shape(rows, "body")
     return out.select(
         "event_id", "top_keys", F.array_join("arrays", " ").alias("arrays"), F.array_join("paging", " ").alias("paging")

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -61,10 +62,18 @@ def pinned(df: DataFrame, label: str = "pin") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for per-row work on an input that is read in fewer splits than there are cores.
+def spread(df: DataFrame, rows: int | None = None, by: str | None = None) -> DataFrame:
+    """Use all cores for per-row work on an input that is read in fewer splits than there are cores, or in uneven ones.
 
-    A big input has far more splits than cores and is returned as it is, without a shuffle.
+    A file is cut by bytes but read by row groups, so some splits may hold all rows; they are counted, which reads file
+    footers only. With ``rows``, for work that takes much time or memory a row, a task gets about that many at most. A big
+    input that is read evenly is returned as it is, without a shuffle. ``by`` keeps rows of near values together.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    deal = lambda n: df.repartitionByRange(n, by) if by else df.repartition(n)
+    cores, splits = df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()
+    if splits < cores and rows is None:
+        return deal(cores)
+    held = df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"))
+    total, fullest = held.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    wanted = max(cores, -(-total // rows) if rows else 0)
+    return df if splits >= cores and fullest * wanted <= 2 * total else deal(wanted)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gavelkit.operators import profiling
+from gavelkit.session import spread
 from gavelkit.sources.extract import hits, text
 
 
@@ -70,3 +71,32 @@ def test_a_document_of_two_days_is_two_rows(spark):
     rows = spark.createDataFrame([("s", "2024-01-01", 1, 0, body(100)), ("s", "2024-01-02", 1, 0, body(900)), ("s", "2024-01-02", 2, 1, body(700))], "source string, run_date string, page int, pos int, body string")
     out = hits.document_hits(rows, "House").select(F.col("sold_price")).collect()
     assert sorted(r.sold_price for r in out) == [100, 900]
+
+
+def test_a_file_whose_rows_lie_in_one_split_is_dealt_out(spark, tmp_path):
+    """Splits are cut by bytes; a file of one row group has as many, but one of them holds all rows."""
+    path = str(tmp_path / "one")
+    spark.range(40_000).selectExpr("id", "uuid() AS t").coalesce(1).write.parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = spark.read.parquet(path)
+        assert df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        sizes = lambda d: [len(p) for p in d.select("id").rdd.glom().collect()]
+        assert max(sizes(df)) == 40_000
+        assert max(sizes(spread(df))) < 10_000
+        near = sizes(spread(df, rows=1_000, by="id"))
+        assert sum(near) == 40_000 and max(near) < 2_500
+        assert max(sizes(spread(spark.range(10_000, numPartitions=1), rows=500))) < 1_000
+        assert sizes(spread(spark.range(0))) is not None
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_json_shape_parses_each_level_once(spark):
+    rows = spark.createDataFrame([(1, '{"b":[{"nbHits":7,"page":"x"}],"a":2}'), (2, "[]"), (3, "5"), (4, None)], "k int, body string")
+    out = profiling.json_shape(rows, "body")
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json") <= 6 * 2
+    got = {r["k"]: (r["top_keys"], r["arrays"], r["paging"]) for r in out.collect()}
+    assert got == {1: ("b,a", ["b:1"], ["nbHits=7"]), 2: ("array[0]", [], []), 3: (None, [], [])}
