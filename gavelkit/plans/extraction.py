@@ -31,7 +31,8 @@ def _part(spark, sf_dir):
 
 
 def _orders(spark, sf_dir):
-    o = spread_table(spark, sf_dir, "orders").withColumn("day", col("o_orderdate").cast("date").cast("string"))
+    # a page is far larger than its row, and what sorts pages holds a task's
+    o = spread_table(spark, sf_dir, "orders", rows=100_000, by="o_orderkey").withColumn("day", col("o_orderdate").cast("date").cast("string"))
     return o.withColumn("page", col("o_orderkey"))
 
 
