@@ -16,15 +16,34 @@ from pyspark.sql import functions as F
 
 from gavelkit.llm.common import arrow_rows, new_name
 
-# numbers such as halves, circled or Roman ones are word characters to ``re``, but neither digits nor letters
-_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_NOT_LETTERS = re.compile(rf"[\W\d_{re.escape(_NUMBERS)}]+")
+
+def _not_letters(last: int) -> re.Pattern:
+    """Runs of characters up to code ``last`` that aren't letters; numbers such as halves or Roman ones are none either.
+
+    Letters are given as ranges of codes: a set with classes such as ``\\W`` in it is tried entry by entry for each letter.
+    """
+    ranges, start = [], None
+    for c in range(last + 2):
+        is_letter = c <= last and chr(c).isalpha()
+        if is_letter and start is None:
+            start = c
+        elif not is_letter and start is not None:
+            ranges.append(f"\\U{start:08x}-\\U{c - 1:08x}")
+            start = None
+    return re.compile(f"[^{''.join(ranges)}]+")
+
+
+# characters beyond the first plane are few, and their ranges are tried one by one
+_ASCII, _PLANE, _ALL = re.compile("[^a-z]+"), _not_letters(0xFFFF), _not_letters(0x10FFFF)
+_BEYOND = re.compile("[\U00010000-\U0010ffff]")
 _KIND = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("margin", pa.int64()), ("rejected", pa.bool_())])
 
 
 def letters(text: str) -> str:
     """Lower-cased runs of letters, one space between: what is compared."""
-    return _NOT_LETTERS.sub(" ", text.lower()).strip()
+    low = text.lower()
+    gaps = _ASCII if low.isascii() else _ALL if _BEYOND.search(low) else _PLANE
+    return gaps.sub(" ", low).strip()
 
 
 @dataclass(frozen=True)
