@@ -207,11 +207,20 @@ def decade_of(era: Column) -> Column:
     return F.when(year != "", F.concat(F.substring(year, 1, 3), F.lit("0s")))
 
 
+def rule_tags(text: Column, rules: list[tuple[str, str]] | None = None) -> Column:
+    """The tags whose rules match, in rule order."""
+    hay = F.coalesce(text, F.lit(""))
+    return F.array_compact(F.array(*[F.when(hay.rlike(word_pattern(p)), F.lit(tag)) for tag, p in rules or fixed.TAG_RULES]))
+
+
+def with_decade(tags: Column, era: Column) -> Column:
+    """Tags, then the decade of the era; where the tags belong to a small table they are found there, before a join."""
+    return F.concat(tags, F.array_compact(F.array(decade_of(era))))
+
+
 def tags_of(text: Column, era: Column, rules: list[tuple[str, str]] | None = None) -> Column:
     """The tags whose rules match, in rule order, then the decade."""
-    hay = F.coalesce(text, F.lit(""))
-    found = [F.when(hay.rlike(word_pattern(p)), F.lit(tag)) for tag, p in rules or fixed.TAG_RULES]
-    return F.array_compact(F.array(*found, decade_of(era)))
+    return with_decade(rule_tags(text, rules), era)
 
 
 def split_tags(c: Column) -> Column:

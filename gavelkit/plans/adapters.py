@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gavelkit.functions import fixed
 from gavelkit.functions.dates import day_text
 from gavelkit.functions.fx import usd_price
-from gavelkit.functions.text import tags_of
+from gavelkit.functions.text import rule_tags, tags_of, with_decade
 from gavelkit.session import pinned, spread
 
 RUN_DATE = "2001-08-01"
@@ -79,6 +79,8 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = spread_table(spark, sf_dir, "lineitem")
     part, supplier = table(spark, sf_dir, "part"), table(spark, sf_dir, "supplier")
+    # a part has many lines, so the rules are tried once a part
+    part = part.withColumn("name_tags", rule_tags(F.col("p_name"), DEMO_TAGS))
     raw = line.join(part, line.l_partkey == part.p_partkey).join(supplier, line.l_suppkey == supplier.s_suppkey)
     key = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     seen = F.col("l_shipdate").cast("date")
@@ -99,7 +101,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(site, F.lit(".jpg")).alias("image_url"),
         F.col("l_partkey").cast("string").alias("sku"),
         F.col("p_brand").alias("notes"),
-        tags_of(F.col("p_name"), era, DEMO_TAGS).alias("tags"),
+        with_decade(F.col("name_tags"), era).alias("tags"),
         usd_price(price, F.lit("USD"), seen.cast("string"), RUN_YEAR).alias("asking_price_usd"),
         F.col("s_name").alias("source"),
         seen.cast("string").alias("first_seen"),

@@ -5,7 +5,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from gavelkit.functions.text import tags_of
 from gavelkit.operators import profiling
+from gavelkit.plans.adapters import DEMO_TAGS, listings
 from gavelkit.session import spread
 from gavelkit.sources.extract import hits, text
 
@@ -100,3 +102,14 @@ def test_json_shape_parses_each_level_once(spark):
     assert text.count("from_json") <= 6 * 2
     got = {r["k"]: (r["top_keys"], r["arrays"], r["paging"]) for r in out.collect()}
     assert got == {1: ("b,a", ["b:1"], ["nbHits=7"]), 2: ("array[0]", [], []), 3: (None, [], [])}
+
+
+def test_tag_rules_are_tried_once_a_part(spark, sf_dir):
+    """Lines share their part's name, so the rules stand below the join; the decade belongs to the line."""
+    out = listings(spark, sf_dir).select("tags")
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    join = text.index("Join")
+    assert "anvil" in text[join:] and "anvil" not in text[:join]
+    whole = listings(spark, sf_dir)
+    again = tags_of(F.col("piece_name"), F.col("era_or_year"), DEMO_TAGS)
+    assert whole.where(~F.col("tags").eqNullSafe(again)).count() == 0
