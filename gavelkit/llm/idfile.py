@@ -118,8 +118,8 @@ class WordTokenizer:
 
     def __init__(self, path: str, keep: int = 700_000):
         self.library = Tokenizer.from_file(path)
-        self.words: BoundedCache = BoundedCache(keep)
-        self.parts: BoundedCache = BoundedCache(keep)
+        # a part by itself is a word of the same ids, so one memo holds both and most words once
+        self.words = self.parts = BoundedCache(keep)
 
     def raw(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]

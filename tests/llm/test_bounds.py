@@ -94,3 +94,10 @@ def test_letters_are_found_without_trying_each_number():
 
     small = re.compile("[^a-zéà]+")
     assert min(took(letters) for _ in range(3)) < 5 * min(took(lambda t: small.sub(" ", t.lower())) for _ in range(3))
+
+
+def test_one_memo_holds_words_and_parts():
+    w = idfile.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"), keep=40)
+    texts = ["The cat's hat, 12 hats. " + " ".join(f"w{k} Word{k}," for k in range(j, j + 30)) for j in range(5)]
+    assert w.batch(texts) == w.raw(texts) == w.batch(texts)
+    assert len({id(w.words), id(w.parts)}) == 1 and len(w.words) <= 40
