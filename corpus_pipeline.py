@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gavelkit.llm import decontam, jaccard, language, pieces, secret_scan
-from gavelkit.llm.common import new_name
+from gavelkit.llm.common import may_be_in, new_name
 from gavelkit.llm.queries import table, teaching_rows
 from gavelkit.session import pinned
 
@@ -35,10 +35,13 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     keys = [F.col("doc_id").alias(id_), F.col(tag).alias(mine)]
     same = F.col("doc_id").eqNullSafe(F.col(id_)) & F.col(tag).eqNullSafe(F.col(mine))
     gone = pinned(found.where(~stays).select(*keys).distinct(), "copies")
-    rest = tagged.join(gone, same, "left_anti")
     again = pinned(found.where(stays & (F.col("n_shingles") > 0)).groupBy(*keys).count().where("count > 1").drop("count"), "repeats")
+    # only rows that one of the two may name are joined: the texts of the others aren't shuffled
+    row = lambda i, t: F.xxhash64(F.col(i), F.col(t))
+    named = may_be_in(gone.unionByName(again).select(row(id_, mine)))(row("doc_id", tag))
+    rest = tagged.where(named).join(gone, same, "left_anti")
     repeats = rest.join(again, same, "left_semi").dropDuplicates(["doc_id", tag])
-    return rest.join(again, same, "left_anti").unionByName(repeats).select(docs.columns)
+    return tagged.where(~named).unionByName(rest.join(again, same, "left_anti")).unionByName(repeats).select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

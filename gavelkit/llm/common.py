@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 ROWS = 256
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def arrow_rows(make: Callable[[], Callable[[str | None], tuple]], ddl: str, kind: pa.StructType):
@@ -54,13 +56,20 @@ def release() -> None:
 @contextlib.contextmanager
 def small_batches(spark: SparkSession, rows: int = 500):
     """Inside, Arrow batches between Spark and Python hold up to ``rows`` rows; for rows that are large, such as sets of tokens."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, min(rows, int(before)) if int(before) > 0 else rows)
+    before = int(spark.conf.get(_BATCH))
+    with batches_of(spark, min(rows, before) if before > 0 else rows):
+        yield
+
+
+@contextlib.contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Inside, Arrow batches between Spark and Python hold ``rows`` rows; for rows of a few numbers."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, rows)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(_BATCH, before)
 
 
 def new_name(df: DataFrame, stem: str) -> str:
@@ -86,6 +95,33 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def marked(spots: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap of fixed size, as 32-bit words, with the bits of the column ``spot`` set; one row a word comes to the driver."""
+    marks = spots.select(F.shiftright("spot", 5).alias("word"), (F.col("spot") % 32).cast("int").alias("bit"))
+    words = marks.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask")).toArrow()
+    bitmap = np.zeros(1 << (bits - 5), np.uint32)
+    bitmap[words.column("word").to_numpy()] = words.column("mask").to_numpy().astype(np.uint32)
+    return bitmap
+
+
+def may_be_in(hashes: DataFrame, most: int = 24):
+    """A column function of a 64-bit hash: true for all in the one column of ``hashes``, and for few others.
+
+    It parts a large table without a shuffle into rows that a join may match and rows that it can't. The bitmap has about
+    16 bits a hash and 2**most (2 MB) at most: beyond some millions of hashes it fills up, and only saves less.
+    """
+    bits = min(most, max(10, (16 * hashes.count()).bit_length()))
+    spot = F.col(hashes.columns[0]).bitwiseAND(F.lit((1 << bits) - 1))
+    bitmap = marked(hashes.select(spot.alias("spot")), bits)
+
+    @F.arrow_udf("boolean")
+    def may_be(h: pa.Array) -> pa.Array:
+        at = h.to_numpy(zero_copy_only=False) & ((1 << bits) - 1)
+        return pa.array((bitmap[at >> 5] >> (at & 31).astype(np.uint32) & 1).astype(bool))
+
+    return may_be
+
+
 class BoundedCache(dict):
     """A memo of at most ``limit`` entries: when it is full, the older half goes. It bounds a task's memory.
 

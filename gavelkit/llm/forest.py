@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gavelkit.llm.jaccard import _marked as marked
+from gavelkit.llm.common import marked
 from gavelkit.llm.jaccard import components, shingles
 from gavelkit.session import pinned
 

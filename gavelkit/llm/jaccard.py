@@ -13,7 +13,10 @@ share seldom is what brings two texts together. The order only saves work; no li
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import chain
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -21,11 +24,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gavelkit.llm.common import release, small_batches
+from gavelkit.llm.common import batches_of, marked, release, small_batches
 from gavelkit.session import pinned
 
 WIDTH, PERCENT = 5, 75
-HOT_DOCS, HOT_LIMIT, GROUP = 16, 500_000, 32
+HOT_DOCS, HOT_LIMIT, GROUP, EARLIER = 16, 500_000, 32, 2
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -39,15 +42,40 @@ def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
 
     Words are what ASCII white space parts, with A-Z lowered.
     """
-    ws = (text or "").encode().lower().split()
-    if not ws:
-        return np.zeros(0, np.uint64)
-    one = np.fromiter(map(xxhash.xxh3_64_intdigest, ws), np.uint64, len(ws))
-    n = min(width, len(ws))
-    acc = np.full(len(ws) - n + 1, n, np.uint64)
+    return next(shingles_of([text], width))
+
+
+def shingles_of(texts: Iterable[str | None], width: int = WIDTH, words: int = 50_000) -> Iterator[np.ndarray]:
+    """``shingles`` of each text. Runs are hashed for several texts at once, up to about ``words`` words or one text."""
+    held, size = [], 0
+    for text in texts:
+        held.append((text or "").encode().lower().split())
+        size += len(held[-1])
+        if size >= words:
+            yield from _shingled(held, width)
+            held, size = [], 0
+    yield from _shingled(held, width)
+
+
+def _run_hashes(one: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of ``n`` neighbours."""
+    acc = np.full(max(0, len(one) - n + 1), n, np.uint64)
     for k in range(n):
-        acc = _mixed(acc + one[k : len(ws) - n + 1 + k] * _P)
-    return np.unique(acc)
+        acc = _mixed(acc + one[k : len(acc) + k] * _P)
+    return acc
+
+
+def _shingled(texts: list[list[bytes]], width: int) -> Iterator[np.ndarray]:
+    one = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(texts)), np.uint64, sum(map(len, texts)))
+    runs, at = _run_hashes(one, width), 0
+    for ws in texts:
+        n = len(ws)
+        # a run that goes on into the next text is passed over
+        s = np.sort(runs[at : at + n - width + 1] if n >= width else _run_hashes(one[at : at + n], n) if n else one[:0])
+        at += n
+        new = np.ones(len(s), bool)
+        np.not_equal(s[1:], s[:-1], out=new[1:])
+        yield s if new.all() else s[new]
 
 
 def need(n: int, percent: int = PERCENT) -> int:
@@ -97,8 +125,8 @@ def _sets(rows: DataFrame) -> DataFrame:
 
         for batch in batches:
             out = []
-            for i, text in _texts(batch):
-                s = shingles(text)
+            ids = batch.column(0).to_pylist()
+            for i, s in zip(ids, shingles_of(t.as_py() for t in batch.column(1)), strict=True):
                 digest = xxhash.xxh3_128_digest(s.tobytes())
                 out.append((i, len(s), digest))
                 if digest not in seen:
@@ -137,11 +165,11 @@ def _classes(rows: DataFrame, hot: np.ndarray, rank: np.ndarray, percent: int) -
         kind = pa.list_(pa.int64())
         for batch in batches:
             out = []
-            for i, text in _texts(batch):
-                s = shingles(text)
+            ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            for k, s in enumerate(shingles_of(t.as_py() for t in texts)):
                 if len(s):
                     cool, warm = prefix(s, hot, rank, percent)
-                    out.append((xxhash.xxh3_128_digest(s.tobytes()), i, _key(text), len(s), cool.view(np.int64), warm.view(np.int64)))
+                    out.append((xxhash.xxh3_128_digest(s.tobytes()), ids[k], _key(texts[k].as_py()), len(s), cool.view(np.int64), warm.view(np.int64)))
             if out:
                 digest, ids, key, n, cool, warm = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), *(pa.array(x, pa.int64()) for x in (ids, key, n)), pa.array(cool, kind), pa.array(warm, kind)], ["digest", "doc_id", "key", "n", "cool", "hot"])
@@ -152,15 +180,6 @@ def _classes(rows: DataFrame, hot: np.ndarray, rank: np.ndarray, percent: int) -
     return pinned(one.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
-def _marked(spots: DataFrame, bits: int) -> np.ndarray:
-    """A bitmap of fixed size, as 32-bit words, with the bits of the column ``spot`` set; one row a word comes to the driver."""
-    marks = spots.select(F.shiftright("spot", 5).alias("word"), (F.col("spot") % 32).cast("int").alias("bit"))
-    words = marks.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask")).toArrow()
-    bitmap = np.zeros(1 << (bits - 5), np.uint32)
-    bitmap[words.column("word").to_numpy()] = words.column("mask").to_numpy().astype(np.uint32)
-    return bitmap
-
-
 def _only(classes: DataFrame, nodes: DataFrame, bits: int = 22) -> DataFrame:
     """node, n, cool of the classes whose node may be among ``nodes`` (all that are, and few others), without a shuffle.
 
@@ -168,7 +187,7 @@ def _only(classes: DataFrame, nodes: DataFrame, bits: int = 22) -> DataFrame:
     """
     size = 1 << bits
     node = F.col("node")
-    bitmap = _marked(nodes.select(((F.shiftright(node, 33) * 1_000_003 + node.bitwiseAND(F.lit((1 << 33) - 1))) % size).alias("spot")), bits)
+    bitmap = marked(nodes.select(((F.shiftright(node, 33) * 1_000_003 + node.bitwiseAND(F.lit((1 << 33) - 1))) % size).alias("spot")), bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,7 +205,7 @@ def _fetch(rows: DataFrame, classes: DataFrame, nodes: DataFrame, bits: int = 22
     others; the join then settles it.
     """
     wanted = pinned(nodes.join(classes.select("node", "digest", "key"), "node"), "wanted")
-    bitmap = _marked(wanted.select((F.col("key") % (1 << bits)).alias("spot")), bits)
+    bitmap = marked(wanted.select((F.col("key") % (1 << bits)).alias("spot")), bits)
 
     made = lambda out: pa.RecordBatch.from_arrays([pa.array(list(out), pa.binary()), pa.array(list(out.values()), pa.binary())], ["digest", "tokens"])
 
@@ -251,10 +270,37 @@ def components(edges: DataFrame) -> DataFrame:
 def _posted(classes: DataFrame) -> DataFrame:
     """key, nodes, c, places: the lists of nodes that c cool tokens have in common, of two nodes or more.
 
-    Places tell where the first of these tokens stands in each node's list; the first is the same one for all.
+    Places tell where the first of these tokens stands in each node's list; the first is the same one for all. Most tokens
+    are in one list only, so rows are sorted by token and only those with an equal neighbour are gathered.
     """
-    lists = classes.select("node", F.posexplode("cool").alias("at", "token")).groupBy("token").agg(F.sort_array(F.collect_list(F.struct("node", "at"))).alias("found"))
-    lists = lists.where("size(found) > 1").select(F.col("found.node").alias("nodes"), F.col("found.at").alias("places"))
+
+    def gathered(token: np.ndarray, node: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+        starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+        size = np.diff(np.append(starts, len(token)))
+        several = size > 1
+        rows, ends = np.repeat(several, size), np.concatenate(([0], np.cumsum(size[several]))).astype(np.int32)
+        nodes, places = (pa.ListArray.from_arrays(pa.array(ends), pa.array(x[rows])) for x in (node, at))
+        return pa.RecordBatch.from_arrays([nodes, places], ["nodes", "places"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [batch.column(k).to_numpy() for k in ("token", "node", "at")]
+            if held is not None:
+                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            # the last token may go on in the next batch
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))
+            if cut:
+                yield gathered(*(x[:cut] for x in rows))
+            held = [x[cut:].copy() for x in rows]
+        if held is not None:
+            yield gathered(*held)
+
+    rows = classes.select("node", F.posexplode("cool").alias("at", "token")).repartition("token").sortWithinPartitions("token", "node")
+    with batches_of(classes.sparkSession, 20_000):
+        lists = pinned(rows.mapInArrow(run, "nodes array<bigint>, places array<int>"), "shared")
     # of equal lists the one with the smallest places holds the first token, for any of the nodes
     lists = lists.groupBy("nodes").agg(F.count("*").alias("c"), F.min_by("places", F.element_at("places", 1)).alias("places"))
     return pinned(lists.select(F.monotonically_increasing_id().alias("key"), "nodes", "c", "places"), "lists")
@@ -340,9 +386,10 @@ def _sizes_met(posts: DataFrame, percent: int) -> DataFrame:
     first, last = F.call_function("shiftleft", c - 16 * fall, fall), F.call_function("shiftleft", c - 16 * fall + 1, fall) - 1
     # generators keep the planner from putting the long expressions into each other, which would be too long to compile
     sizes = F.array(F.struct(F.greatest(first, "low").alias("least"), F.least(last, "far").alias("most")))
-    met = met.select("key", "node", "comp", "n", "class", "left", F.inline(sizes)).where("least <= most")
+    earlier = [c for c in posts.columns if c in {f"e{k}" for k in range(EARLIER)}]
+    met = met.select("key", "node", "comp", "n", "class", "left", *earlier, F.inline(sizes)).where("least <= most")
     due = F.explode(F.array(_least_shared(n, F.col("least"), F.col("most"), percent)))
-    return met.select("key", "node", "comp", "n", "class", "least", "most", "left", due.alias("due")).where("due <= left").drop("left")
+    return met.select("key", "node", "comp", "n", "class", "least", "most", "left", *earlier, due.alias("due")).where("due <= left").drop("left")
 
 
 def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, group: int, reach: str) -> DataFrame:
@@ -356,18 +403,21 @@ def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: Da
     tokens end first and o the overlap that a link takes. What stands from the first common token on, in the order that
     all sets have, must be that many tokens of those that other components have too, and o tokens in all, in both sets.
     So a key brings a query only to sets of those sizes for which it may be the first one; a hot token, which stands
-    last, to few.
+    last, to few. Hot tokens carry the ``EARLIER`` keys before them: where a query and all of a group's sets of a key have
+    one of those in common, the key isn't their first common one, and it doesn't bring them together again.
     """
     nodes = classes.select("node", "n", "hot", F.size("cool").alias("cools")).join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     nodes = pinned(nodes, "nodes")
     of_lists = lists.select("key", F.col("c"), F.explode(F.arrays_zip("nodes", "places")).alias("post"))
-    of_lists = of_lists.select("key", "c", "post.nodes", "post.places").toDF("key", "c", "node", "at").join(nodes.select("node", "n", "comp"), "node")
+    of_lists = of_lists.select("key", "c", "post.nodes", "post.places").toDF("key", "c", "node", "at").join(nodes.select("node", "n", "comp"), "node").withColumn("warm", F.lit(False))
     of_hot = nodes.where("size(hot) > 0").select("node", "n", "comp", "cools", F.posexplode("hot").alias("at", "key"))
-    of_hot = of_hot.select("key", F.lit(1).cast("bigint").alias("c"), "node", (F.col("cools") + F.col("at")).alias("at"), "n", "comp")
+    of_hot = of_hot.select("key", F.lit(1).cast("bigint").alias("c"), "node", (F.col("cools") + F.col("at")).alias("at"), "n", "comp", F.lit(True).alias("warm"))
     posts = pinned(of_lists.select(*of_hot.columns).unionByName(of_hot), "posts")
     mixed = pinned(posts.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key"), "mixed")
-    left = F.sum("c").over(Window.partitionBy("node").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, 0))
-    posts = pinned(posts.join(mixed, "key").select("key", "node", "at", "n", "comp", left.alias("left")), "mixed-posts")
+    backwards = Window.partitionBy("node").orderBy(F.desc("at"))
+    left = F.sum("c").over(backwards.rowsBetween(Window.unboundedPreceding, 0))
+    earlier = [F.when(F.col("warm"), F.lead("key", k + 1).over(backwards)).alias(f"e{k}") for k in range(EARLIER)]
+    posts = pinned(posts.join(mixed, "key").select("key", "node", "at", "n", "comp", left.alias("left"), *earlier), "mixed-posts")
     members = posts.select("node", "comp", "n").distinct()
     sizes = pinned(members.groupBy("comp").agg(F.count("*").alias("size")), "sizes")
     members = members.join(sizes, "comp").withColumn("part", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / group)))
@@ -376,13 +426,16 @@ def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: Da
     n = F.col("n")
     far = F.floor((n - F.col("at")) * (100 + percent) / percent) - n
     to = posts.join(members, "node").groupBy("key", _size_class(n).alias("class"), "group")
-    to = to.agg(F.min("comp").alias("g_comp"), F.max("left").alias("g_left"), F.max(far).alias("g_far"), F.min("n").alias("g_least"), F.max("n").alias("g_most"))
+    to = to.agg(F.min("comp").alias("g_comp"), F.max("left").alias("g_left"), F.max(far).alias("g_far"), F.min("n").alias("g_least"), F.max("n").alias("g_most"), *[F.when((F.min(f"e{k}") == F.max(f"e{k}")) & (F.count(f"e{k}") == F.count("*")), F.min(f"e{k}")).alias(f"g_e{k}") for k in range(EARLIER)])
     if reach == "lead":
-        lead = F.min_by(F.struct("group", "g_comp", "g_left", "g_far", "g_least", "g_most"), F.struct("g_comp", "group"))
+        lead = F.min_by(F.struct("group", "g_comp", "g_left", "g_far", "g_least", "g_most", *[f"g_e{k}" for k in range(EARLIER)]), F.struct("g_comp", "group"))
         to = to.groupBy("key", "class").agg(lead.alias("to")).select("key", "class", "to.*")
     to = pinned(to, "to")
     from_ = pinned(_sizes_met(posts, percent), "from")
     meets = (F.col("g_comp") < F.col("comp")) & (F.col("g_left") >= F.col("due")) & (F.col("g_far") >= n) & (F.col("g_least") <= F.col("most")) & (F.col("g_most") >= F.col("least"))
+    if reach != "lead":  # which follows few keys, and so takes all of them
+        met_before = [F.coalesce(F.col(f"e{k}").isin(*[F.col(f"g_e{j}") for j in range(EARLIER)]), F.lit(False)) for k in range(EARLIER)]
+        meets = meets & ~reduce(or_, met_before)
     asked = pinned(from_.join(to, ["key", "class"]).where(meets).select(F.col("node").alias("q"), "group").distinct(), "asked")
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
