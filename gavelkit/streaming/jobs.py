@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
 from functools import reduce
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from gavelkit.functions import fixed
 from gavelkit.operators.store import mark_missing, merge_listing_days
@@ -59,49 +60,71 @@ _SEEN = StructType(
         StructField("times_seen", IntegerType()), StructField("last_price", DoubleType()), StructField("status", StringType()),
     ]
 )
-# also the time of the last price, and the days already counted that the watermark still lets in, comma-joined
-_STATE = StructType([*_SEEN.fields[1:5], StructField("price_ms", LongType()), StructField("days", StringType())])
+# the listings of a bucket as JSON: [id, first_seen, last_seen, times_seen, last_price, time of the last price, days already
+# counted that the watermark still lets in, time-out or null]
+_STATE = StructType([StructField("listings", StringType())])
+_NO_TIME = -(1 << 63)
 
 
-def lifecycle_stream(sightings: DataFrame, quiet: str = "7 days", late: str = "1 day") -> DataFrame:
+def lifecycle_stream(sightings: DataFrame, quiet: str = "7 days", late: str = "1 day", buckets: int = 2048) -> DataFrame:
     """Keep first and last day, days seen and last price per listing; report changes.
 
     ``sightings``: id, ts, date, price. A listing not seen for ``quiet`` becomes inactive when
-    the watermark passes; its numbers stay, so one that returns goes on counting. Rows of a key
-    arrive in chunks and only a few numbers are kept, so a busy key does not fill memory. The price
+    the watermark passes; its numbers stay, so one that returns goes on counting. Rows of a bucket
+    arrive in chunks and only a few numbers a listing are kept, so a busy one does not fill memory. The price
     is that of the latest time, whenever its row arrives; a late day counts once, as any other.
+
+    Listings share state in ``buckets`` by a hash of their id, since each state costs milliseconds of conversion: the
+    number, fixed for a checkpoint, should leave some hundred listings a bucket. A bucket's timer is that of its listing
+    which times out first.
     """
     quiet_ms = int(pd.Timedelta(quiet).total_seconds() * 1000)
 
     def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.update(state.get)  # without a new time-out
-            yield pd.DataFrame([[key[0], *state.get[:4], "inactive"]], columns=_SEEN.fieldNames())
-            return
-        first, last, times, price, price_ms, known = state.get if state.exists else (None, None, 0, None, None, "")
-        newest, days = 0, set()
-        for rows in chunks:
-            days.update(rows["date"].unique())
-            newest = max(newest, int(rows["ts"].max().timestamp() * 1000))
-            priced = rows[rows["price"].notna()]
-            if len(priced):
-                top = priced.loc[priced["ts"].idxmax()]
-                at = int(top["ts"].timestamp() * 1000)
-                if price_ms is None or at > price_ms:
-                    price_ms, price = at, float(top["price"])
-        counted = set(known.split(",")) - {""}
-        times += len(days - counted)
-        open_from = datetime.fromtimestamp(state.getCurrentWatermarkMs() / 1000, UTC).strftime("%Y-%m-%d")
-        known = ",".join(sorted(d for d in days | counted if d >= open_from))
-        first = min([first, *days]) if first else min(days)
-        last = max([last, *days]) if last else max(days)
-        state.update((first, last, times, price, price_ms, known))
-        state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + quiet_ms)
-        yield pd.DataFrame([[key[0], first, last, times, price, "active"]], columns=_SEEN.fieldNames())
+        now = state.getCurrentWatermarkMs()
+        held = {x[0]: x[1:] for x in json.loads(state.get[0])} if state.exists else {}
+        seen = {}
+        if not state.hasTimedOut:
+            for rows in chunks:
+                times = rows["ts"].to_numpy("datetime64[us]").astype("int64").tolist()
+                dates, prices = rows["date"].tolist(), rows["price"].tolist()
+                has_price = rows["price"].notna().tolist()
+                for id_, ts, date, price, priced in zip(rows["id"].tolist(), times, dates, prices, has_price, strict=True):
+                    if id_ not in seen:
+                        seen[id_] = [set(), 0, None, None]
+                    new = seen[id_]
+                    if date is not None:
+                        new[0].add(date)
+                    if ts != _NO_TIME:
+                        new[1] = max(new[1], ts)
+                        if priced and (new[2] is None or ts > new[2]):
+                            new[2], new[3] = ts, price
+        open_from = datetime.fromtimestamp(now / 1000, UTC).strftime("%Y-%m-%d")
+        out = []
+        for id_, (days, newest, at, new_price) in seen.items():
+            first, last, times, price, price_ms, known, _ = held.get(id_, (None, None, 0, None, None, [], None))
+            if at is not None and (price_ms is None or at // 1000 > price_ms):
+                price_ms, price = at // 1000, float(new_price)
+            counted = set(known)
+            times += len(days - counted)
+            first, last = min([first, *days] if first else days, default=None), max([last, *days] if last else days, default=None)
+            held[id_] = (first, last, times, price, price_ms, sorted(d for d in days | counted if d >= open_from), max(newest // 1000, now) + quiet_ms)
+            out.append((id_, first, last, times, price, "active"))
+        for id_, x in held.items():
+            if x[-1] is not None and x[-1] < now:
+                held[id_] = (*x[:-1], None)  # without a new time-out
+                out.append((id_, *x[:4], "inactive"))
+        state.update((json.dumps([(id_, *x) for id_, x in held.items()]),))
+        until = min((x[-1] for x in held.values() if x[-1] is not None), default=None)
+        if until is not None:
+            state.setTimeoutTimestamp(max(until, now + 1))
+        if out:
+            yield pd.DataFrame(out, columns=_SEEN.fieldNames())
 
     return (
         sightings.withWatermark("ts", late)
-        .groupBy("id")
+        .withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)))
+        .groupBy("bucket")
         .applyInPandasWithState(step, _SEEN, _STATE, "update", GroupStateTimeout.EventTimeTimeout)
     )
 

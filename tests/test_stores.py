@@ -292,3 +292,24 @@ def test_first_imports_are_not_reported(spark, tmp_path):
     got = sorted((r.dealer, r.day, r.id) for r in jobs.alerts_after_import(days, 300, 4).collect())
     assert got == [("big", "2024-01-02", "b9"), ("small", "2024-01-01", "s1")]
     assert ("big", "2024-01-01", "b1") in [(r.dealer, r.day, r.id) for r in jobs.alerts_after_import(days, 300, 5).collect()]
+
+
+def test_lifecycle_stream_listings_of_a_bucket_time_out_one_by_one(spark, tmp_path):
+    make = lambda r: spark.createDataFrame(r, "id string, t string, price double").selectExpr("id", "cast(t AS timestamp) AS ts", "substr(t, 1, 10) AS date", "price").coalesce(1)
+    batches = [
+        [(f"p{k}", f"2026-01-0{1 + k % 3} 10:00:00", float(k)) for k in range(30)] + [(None, "2026-01-01 09:00:00", None)],
+        [(f"p{k}", "2026-01-09 10:00:00", None) for k in range(0, 30, 3)],  # of the first day's
+        [("q", "2026-01-10 12:00:00", 1.0)],
+        [("q", "2026-01-11 12:00:00", 1.0)],
+    ]
+    for k, rows in enumerate(batches):
+        make(rows).write.parquet(str(tmp_path / "in" / f"p={k}"))
+    stream = spark.readStream.schema(make(batches[0]).schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in") + "/p=*")
+    out = jobs.run_to_table(jobs.lifecycle_stream(stream, "7 days", "1 day", buckets=1), str(tmp_path / "out"), str(tmp_path / "ck"), "update")
+    got = {}
+    for r in out.orderBy("batch").collect():
+        got.setdefault(r["id"], []).append((r["status"], r["times_seen"], r["last_price"]))
+    for k in range(30):
+        seen = [[("active", 1, float(k)), ("active", 2, float(k))], [("active", 1, float(k)), ("inactive", 1, float(k))], [("active", 1, float(k))]]
+        assert got[f"p{k}"] == seen[k % 3] or k % 3 == 2 and got[f"p{k}"] == seen[1], (k, got[f"p{k}"])
+    assert got[None] == [("active", 1, None), ("inactive", 1, None)] and [x[0] for x in got["q"]] == ["active", "active"]
