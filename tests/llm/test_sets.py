@@ -2,12 +2,15 @@
 
 import random
 import re
+from unittest import mock
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from gavelkit.llm import ann, decontam, jaccard, sharding
+from gavelkit.llm.common import batches_of, may_be_in
 from gavelkit.llm.queries import QUERIES
 
 DOCS = "doc_id bigint, text string, row int, items string, n int, node int"
@@ -276,3 +279,44 @@ def test_nearest_recall_and_walk(spark, sf_dir):
     assert hits >= 0.9 * total
     tree = ann.grow(np.random.default_rng(1).normal(size=(400, 6)), 20)
     assert sorted(tree.walk(np.zeros(6), tree.leaves)) == list(range(tree.leaves)) and len(tree.walk(np.zeros(6), 3)) == 3
+
+
+def test_sets_of_many_texts_are_those_of_each_text():
+    texts = ["", None, "a", "a b", "a b c d", "a b c d e", "a b " * 40, "A b C d e f g", " ", "x"] + [f"w{k} w{k + 1} w{k + 2} w{k % 3} w{k % 5} w{k}" for k in range(50)]
+    for words in (1, 7, 50_000):
+        for text, found in zip(texts, jaccard.shingles_of(texts, words=words), strict=True):
+            ws = (text or "").lower().split()
+            n = min(5, len(ws))
+            runs = {" ".join(ws[k : k + n]) for k in range(len(ws) - n + 1)} if ws else set()
+            assert len(found) == len(runs) and (found[1:] > found[:-1]).all()
+            assert found.tolist() == sorted({int(jaccard.shingles(r)[0]) for r in runs})
+
+
+def test_lists_of_common_tokens_go_on_over_batches(spark):
+    rows = [(k, [j for j in range(1, 60) if k % j == 0] + [1000 + k]) for k in range(1, 121)]
+    classes = spark.createDataFrame(rows, "node bigint, cool array<bigint>")
+    for at_most in (1, 7, 1000):
+        with mock.patch.object(jaccard, "batches_of", lambda s, n, at_most=at_most: batches_of(s, at_most)):
+            got = sorted((tuple(r.nodes), r.c, tuple(r.places)) for r in jaccard._posted(classes).collect())
+        want = {}
+        for token in range(1, 60):
+            found = [(k, cool.index(token)) for k, cool in rows if token in cool]
+            want.setdefault(tuple(k for k, _ in found), []).append(tuple(at for _, at in found))
+        assert got == sorted((nodes, len(places), min(places)) for nodes, places in want.items() if len(nodes) > 1)
+
+
+def test_rows_that_no_copy_names_are_not_shuffled(spark):
+    hashes = spark.range(2000).select(F.xxhash64("id").alias("h"))
+    rows = spark.range(100_000).withColumn("h", F.xxhash64("id"))
+    found = rows.where(may_be_in(hashes)("h"))
+    ids = {r.id for r in found.collect()}
+    assert ids >= set(range(2000)) and len(ids) < 20_000 and "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows.where(may_be_in(hashes.limit(0))("h")).count() == 0
+    corpus = [(k, f"text {k // 2 if k < 20 else k} of some words in a row") for k in range(60)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = corpus_pipeline.keep_one_of_similar(spark, docs(spark, corpus), "")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "may_be" in plan and sorted(r.doc_id for r in out.collect()) == [*range(0, 20, 2), *range(20, 60)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
