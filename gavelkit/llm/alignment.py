@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gavelkit.llm.common import shared_uri
+from gavelkit.llm.common import shown_bytes as _shown_bytes
 from gavelkit.session import pinned
 
 PARTS, RUN_LINKS, FAN, FRAME, SLICE = 128, 2_000_000, 64, 16_384, 1_000_000
@@ -43,13 +44,6 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _DOCS = pa.schema([("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string())])
 
 
-def _shown_bytes() -> dict[str, int]:
-    """The character that stands for each byte in a byte-level vocabulary: itself if it is printable Latin-1, else one from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
 class ByteVocabulary:
     """A byte-level merge vocabulary from a tokenizer file, without its special tokens."""
 

@@ -142,3 +142,18 @@ class BoundedCache(dict):
                 del self[old]
         self[key] = value
         return value
+
+    def keep_all(self, made: dict):
+        """Keep many entries at once."""
+        made = {k: v for k, v in made.items() if not (isinstance(k, str) and len(k) > self.LONGEST)}
+        if len(self) + len(made) > self.limit:
+            for old in list(islice(self, max(len(self) // 2, len(self) + len(made) - self.limit))):
+                del self[old]
+        self.update(islice(made.items(), self.limit))
+
+
+def shown_bytes() -> dict[str, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it is printable Latin-1, else one from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}

@@ -11,10 +11,11 @@ reader goes to any block, and decodes it with array operations alone.
 
 from __future__ import annotations
 
+import json
 import re
-from array import array
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,11 +23,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 import regex
+import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gavelkit.llm.common import BoundedCache, shared_uri
+from gavelkit.llm.common import BoundedCache, shared_uri, shown_bytes
 from gavelkit.session import pinned
 
 # Ids in a word and bits of each, by selector.
@@ -89,36 +91,66 @@ def pack_all(ids: np.ndarray, bounds: np.ndarray, escape_above: int = ESCAPE) ->
 
 def unpack(block: bytes | memoryview, at: int = 0) -> np.ndarray:
     """Ids of the block that begins at byte ``at``."""
-    n, n_words, n_escapes, _ = struct.unpack_from("<IIII", block, at)
-    words = np.frombuffer(block, "<u8", n_words, at + 16)
+    return unpack_all(block, np.array([at]))
+
+
+def unpack_all(raw: bytes | memoryview, at: np.ndarray) -> np.ndarray:
+    """Ids of the blocks that begin at the bytes ``at``, one block after the other; words of one selector are taken apart at once."""
+    head = np.frombuffer(raw, "<u4", len(raw) // 4)
+    n, n_words, n_escapes = (head[at // 4 + k].astype(np.int64) for k in range(3))
+    place = np.arange(n_words.sum()) + np.repeat(at // 8 + 2 - np.cumsum(n_words) + n_words, n_words)
+    words = np.frombuffer(raw, "<u8", len(raw) // 8)[place]
     chosen = (words >> np.uint64(60)).astype(np.int64)
     starts = np.cumsum(COUNTS[chosen]) - COUNTS[chosen]
-    out = np.zeros(n, np.uint64)
+    out = np.zeros(n.sum(), np.uint64)
     for s in np.unique(chosen):
         count, bits = SELECTORS[s]
         mine = np.flatnonzero(chosen == s)
-        parts = words[mine, None] >> (np.arange(count, dtype=np.uint64) * np.uint64(bits)) & np.uint64((1 << bits) - 1)
-        out[starts[mine, None] + np.arange(count)] = parts
-    tail = at + 16 + 8 * n_words
-    out[np.frombuffer(block, "<u4", n_escapes, tail)] = np.frombuffer(block, "<u8", n_escapes, tail + 4 * n_escapes)
+        held, first = words[mine], starts[mine]
+        for j in range(count):
+            out[first + j] = held >> np.uint64(j * bits) & np.uint64((1 << bits) - 1)
+    begin = np.cumsum(n) - n
+    for k in np.flatnonzero(n_escapes):
+        tail = int(at[k] + 16 + 8 * n_words[k])
+        out[begin[k] + np.frombuffer(raw, "<u4", n_escapes[k], tail)] = np.frombuffer(raw, "<u8", n_escapes[k], tail + 4 * n_escapes[k])
     return out
 
 
+def end_marked(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
+    """An encoder with the merges of a tokenizer file whose parts end in ``</w>``, and which ids end a part.
+
+    A space stands for the mark. A last byte and its mark are one of the first tokens of such a file, so they are merged
+    before all else, as in the library. Texts for the encoder are parts, each followed by a space.
+    """
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    special, shown, mark = model["end_of_word_suffix"], shown_bytes(), len(model["end_of_word_suffix"])
+    ranks = {bytes(shown[c] for c in t[:-mark]) + b" " if t.endswith(special) else bytes(shown[c] for c in t): i for t, i in model["vocab"].items()}
+    ids = [model["vocab"]["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in model["merges"]]
+    if ids != sorted(ids) or (ids and any(ranks[bytes([b, 32])] >= ids[0] for b in range(256))):
+        raise ValueError(f"{path}: ids don't follow the order of merges")
+    ends = np.zeros(max(ranks.values()) + 1, bool)
+    ends[[i for b, i in ranks.items() if len(b) > 1 and b.endswith(b" ")]] = True
+    return tiktoken.Encoding("words", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={}), ends
+
+
 class WordTokenizer:
     """Ids of texts as the tokenizers library gives them, with each distinct word encoded once.
 
     White space never is part of a token of this vocabulary kind, so a text is split at it. Words of plain Latin
-    characters are lower-cased and cut into letter runs, digits and the rest here; these parts go to the library, many at
-    a time. Words with any other character go to the library whole.
+    characters are lower-cased and cut into letter runs, digits and the rest here; the parts of all new words are merged
+    in one call, by the same merges. Words with any other character, and very long ones, go to the library whole.
     """
 
     PLAIN = re.compile("[!-~¡-\u012f\u0131-\u024f]*")
     PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
     ODD_SPACE = re.compile("[\x1c-\x1f]")
+    LONG = 1000
 
     def __init__(self, path: str, keep: int = 700_000):
         self.library = Tokenizer.from_file(path)
-        # a part by itself is a word of the same ids, so one memo holds both and most words once
+        self.encoder, self.ends = end_marked(path)
+        # parts of new words are merged together, so one memo of words is all
         self.words = self.parts = BoundedCache(keep)
 
     def raw(self, texts: list[str]) -> list[bytes]:
@@ -129,26 +161,29 @@ class WordTokenizer:
         return re.split("[ \n\t\r]+", text) if self.ODD_SPACE.search(text) else text.split()
 
     def learn(self, words: set[str]) -> dict[str, bytes]:
-        plain, out = {}, {}
+        plain, parts, upto, other = [], [], [0], []
         for w in words:
-            if "<|" in w or not (w.isascii() or self.PLAIN.fullmatch(w)):
-                continue
             low = w.lower()
+            if len(w) > self.LONG or "<|" in w or not (w.isascii() or self.PLAIN.fullmatch(w)):
+                other.append(w)
+                continue
             if low.isalpha():  # letters alone are one part; with one mark after them, two
-                plain[w] = (low,)
+                parts.append(low)
             elif low[:-1].isalpha() and low[-1] in ".,;:!?":
-                plain[w] = (low[:-1], low[-1])
+                parts += (low[:-1], low[-1])
             elif self.PLAIN.fullmatch(w):
-                plain[w] = self.PARTS.findall(low)
-        other = [w for w in words if w not in plain]
-        out.update(zip(other, self.raw(other), strict=True))
-        fresh = list({p for parts in plain.values() for p in parts} - self.parts.keys())
-        made = dict(zip(fresh, self.raw(fresh), strict=True))
-        known = self.parts
-        for w, parts in plain.items():
-            out[w] = b"".join([made[p] if p in made else known[p] for p in parts])
-        for p, ids in made.items():
-            known.keep(p, ids)
+                parts += self.PARTS.findall(low)
+            else:
+                other.append(w)
+                continue
+            plain.append(w)
+            upto.append(len(parts))
+        out = dict(zip(other, self.raw(other), strict=True))
+        if plain:
+            ids = self.encoder.encode_to_numpy(" ".join(parts) + " " if parts else "").astype("<u4")
+            ends = 4 * np.concatenate(([0], np.flatnonzero(self.ends[ids]) + 1))[upto]
+            raw, ends = ids.tobytes(), ends.tolist()
+            out.update(zip(plain, [raw[a:b] for a, b in zip(ends, ends[1:])], strict=True))
         return out
 
     def batch(self, texts: list[str]) -> list[bytes]:
@@ -169,8 +204,7 @@ class WordTokenizer:
             for g in gaps:
                 parts[g] = made[ws[g]]
             out[k] = b"".join(parts)
-        for w, ids in made.items():
-            known.keep(w, ids)
+        known.keep_all(made)
         return out
 
 
@@ -265,8 +299,8 @@ def read_ids(files: DataFrame) -> DataFrame:
     return begins.repartition(n, "path").mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
-def read_file(path: str, start: int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
-    """Documents of one file, in batches of about ``most`` ids; only a batch's blocks are in memory."""
+def read_file(path: str, start: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Documents of one file, in batches of about ``most`` ids; only a batch's blocks are in memory, read and taken apart together."""
     fs, name = pyarrow.fs.FileSystem.from_uri(path)
     with fs.open_input_file(name) as f:
         size = f.size()
@@ -277,30 +311,22 @@ def read_file(path: str, start: int, most: int = 1 << 22) -> Iterator[pa.RecordB
         f.seek(foot_at := size - 16 - length)
         foot = f.read(length)
         n_docs, n_blocks = struct.unpack_from(_FOOT, foot)
-        docs, counts, offsets = (np.frombuffer(foot, kind, n, 16 + 8 * skip) for kind, n, skip in (("<i8", n_docs, 0), ("<u8", n_docs, n_docs), ("<u8", n_blocks, 2 * n_docs)))
-        known = np.frombuffer(foot, np.uint8, n_docs, 16 + 8 * (2 * n_docs + n_blocks))
-        blocks = np.concatenate((offsets, [foot_at])).astype(np.int64)
-        out, held, b = [], 0, 0
-        for k in range(n_docs):
-            mine = -(-int(counts[k]) // BLOCK)
-            f.seek(int(blocks[b]))
-            raw = f.read(int(blocks[b + mine] - blocks[b]))
-            parts = [unpack(raw, int(blocks[b + j] - blocks[b])) for j in range(mine)]
-            b += mine
-            ids = (parts[0] if mine == 1 else np.concatenate(parts)).astype("<u4").tobytes()
-            out.append((int(docs[k]) if known[k] else None, start, int(counts[k]), ids))
-            start += int(counts[k])
-            held += len(ids) // 4
-            if held >= most:
-                yield _batch(out)
-                out, held = [], 0
-        if out:
-            yield _batch(out)
-
-
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    doc, start, n, ids = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(ids, pa.binary())], ["doc_id", "start", "n_tokens", "ids"])
+        docs, counts, offsets = (np.frombuffer(foot, kind, n, 16 + 8 * skip) for kind, n, skip in (("<i8", n_docs, 0), ("<i8", n_docs, n_docs), ("<i8", n_blocks, 2 * n_docs)))
+        known = np.frombuffer(foot, np.uint8, n_docs, 16 + 8 * (2 * n_docs + n_blocks)).astype(bool)
+        blocks, upto = np.append(offsets, foot_at), np.concatenate(([0], np.cumsum(counts)))
+        of_docs = np.concatenate(([0], np.cumsum(-(-counts // BLOCK))))
+        a = 0
+        while a < n_docs:
+            b = min(n_docs, max(a + 1, int(np.searchsorted(upto, upto[a] + most))))
+            first, last = of_docs[a], of_docs[b]
+            f.seek(int(blocks[first]))
+            raw = f.read(int(blocks[last] - blocks[first]))
+            ids = unpack_all(raw, blocks[first:last] - blocks[first]).astype("<u4")
+            ends = pa.array(4 * (upto[a : b + 1] - upto[a]), pa.int64())
+            held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, ends.buffers()[1], pa.py_buffer(ids)]).cast(pa.binary())
+            begins, n = pa.array(start + upto[a:b]), pa.array(counts[a:b])
+            yield pa.RecordBatch.from_arrays([pa.array(docs[a:b], mask=~known[a:b]), begins, n, held], ["doc_id", "start", "n_tokens", "ids"])
+            a = b
 
 
 def round_trip(spark: SparkSession, df: DataFrame, vocab: str, end_id: int = 1) -> DataFrame:

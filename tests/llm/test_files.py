@@ -37,6 +37,25 @@ def test_words_equal_the_library():
         assert np.frombuffer(mine.batch([text])[0], "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
 
 
+def test_plain_words_are_merged_without_the_library():
+    mine, lib = idfile.WordTokenizer(WORDS), Tokenizer.from_file(WORDS)
+    ask, asked = mine.raw, []
+    mine.raw = lambda texts: asked.extend(texts) or ask(texts)
+    text = "Zqörvlant's unheard-of blorptastic, xx'llama 'SS !'s 12½ a.b.c don't naïveté" + " q" * 3 + " " + "ab" * 700
+    assert np.frombuffer(mine.batch([text])[0], "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
+    assert asked == ["ab" * 700]  # very long words alone are the library's
+    whole = [t.removesuffix("</w>") for t in lib.get_vocab() if t.endswith("</w>") and t[:-4].isascii() and t[:-4].isalpha()]
+    assert [len(r) for r in mine.batch(whole)] == [4] * len(whole)
+
+
+def test_blocks_are_taken_apart_together():
+    r = random.Random(7)
+    parts = [np.array([r.getrandbits(r.choice([1, 9, 16, 62])) for _ in range(n)], np.uint64) for n in (0, 3, 500, 1, 0, 77)]
+    blocks = [idfile.pack(x, 1 << 20) for x in parts]
+    at = np.cumsum([0, *map(len, blocks)])[:-1]
+    assert np.array_equal(idfile.unpack_all(b"".join(blocks), at), np.concatenate(parts))
+
+
 def test_id_files_of_odd_rows(spark):
     texts = [None, "", "  ", "some words", "some words", "long " * 70_000, "😀"]
     rows = [(k * 3 % 7 - 2, t, 1, 2) for k, t in enumerate(texts)] + [(None, "no id", 1, 2), (4, "twice", 1, 2), (4, "twice", 1, 2)]
