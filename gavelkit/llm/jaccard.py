@@ -29,6 +29,7 @@ from gavelkit.session import pinned
 
 WIDTH, PERCENT = 5, 75
 HOT_DOCS, HOT_LIMIT, GROUP, EARLIER = 16, 500_000, 32, 2
+BANDS, BINS = 8, 4
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -100,6 +101,17 @@ def prefix(tokens: np.ndarray, hot: np.ndarray, rank: np.ndarray, percent: int =
     return cool, warm[np.argsort(rank[at[is_hot]], kind="stable")][: p - len(cool)]
 
 
+def bands(tokens: np.ndarray) -> np.ndarray:
+    """Keys that sets which are much alike have in common, most likely: each is made of the least hashes of ``BINS`` bins."""
+    h = np.sort(_mixed(tokens ^ _P))
+    edges = np.arange(BANDS * BINS, dtype=np.uint64) << np.uint64(64 - (BANDS * BINS - 1).bit_length())
+    least = h[np.minimum(np.searchsorted(h, edges), len(h) - 1)].reshape(BANDS, BINS)
+    acc = np.arange(BANDS, dtype=np.uint64)
+    for k in range(BINS):
+        acc = _mixed(acc + least[:, k] * _P)
+    return acc
+
+
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int | None, str | None]]:
     for i, t in zip(batch.column(0), batch.column(1), strict=True):
         yield i.as_py(), t.as_py()
@@ -159,7 +171,7 @@ def _hot_tokens(sets: DataFrame, docs: int, limit: int) -> tuple[np.ndarray, np.
 
 
 def _classes(rows: DataFrame, hot: np.ndarray, rank: np.ndarray, percent: int) -> DataFrame:
-    """A row for each distinct set: node, digest, n, first (smallest doc_id), key of a text, cool and hot tokens to find it by."""
+    """A row for each distinct set: node, digest, n, first (smallest doc_id), key of a text, cool and hot tokens to find it by, bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.int64())
@@ -169,14 +181,14 @@ def _classes(rows: DataFrame, hot: np.ndarray, rank: np.ndarray, percent: int) -
             for k, s in enumerate(shingles_of(t.as_py() for t in texts)):
                 if len(s):
                     cool, warm = prefix(s, hot, rank, percent)
-                    out.append((xxhash.xxh3_128_digest(s.tobytes()), ids[k], _key(texts[k].as_py()), len(s), cool.view(np.int64), warm.view(np.int64)))
+                    out.append((xxhash.xxh3_128_digest(s.tobytes()), ids[k], _key(texts[k].as_py()), len(s), cool.view(np.int64), warm.view(np.int64), bands(s).view(np.int64)))
             if out:
-                digest, ids, key, n, cool, warm = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), *(pa.array(x, pa.int64()) for x in (ids, key, n)), pa.array(cool, kind), pa.array(warm, kind)], ["digest", "doc_id", "key", "n", "cool", "hot"])
+                digest, ids, key, n, *lists = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), *(pa.array(x, pa.int64()) for x in (ids, key, n)), *(pa.array(x, kind) for x in lists)], ["digest", "doc_id", "key", "n", "cool", "hot", "bands"])
 
     # the order of Arrow batches doesn't matter, as one row a set is left
-    found = rows.mapInArrow(run, "digest binary, doc_id bigint, key bigint, n bigint, cool array<bigint>, hot array<bigint>")
-    one = found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("key").alias("key"), F.first("n").alias("n"), F.first("cool").alias("cool"), F.first("hot").alias("hot"))
+    found = rows.mapInArrow(run, "digest binary, doc_id bigint, key bigint, n bigint, cool array<bigint>, hot array<bigint>, bands array<bigint>")
+    one = found.groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("key").alias("key"), F.first("n").alias("n"), F.first("cool").alias("cool"), F.first("hot").alias("hot"), F.first("bands").alias("bands"))
     return pinned(one.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
@@ -307,13 +319,17 @@ def _posted(classes: DataFrame) -> DataFrame:
 
 
 def _stars(lists: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of a node and a leader: of the first nodes of its lists the one that shares most tokens, and the first node of three of its hot tokens."""
+    """Pairs of a node and a leader: of the first nodes of its lists the one that shares most tokens, and the first and last node of its bands and of three of its hot tokens.
+
+    There are a few pairs a node, however large a group of sets is, and what they link needs no further look.
+    """
     short = lists.select(F.element_at("nodes", 1).alias("b"), F.explode(F.slice("nodes", 2, F.size("nodes"))).alias("a"), "c")
     best = short.groupBy("a", "b").agg(F.sum("c").alias("c")).groupBy("a").agg(F.max_by("b", F.struct("c", -F.col("b"))).alias("b"))
     least = lambda k: F.array_min(F.transform("hot", lambda t: F.struct(F.xxhash64(t, F.lit(k)).alias("o"), t.alias("t"))))["t"]
-    hot = pinned(classes.where("size(hot) > 0").select("node", F.explode(F.array_distinct(F.array(*[least(k) for k in range(3)]))).alias("key")), "hot")
-    lead = pinned(hot.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("c")).where("c > 1").select("key", "b"), "leaders")
-    return best.select("a", "b").unionByName(hot.join(lead, "key").where("node <> b").select(F.col("node").alias("a"), "b")).distinct()
+    keys = pinned(classes.select("node", F.explode(F.array_distinct(F.concat("bands", F.array_compact(F.array(*[least(k) for k in range(3)]))))).alias("key")), "keys")
+    lead = pinned(keys.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last"), "leaders")
+    led = keys.join(lead, "key").select(F.col("node").alias("a"), F.explode(F.array("first", "last")).alias("b")).where("a <> b")
+    return best.select("a", "b").unionByName(led.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))).distinct()
 
 
 def _near_size(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -395,9 +411,9 @@ def _sizes_met(posts: DataFrame, percent: int) -> DataFrame:
 def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: DataFrame, percent: int, group: int, reach: str) -> DataFrame:
     """Links between components that the stars didn't show, through the token-group matrix.
 
-    With the reach "lead" a query goes to the first group of each key and class of sizes, with "one" and "all" to every
-    group, and is compared with one member of each qualifying group, with "all" with every one. Only "all" is whole; the
-    others come before it, since what they link is one component and needs no further look.
+    A query goes to every group that a key leads it to. With the reach "one" it is compared with one member of each
+    qualifying group, with "all" with every one. Only "all" is whole; "one" comes before it, since what it links is one
+    component and needs no further look.
 
     Two linked sets share at least o - need(n) + 1 of the tokens that each is found by, n being the size of the one whose
     tokens end first and o the overlap that a link takes. What stands from the first common token on, in the order that
@@ -427,15 +443,11 @@ def _open_groups(lists: DataFrame, comp: DataFrame, rows: DataFrame, classes: Da
     far = F.floor((n - F.col("at")) * (100 + percent) / percent) - n
     to = posts.join(members, "node").groupBy("key", _size_class(n).alias("class"), "group")
     to = to.agg(F.min("comp").alias("g_comp"), F.max("left").alias("g_left"), F.max(far).alias("g_far"), F.min("n").alias("g_least"), F.max("n").alias("g_most"), *[F.when((F.min(f"e{k}") == F.max(f"e{k}")) & (F.count(f"e{k}") == F.count("*")), F.min(f"e{k}")).alias(f"g_e{k}") for k in range(EARLIER)])
-    if reach == "lead":
-        lead = F.min_by(F.struct("group", "g_comp", "g_left", "g_far", "g_least", "g_most", *[f"g_e{k}" for k in range(EARLIER)]), F.struct("g_comp", "group"))
-        to = to.groupBy("key", "class").agg(lead.alias("to")).select("key", "class", "to.*")
     to = pinned(to, "to")
     from_ = pinned(_sizes_met(posts, percent), "from")
     meets = (F.col("g_comp") < F.col("comp")) & (F.col("g_left") >= F.col("due")) & (F.col("g_far") >= n) & (F.col("g_least") <= F.col("most")) & (F.col("g_most") >= F.col("least"))
-    if reach != "lead":  # which follows few keys, and so takes all of them
-        met_before = [F.coalesce(F.col(f"e{k}").isin(*[F.col(f"g_e{j}") for j in range(EARLIER)]), F.lit(False)) for k in range(EARLIER)]
-        meets = meets & ~reduce(or_, met_before)
+    met_before = [F.coalesce(F.col(f"e{k}").isin(*[F.col(f"g_e{j}") for j in range(EARLIER)]), F.lit(False)) for k in range(EARLIER)]
+    meets = meets & ~reduce(or_, met_before)
     asked = pinned(from_.join(to, ["key", "class"]).where(meets).select(F.col("node").alias("q"), "group").distinct(), "asked")
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -506,7 +518,7 @@ def _similar(docs: DataFrame, doc_id: str, text: str, percent: int, hot_docs: in
     lists = _posted(classes)
     edges = _checked(_stars(lists, classes), rows, classes, percent)
     comp = components(edges)
-    for reach in ("lead", "one", "all"):
+    for reach in ("one", "all"):
         more = _open_groups(lists, comp, rows, classes, percent, group, reach)
         if not more.isEmpty():
             edges = edges.unionByName(more)

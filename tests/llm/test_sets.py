@@ -320,3 +320,26 @@ def test_rows_that_no_copy_names_are_not_shuffled(spark):
         assert "may_be" in plan and sorted(r.doc_id for r in out.collect()) == [*range(0, 20, 2), *range(20, 60)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_jaccard_bands_lead_similar_sets_together():
+    r = np.random.default_rng(5)
+    pool = np.unique(r.integers(0, 1 << 64, 200_000, np.uint64))
+    met = 0
+    for k in range(200):
+        a = np.sort(pool[k * 900 : k * 900 + 400])
+        b = np.sort(np.concatenate([a[:370], pool[k * 900 + 500 : k * 900 + 520]]))
+        met += len(np.intersect1d(jaccard.bands(a), jaccard.bands(b))) > 0
+    assert met >= 190 and len(set(jaccard.bands(pool[:3]).tolist())) == jaccard.BANDS
+
+
+def test_jaccard_stars_alone_bring_near_copies_together(spark):
+    # sets without a hot token, so the three hot tokens lead nowhere; bands do, with few pairs a set
+    r = np.random.default_rng(3)
+    base = np.unique(r.integers(0, 1 << 63, 300, np.int64).view(np.uint64))
+    sets = [np.sort(np.concatenate([base[r.permutation(len(base))[: len(base) - 12]], r.integers(0, 1 << 63, 10, np.int64).view(np.uint64)])) for _ in range(40)]
+    rows = [(k, [], [], jaccard.bands(s).view(np.int64).tolist()) for k, s in enumerate(sets)]
+    classes = spark.createDataFrame(rows, "node bigint, cool array<bigint>, hot array<bigint>, bands array<bigint>")
+    lists = spark.createDataFrame([], "key bigint, nodes array<bigint>, c bigint, places array<int>")
+    pairs = [(x.a, x.b) for x in jaccard._stars(lists, classes).collect()]
+    assert len({n for p in pairs for n in p}) == 40 and len(pairs) <= 40 * 2 * jaccard.BANDS and all(a > b for a, b in pairs)
