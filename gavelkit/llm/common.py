@@ -42,6 +42,8 @@ def arrow_rows(make: Callable[[], Callable[[str | None], tuple]], ddl: str, kind
             yield pa.concat_arrays(parts) if parts else pa.array([], type=kind)
             del parts
             pa.default_memory_pool().release_unused()
+        del one
+        release()
 
     return run.asNondeterministic()
 

@@ -18,6 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gavelkit.llm.common import release, small_batches
 from gavelkit.session import pinned
 
 WIDTH = 13
@@ -37,31 +38,37 @@ def term_ids(terms: list[bytes]) -> np.ndarray:
 
 
 def block_row(block: int, docs: list[tuple[int | None, list[bytes]]]) -> dict:
+    """``coded_row`` of documents that are lists of words."""
+    codes: dict[bytes, int] = {}
+    return coded_row(block, [(d, np.array([codes.setdefault(w, len(codes)) for w in ws], np.int32)) for d, ws in docs], codes)
+
+
+def coded_row(block: int, docs: list[tuple[int | None, np.ndarray]], codes: dict[bytes, int]) -> dict:
     """Postings of a block: terms in order of their hash, how many positions each has, and these, ascending.
 
-    Positions run through the whole block; documents are ``GAP`` apart, so that no stretch of words crosses a border.
+    Documents hold a number for each word, ``codes`` has the word of each number, in order. Positions run through the whole
+    block; documents are ``GAP`` apart, so that no stretch of words crosses a border.
     """
-    codes: dict[bytes, int] = {}
-    parts, starts, at = [], [], 0
-    for _, ws in docs:
-        parts.append(np.array([codes.setdefault(w, len(codes)) for w in ws], np.int64))
-        starts.append(at)
-        at += len(ws) + GAP
     ids = term_ids(list(codes))
     order = np.argsort(ids, kind="stable")
     rank = np.empty(len(ids), np.int64)
     rank[order] = np.arange(len(ids))
-    place = np.concatenate([np.arange(len(p), dtype=np.int64) + s for p, s in zip(parts, starts, strict=True)] or [np.zeros(0, np.int64)])
-    code = rank[np.concatenate(parts or [np.zeros(0, np.int64)])] if len(ids) else np.zeros(0, np.int64)
-    keys = np.sort(code << 32 | place)
+    sizes = np.array([len(p) for _, p in docs], np.int64)
+    starts = np.cumsum(sizes + GAP) - sizes - GAP
+    keys = rank[np.concatenate([p for _, p in docs])] if len(ids) else np.zeros(0, np.int64)
+    counts = np.bincount(keys, minlength=len(ids))
+    keys <<= 32
+    keys |= np.arange(len(keys)) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+    keys.sort()
+    keys &= 0xFFFFFFFF
     z = zstandard.ZstdCompressor(level=1)
     return {
         "block": block,
         "doc_ids": [d for d, _ in docs],
-        "n_words": [len(ws) for _, ws in docs],
+        "n_words": sizes.tolist(),
         "terms": ids[order].astype("<u8").tobytes(),
-        "counts": np.bincount(code, minlength=len(ids)).astype("<u4").tobytes(),
-        "positions": z.compress(np.diff(keys & 0xFFFFFFFF, prepend=0).astype("<i4").tobytes()),
+        "counts": counts.astype("<u4").tobytes(),
+        "positions": z.compress(np.diff(keys, prepend=0).astype("<i4").tobytes()),
     }
 
 
@@ -176,18 +183,23 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", blo
         from pyspark import TaskContext
 
         schema = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("n_words", pa.list_(pa.int64())), ("terms", pa.binary()), ("counts", pa.binary()), ("positions", pa.binary())])
-        held, size, block = [], 0, TaskContext.get().partitionId() << 33
+        held, codes, size, block = [], {}, 0, TaskContext.get().partitionId() << 33
         for batch in batches:
             for i, t in zip(batch.column(0), batch.column(1), strict=True):
-                held.append((i.as_py(), ws := words(t.as_py())))
-                size += len(ws) + GAP
+                # numbers, not words, are held until the block is full
+                held.append((i.as_py(), np.array([codes.setdefault(w, len(codes)) for w in words(t.as_py())], np.int32)))
+                size += len(held[-1][1]) + GAP
                 if size >= block_tokens:
-                    yield pa.RecordBatch.from_pylist([block_row(block, held)], schema=schema)
-                    held, size, block = [], 0, block + 1
+                    yield pa.RecordBatch.from_pylist([coded_row(block, held, codes)], schema=schema)
+                    held, codes, size, block = [], {}, 0, block + 1
+                    release()
         if held:
-            yield pa.RecordBatch.from_pylist([block_row(block, held)], schema=schema)
+            yield pa.RecordBatch.from_pylist([coded_row(block, held, codes)], schema=schema)
+        del held, codes
+        release()
 
-    return pinned(docs.select(F.col(doc_id).cast("bigint"), F.col(text)).mapInArrow(build, INDEX), "positions")
+    with small_batches(docs.sparkSession):
+        return pinned(docs.select(F.col(doc_id).cast("bigint"), F.col(text)).mapInArrow(build, INDEX), "positions")
 
 
 def test_blocks(items: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple[str, list[bytes]]]]:
@@ -221,6 +233,8 @@ def _matcher(block: list[tuple[str, list[bytes]]], width: int, slop: int | None)
             for row in range(batch.num_rows):
                 p = Postings({k: batch.column(k)[row].as_py() for k in ("block", "doc_ids", "n_words", "terms", "counts", "positions")})
                 yield pa.RecordBatch.from_pylist(list(_found(tests, p, slop)), schema=schema)
+                del p
+        release()
 
     return match
 

@@ -343,3 +343,14 @@ def test_jaccard_stars_alone_bring_near_copies_together(spark):
     lists = spark.createDataFrame([], "key bigint, nodes array<bigint>, c bigint, places array<int>")
     pairs = [(x.a, x.b) for x in jaccard._stars(lists, classes).collect()]
     assert len({n for p in pairs for n in p}) == 40 and len(pairs) <= 40 * 2 * jaccard.BANDS and all(a > b for a, b in pairs)
+
+
+def test_decontam_blocks_of_numbers_equal_blocks_of_words():
+    docs = [(1, [b"a", b"b", b"a"]), (None, []), (2, [b"c", b"a"])]
+    p = decontam.Postings(decontam.block_row(7, docs))
+    seen = {(int(t), int(k & 0xFFFFFFFF)) for t, k in zip(p.terms[p.keys >> 32], p.keys, strict=True)}
+    ids = dict(zip([b"a", b"b", b"c"], decontam.term_ids([b"a", b"b", b"c"]).tolist(), strict=True))
+    assert seen == {(ids[w], int(p.starts[k]) + j) for k, (_, ws) in enumerate(docs) for j, w in enumerate(ws)}
+    codes = {}
+    coded = [(d, np.array([codes.setdefault(w, len(codes)) for w in ws], np.int32)) for d, ws in docs]
+    assert decontam.coded_row(7, coded, codes) == decontam.block_row(7, docs) and p.n_words.tolist() == [3, 0, 2]
