@@ -7,6 +7,7 @@ import ctypes
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from itertools import islice
 
 import numpy as np
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavelkit.session import work_path
+from gavelkit.session import store_of, work_path
 
 #: ASCII letters, the only ones that the word rules below change.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -80,6 +81,43 @@ def new_name(df: DataFrame, stem: str) -> str:
     return stem if stem not in taken else f"{stem}_{uuid.uuid4().hex[:12]}"
 
 
+#: The byte that ends each file of ``write_files``.
+END = b"\0"
+
+
+def write_files(contents: DataFrame, folder: str, suffix: str) -> list[str]:
+    """Write the bytes of each row of the one column as a file below ``folder``; return their paths, in order of partitions and rows.
+
+    Spark's text writer writes a row to a file, as it is and with ``END`` behind it, which is why contents must end with
+    that byte. So the folder may be in any store that Spark reaches, also one that Python in a task can't open, and a name
+    without a scheme means the same to all. Files are put in place once all are written; failed attempts leave none. The
+    driver handles names only. A row is held whole, so a file should be some MB.
+    """
+    spark, column = contents.sparkSession, contents.columns[0]
+    staged = f"{folder.rstrip('/')}/_{uuid.uuid4().hex}"
+    ends = F.substring(column, -1, 1) == F.lit(END)
+    bare = F.when(ends, F.substring(column, F.lit(1), F.octet_length(column) - 1)).otherwise(F.raise_error(F.lit("a file doesn't end with a zero byte")))
+    writer = contents.select(bare.cast("string").alias("value")).write
+    store, root = store_of(spark, folder)
+    try:
+        writer.option("lineSep", END.decode()).option("maxRecordsPerFile", 1).option("compression", "none").text(staged)
+        made = [(re.match(r"part-(\d+)-.*-c(\d+)\.txt$", f.getPath().getName()), f) for f in store.listStatus(store_of(spark, staged)[1])]
+        made = sorted((int(m[1]), int(m[2]), f.getPath()) for m, f in made if m and f.getLen())
+        names = [spark._jvm.org.apache.hadoop.fs.Path(root, f"{k:06d}-{uuid.uuid4().hex}.{suffix}") for k in range(len(made))]
+        with ThreadPoolExecutor(8) as pool:  # in some stores a rename takes long
+            if not all(pool.map(store.rename, [path for _, _, path in made], names)):
+                raise OSError(f"files in {staged} can't be put in place")
+        return [name.toString() for name in names]
+    finally:
+        store.delete(store_of(spark, staged)[1], True)
+
+
+def file_contents(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path and content of files in any store that Spark reaches, one row a file."""
+    files = spark.read.format("binaryFile")
+    return files.load(paths).select("path", "content") if paths else spark.createDataFrame([], "path string, content binary")
+
+
 def shared_uri(spark: SparkSession, label: str) -> str:
     """A new folder for files that tasks write themselves: Spark and the tasks must mean the same place by its name.
 

@@ -3,7 +3,8 @@
 A word of 64 bits holds a selector (4 bits) and as many ids of equal width as fit in the other 60. An id that needs more
 than 60 bits, or one much wider than its neighbours, is an escape: the word holds 0 and the block lists its place and value.
 
-File: magic, blocks, footer, length of the footer (8 bytes), magic. A block holds up to ``BLOCK`` ids of one document:
+File: magic, blocks, footer, length of the footer, counts of documents and of ids (8 bytes each, high byte first), magic,
+a zero byte. A block holds up to ``BLOCK`` ids of one document:
 counts of ids, words and escapes (3 x 32 bits, padded to 16 bytes), the words, escape places (32 bits), escape values
 (64 bits), padded to 8 bytes. The footer has for each block its byte offset, and for each document its count of ids; so a
 reader goes to any block, and decodes it with array operations alone.
@@ -14,22 +15,20 @@ from __future__ import annotations
 import json
 import re
 import struct
-import uuid
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 import regex
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gavelkit.llm.common import BoundedCache, shared_uri, shown_bytes
-from gavelkit.session import pinned
+from gavelkit.llm.common import END, BoundedCache, file_contents, release, shown_bytes, write_files
+from gavelkit.session import pinned, work_path
 
 # Ids in a word and bits of each, by selector.
 SELECTORS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
@@ -228,17 +227,43 @@ def _runs(batch: pa.RecordBatch, chars: int = 4_000_000):
         yield ids, texts
 
 
-_FILES = "part int, path string, n_docs bigint, n_ids bigint"
-_FOOT = "<QQ"
+_FOOT, _TAIL = "<QQ", ">QQQ"
+#: A task begins a new file beyond so many bytes: a file is one row when Spark writes and reads it.
+FILE_BYTES = 8 << 20
 
 
-def write_ids(df: DataFrame, folder: str, vocab: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+class _File:
+    """A file that is being made: blocks of ids, and what its footer says."""
+
+    def __init__(self):
+        self.blocks, self.at, self.docs, self.counts, self.offsets = [MAGIC], len(MAGIC), [], [], []
+
+    def add(self, docs: list, raw: list[bytes]) -> None:
+        """The ids of some documents, as little-endian 32-bit integers."""
+        sizes = [len(r) // 4 for r in raw]
+        ends = np.cumsum(sizes)
+        bounds = np.array([0, *(min(k + BLOCK, e) for e, n in zip(ends.tolist(), sizes, strict=True) for k in range(e - n, e, BLOCK))])
+        for block in pack_all(np.frombuffer(b"".join(raw), "<u4"), bounds):
+            self.blocks.append(block)
+            self.offsets.append(self.at)
+            self.at += len(block)
+        self.docs += docs
+        self.counts += sizes
+
+    def content(self) -> bytes:
+        known = np.array([d is not None for d in self.docs], np.uint8)
+        numbers = np.array([d or 0 for d in self.docs], "<i8").tobytes() + np.array(self.counts, "<u8").tobytes() + np.array(self.offsets, "<u8").tobytes()
+        foot = struct.pack(_FOOT, len(self.docs), len(self.offsets)) + numbers + known.tobytes()
+        return b"".join([*self.blocks, foot, struct.pack(_TAIL, len(foot), len(self.docs), sum(self.counts)), MAGIC, END])
+
+
+def write_ids(df: DataFrame, folder: str, vocab: str, end_id: int, doc_id: str = "doc_id", text: str = "text", file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write the ids of every text to files below ``folder``, in ascending order of ``doc_id``; return the list of files.
 
-    Texts are dealt out by range of ``doc_id`` (nulls first) and sorted; each task encodes and writes its range as one
-    file, block by block. The list is what counts: a file left by an attempt that failed is in no list. Null texts count
-    as empty. Rows with equal ids stand in an order that follows from their texts; one id that very many rows share is
-    dealt out by texts, and by where equal rows were read, so it doesn't fill one task.
+    Texts are dealt out by range of ``doc_id`` (nulls first) and sorted; each task encodes its range block by block into files
+    of about ``file_bytes``, and Spark writes them, so the folder may be anywhere Spark can write. A file left by an attempt
+    that failed is never seen. Null texts count as empty. Rows with equal ids stand in an order that follows from their
+    texts; one id that very many rows share is dealt out by texts, and by where equal rows were read, so it doesn't fill one task.
     """
     rows = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     order = ["doc_id", "gk_hash", "text", "gk_read_at"]
@@ -246,90 +271,70 @@ def write_ids(df: DataFrame, folder: str, vocab: str, end_id: int, doc_id: str =
     dealt = rows.repartitionByRange("doc_id", "gk_hash", "gk_read_at").sortWithinPartitions(*order).select("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        encode, part = tokenizer(vocab), TaskContext.get().partitionId()
-        fs, base = pyarrow.fs.FileSystem.from_uri(folder)
-        end, sink = np.array([end_id], "<u4").tobytes(), None
-        docs, counts, offsets, at, total = [], [], [], 0, 0
+        encode, end, held = tokenizer(vocab), np.array([end_id], "<u4").tobytes(), _File()
+        one = lambda made: pa.RecordBatch.from_pydict({"content": pa.array([made.content()], pa.binary())})
         for batch in batches:
             for ids, texts in _runs(batch):
-                if sink is None:
-                    fs.create_dir(base, recursive=True)
-                    path = f"{base}/part-{part:06d}-{uuid.uuid4().hex}.ids"
-                    sink = fs.open_output_stream(path)
-                    sink.write(MAGIC)
-                    at = len(MAGIC)
-                raw = [r + end for r in encode.batch(texts)]
-                sizes = [len(r) // 4 for r in raw]
-                ends = np.cumsum(sizes)
-                bounds = np.array([0, *(min(k + BLOCK, e) for e, n in zip(ends.tolist(), sizes, strict=True) for k in range(e - n, e, BLOCK))])
-                for block in pack_all(np.frombuffer(b"".join(raw), "<u4"), bounds):
-                    sink.write(block)
-                    offsets.append(at)
-                    at += len(block)
-                docs += ids
-                counts += sizes
-                total += int(ends[-1])
-        if sink is not None:
-            known = np.array([d is not None for d in docs], np.uint8)
-            foot = struct.pack(_FOOT, len(docs), len(offsets)) + np.array([d or 0 for d in docs], "<i8").tobytes() + np.array(counts, "<u8").tobytes() + np.array(offsets, "<u8").tobytes() + known.tobytes()
-            sink.write(foot + struct.pack("<Q", len(foot)) + MAGIC)
-            sink.close()
-            uri = folder.rstrip("/") + path[len(base) :]
-            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "path": [uri], "n_docs": [len(docs)], "n_ids": [total]})
-
-    return pinned(dealt.mapInArrow(write, _FILES), "id-files")
+                held.add(ids, [r + end for r in encode.batch(texts)])
+                if held.at >= file_bytes:
+                    yield one(held)
+                    held = _File()
+                    release()
+        if held.docs:
+            yield one(held)
+        del held
+        release()
+
+    paths = write_files(dealt.mapInArrow(write, "content binary"), folder, "ids")
+    number = lambda at: F.conv(F.hex(F.substring("content", -len(MAGIC + END) - at, 8)), 16, 10).cast("bigint")
+    part = F.regexp_extract("path", r"(\d+)-[^/]*$", 1).cast("int")
+    return pinned(file_contents(df.sparkSession, paths).select(part.alias("part"), "path", number(16).alias("n_docs"), number(8).alias("n_ids")), "id-files")
 
 
 def read_ids(files: DataFrame) -> DataFrame:
-    """Rows of doc_id, start, n_tokens, ids (little-endian 32-bit integers) from the listed files, one task or more a file.
+    """Rows of doc_id, start, n_tokens, ids (little-endian 32-bit integers) from the listed files; Spark reads the files.
 
     ``start`` counts the ids of all documents before: those in files before come from the list, which has one row a file.
     """
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     begins = files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0))).select("path", "start")
-    n = max(1, files.count())
+    contents = file_contents(files.sparkSession, [r.path for r in files.select("path").collect()])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                yield from read_file(path, start)
-
-    return begins.repartition(n, "path").mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
-
-
-def read_file(path: str, start: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Documents of one file, in batches of about ``most`` ids; only a batch's blocks are in memory, read and taken apart together."""
-    fs, name = pyarrow.fs.FileSystem.from_uri(path)
-    with fs.open_input_file(name) as f:
-        size = f.size()
-        f.seek(size - 16)
-        length, magic = struct.unpack("<Q8s", f.read(16))
-        if magic != MAGIC:
-            raise ValueError(f"{path} has no footer")
-        f.seek(foot_at := size - 16 - length)
-        foot = f.read(length)
-        n_docs, n_blocks = struct.unpack_from(_FOOT, foot)
-        docs, counts, offsets = (np.frombuffer(foot, kind, n, 16 + 8 * skip) for kind, n, skip in (("<i8", n_docs, 0), ("<i8", n_docs, n_docs), ("<i8", n_blocks, 2 * n_docs)))
-        known = np.frombuffer(foot, np.uint8, n_docs, 16 + 8 * (2 * n_docs + n_blocks)).astype(bool)
-        blocks, upto = np.append(offsets, foot_at), np.concatenate(([0], np.cumsum(counts)))
-        of_docs = np.concatenate(([0], np.cumsum(-(-counts // BLOCK))))
-        a = 0
-        while a < n_docs:
-            b = min(n_docs, max(a + 1, int(np.searchsorted(upto, upto[a] + most))))
-            first, last = of_docs[a], of_docs[b]
-            f.seek(int(blocks[first]))
-            raw = f.read(int(blocks[last] - blocks[first]))
-            ids = unpack_all(raw, blocks[first:last] - blocks[first]).astype("<u4")
-            ends = pa.array(4 * (upto[a : b + 1] - upto[a]), pa.int64())
-            held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, ends.buffers()[1], pa.py_buffer(ids)]).cast(pa.binary())
-            begins, n = pa.array(start + upto[a:b]), pa.array(counts[a:b])
-            yield pa.RecordBatch.from_arrays([pa.array(docs[a:b], mask=~known[a:b]), begins, n, held], ["doc_id", "start", "n_tokens", "ids"])
-            a = b
+            for path, start, content in zip(*batch.columns, strict=True):
+                yield from read_file(path.as_py(), start.as_py(), content.as_buffer())
+
+    # a broadcast of one small row a file, so that contents stay where they are read
+    listed = contents.join(F.broadcast(begins), "path").select("path", "start", "content")
+    return listed.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
+
+
+def read_file(path: str, start: int, content: pa.Buffer, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Documents of one file, in batches of about ``most`` ids; a batch's blocks are taken apart together."""
+    tail = content.size - len(MAGIC + END)
+    if tail < 0 or content[tail:].to_pybytes() != MAGIC + END:
+        raise ValueError(f"{path} has no footer")
+    foot_at = (tail := tail - struct.calcsize(_TAIL)) - struct.unpack_from(_TAIL, content, tail)[0]
+    foot = content[foot_at:tail].to_pybytes()
+    n_docs, n_blocks = struct.unpack_from(_FOOT, foot)
+    docs, counts, offsets = (np.frombuffer(foot, kind, n, 16 + 8 * skip) for kind, n, skip in (("<i8", n_docs, 0), ("<i8", n_docs, n_docs), ("<i8", n_blocks, 2 * n_docs)))
+    known = np.frombuffer(foot, np.uint8, n_docs, 16 + 8 * (2 * n_docs + n_blocks)).astype(bool)
+    blocks, upto = np.append(offsets, foot_at), np.concatenate(([0], np.cumsum(counts)))
+    of_docs = np.concatenate(([0], np.cumsum(-(-counts // BLOCK))))
+    a = 0
+    while a < n_docs:
+        b = min(n_docs, max(a + 1, int(np.searchsorted(upto, upto[a] + most))))
+        first, last = of_docs[a], of_docs[b]
+        raw = content[int(blocks[first]) : int(blocks[last])].to_pybytes()
+        ids = unpack_all(raw, blocks[first:last] - blocks[first]).astype("<u4")
+        ends = pa.array(4 * (upto[a : b + 1] - upto[a]), pa.int64())
+        held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, ends.buffers()[1], pa.py_buffer(ids)]).cast(pa.binary())
+        begins, n = pa.array(start + upto[a:b]), pa.array(counts[a:b])
+        yield pa.RecordBatch.from_arrays([pa.array(docs[a:b], mask=~known[a:b]), begins, n, held], ["doc_id", "start", "n_tokens", "ids"])
+        a = b
 
 
 def round_trip(spark: SparkSession, df: DataFrame, vocab: str, end_id: int = 1) -> DataFrame:
     """Write the ids of ``df`` to a new folder below the shared one and read them back from the files."""
-    folder = shared_uri(spark, "ids")
-    return read_ids(write_ids(df, folder, vocab, end_id))
+    return read_ids(write_ids(df, work_path(spark, "ids"), vocab, end_id))

@@ -50,6 +50,19 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/gavelkit/{label}-{uuid.uuid4().hex}"
 
 
+def store_of(spark: SparkSession, path: str):
+    """Spark's file system of ``path``, and the path with that file system's name, which a name without a scheme leaves out."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store, store.makeQualified(at)
+
+
+def mounted(spark: SparkSession, path: str) -> str | None:
+    """The plain path of a place that Python in a task can open (``file:``); None for one in a store that only Spark reaches."""
+    uri = store_of(spark, path)[1].toUri()
+    return uri.getPath() if uri.getScheme() == "file" else None
+
+
 def pinned(df: DataFrame, label: str = "pin") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
