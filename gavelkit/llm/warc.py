@@ -3,16 +3,19 @@
 Each record is a gzip member of its own. The member's extra field ``SL`` gives its compressed and inflated length, so a
 reader that doesn't want a payload inflates the headers alone and goes on to the next member. Archives without that field,
 or without compression, are read too.
+
+Archives are written by Spark, so they may be in any store that it reaches. Python in a task reads those on a mounted file
+system by itself; the bytes of others come from Spark, an archive a row.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import io
 import json
 import re
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -21,9 +24,10 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import LongType
 
-from gavelkit.llm.common import shared_uri
-from gavelkit.session import pinned
+from gavelkit.llm.common import END, file_contents, write_files
+from gavelkit.session import mounted, pinned, work_path
 
 HEAD = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff"
 EXTRA = "<HBBHII"  # length of the extra field, 'S', 'L', length, compressed and inflated length of the member
@@ -79,35 +83,39 @@ def with_keepers(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     return joined.select("page_id", "url", "payload", keeper.alias("keeper"))
 
 
-def write_warc(pages: DataFrame, folder: str, file_bytes: int = 256 << 20, date: str = "2020-01-01T00:00:00Z", least_bytes: int = 0) -> DataFrame:
+def write_warc(pages: DataFrame, folder: str, file_bytes: int = 8 << 20, date: str = "2020-01-01T00:00:00Z", least_bytes: int = 0) -> DataFrame:
     """Write a record for each page below ``folder``; return the list of archives (path, records).
 
-    A task begins a new archive after ``file_bytes``. What a failed attempt left is in no list.
+    A task begins a new archive after ``file_bytes``; an archive is one row when Spark writes it, so that should be some MB.
+    What a failed attempt left is never seen. ``records`` is counted in the archives, if it is asked for.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = pyarrow.fs.FileSystem.from_uri(folder)
-        sink, n, size, done = None, 0, 0, []
+        held, size = [], 0
+
+        def archive() -> pa.RecordBatch:
+            # a member ends with the high byte of its length, which is zero up to 16 MB; readers pass over zeros
+            whole = b"".join(held if held[-1].endswith(END) else [*held, END])
+            return pa.RecordBatch.from_pydict({"content": pa.array([whole], pa.binary())})
+
         for batch in batches:
             for page_id, url, payload, keeper in zip(*batch.columns, strict=True):
-                if sink is None:
-                    fs.create_dir(base, recursive=True)
-                    name = f"{uuid.uuid4().hex}.warc.gz"
-                    sink, n, size = fs.open_output_stream(f"{base}/{name}", compression=None), 0, 0
-                raw = member(record(page_id.as_py(), url.as_py(), payload.as_py(), keeper.as_py(), date))
-                sink.write(raw)
-                size, n = size + len(raw), n + 1
+                held.append(member(record(page_id.as_py(), url.as_py(), payload.as_py(), keeper.as_py(), date)))
+                size += len(held[-1])
                 if size >= file_bytes:
-                    sink.close()
-                    done.append((f"{folder.rstrip('/')}/{name}", n))
-                    sink = None
-        if sink is not None:
-            sink.close()
-            done.append((f"{folder.rstrip('/')}/{name}", n))
-        if done:
-            yield pa.RecordBatch.from_pydict({"path": [x[0] for x in done], "records": pa.array([x[1] for x in done], pa.int64())})
+                    yield archive()
+                    held, size = [], 0
+        if held:
+            yield archive()
+
+    paths = write_files(with_keepers(pages, least_bytes).mapInArrow(write, "content binary"), folder, "warc.gz")
+    return file_contents(pages.sparkSession, paths).select("path", _records("content").alias("records"))
 
-    return pinned(with_keepers(pages, least_bytes).mapInArrow(write, "path string, records bigint"), "warc-files")
+
+@F.arrow_udf(LongType())
+def _records(contents: pa.Array) -> pa.Array:
+    """The number of records of each archive."""
+    return pa.array([sum(1 for _ in Archive(io.BytesIO(x.as_py())).records()) for x in contents], pa.int64())
 
 
 class Archive:
@@ -121,7 +129,7 @@ class Archive:
         while True:
             self.f.seek(self.at)
             start, head = self.at, self.f.read(CHUNK)
-            if not head.strip(b"\r\n"):
+            if not head.strip(b"\r\n\0"):
                 if len(head) < CHUNK:
                     return
                 self.at += len(head)
@@ -129,7 +137,7 @@ class Archive:
             if head[:2] == b"\x1f\x8b":
                 yield from self.gzipped(start, head)
             else:
-                skip = len(head) - len(head.lstrip(b"\r\n"))
+                skip = len(head) - len(head.lstrip(b"\r\n\0"))
                 yield from self.plain(start + skip, head[skip:])
 
     def plain(self, start: int, head: bytes):
@@ -254,28 +262,32 @@ class WarcReader(DataSourceReader):
         if partition.path is None:  # no archives at all
             return
         fs, name = pyarrow.fs.FileSystem.from_uri(partition.path)
-        rows, size = [], 0
         with fs.open_input_file(name) as f:
-            for offset, headers, block in Archive(f).records():
-                row = told(headers)
-                if not self.wanted(row, headers):
-                    continue
-                given = headers.get("x-payload-length", "")
-                row |= {"path": partition.path, "offset": offset, "headers": list(headers.items()), "payload": None, "payload_length": int(given) if given.isdigit() else None}
-                if self.payload != "skip" and row["record_type"] == "response":
-                    body = block()
-                    if (row["content_type"] or "").startswith("application/http"):
-                        body = body.split(b"\r\n\r\n", 1)[-1]
-                    row["payload_length"] = len(body)
-                    if row["payload_digest"] and row["payload_digest"] != base64.b32encode(hashlib.sha1(body).digest()).decode():
-                        raise ValueError(f"the payload at {offset} in {partition.path} doesn't have its digest")
-                    if self.payload == "full":
-                        row["payload"] = body
-                rows.append(row)
-                size += 500 + len(row["payload"] or b"")
-                if size > 8 << 20:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
-                    rows, size = [], 0
+            yield from self.rows(partition.path, f)
+
+    def rows(self, path: str, f) -> Iterator[pa.RecordBatch]:
+        """The records of an open archive."""
+        rows, size = [], 0
+        for offset, headers, block in Archive(f).records():
+            row = told(headers)
+            if not self.wanted(row, headers):
+                continue
+            given = headers.get("x-payload-length", "")
+            row |= {"path": path, "offset": offset, "headers": list(headers.items()), "payload": None, "payload_length": int(given) if given.isdigit() else None}
+            if self.payload != "skip" and row["record_type"] == "response":
+                body = block()
+                if (row["content_type"] or "").startswith("application/http"):
+                    body = body.split(b"\r\n\r\n", 1)[-1]
+                row["payload_length"] = len(body)
+                if row["payload_digest"] and row["payload_digest"] != base64.b32encode(hashlib.sha1(body).digest()).decode():
+                    raise ValueError(f"the payload at {offset} in {path} doesn't have its digest")
+                if self.payload == "full":
+                    row["payload"] = body
+            rows.append(row)
+            size += 500 + len(row["payload"] or b"")
+            if size > 8 << 20:
+                yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+                rows, size = [], 0
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
 
@@ -312,10 +324,24 @@ class WarcSource(DataSource):
 
 
 def read_warc(spark: SparkSession, paths: list[str], payload: str = "full", tests: list[tuple] = ()) -> DataFrame:
-    """Rows of the listed archives, one partition an archive, of records whose headers pass the tests."""
+    """Rows of the listed archives, one partition an archive, of records whose headers pass the tests.
+
+    Where one of them is in a store that Python in a task can't be sure to open, Spark reads them, each as one row (of up to
+    2 GB), and the same reader takes them apart.
+    """
     spark.dataSource.register(WarcSource)
-    reader = spark.read.format("warc").option("paths", json.dumps(paths)).option("payload", payload)
-    return reader.option("tests", json.dumps([list(t) for t in tests])).load()
+    tests = [list(t) for t in tests]
+    if all(mounted(spark, path) for path in paths):
+        reader = spark.read.format("warc").option("paths", json.dumps(paths)).option("payload", payload)
+        return reader.option("tests", json.dumps(tests)).load()
+    reader = WarcReader(paths, payload, tests)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(*batch.columns, strict=True):
+                yield from reader.rows(path.as_py(), pa.BufferReader(content.as_buffer()))
+
+    return file_contents(spark, paths).mapInArrow(read, SCHEMA)
 
 
 def page_number(column: Column) -> Column:
@@ -325,6 +351,5 @@ def page_number(column: Column) -> Column:
 
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Write pages to a new folder below the shared one and read the archives back, payload digests checked."""
-    folder = shared_uri(spark, "warc")
-    archives = write_warc(pages, folder)
-    return read_warc(spark, [r["path"] for r in archives.collect()], "verify")
+    archives = write_warc(pages, work_path(spark, "warc"))
+    return read_warc(spark, [r["path"] for r in archives.select("path").collect()], "verify")

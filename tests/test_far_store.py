@@ -1,5 +1,6 @@
 """A shared folder in a store that only Spark reaches, and one that is named without its file system."""
 
+import gzip
 import uuid
 
 import numpy as np
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gavelkit import session
-from gavelkit.llm import common, idfile
+from gavelkit.llm import common, idfile, warc
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -56,3 +57,24 @@ def test_a_task_writes_several_id_files(spark, tmp_path):
     assert files.count() > one.count() and files.agg(F.sum("n_docs")).first()[0] == docs.count()
     show = lambda df: sorted((r.start, r.doc_id, r.n_tokens, r.crc) for r in df.withColumn("crc", F.crc32("ids")).collect())
     assert show(idfile.read_ids(files)) == show(idfile.read_ids(one))
+
+
+def test_archives_in_a_far_store(spark, far):
+    pages = spark.createDataFrame([(k, "u", "same" if k % 3 else f"page {k}") for k in range(40)], "page_id bigint, url string, html string").repartition(3)
+    rows = warc.round_trip(spark, pages).select(warc.page_number(F.col("record_id")).alias("page"), warc.page_number(F.col("refers_to")).alias("to"), "payload_length").collect()
+    assert sorted((r.page, r.to, r.payload_length) for r in rows) == [(k, 38 if k % 3 and k != 38 else None, 4 if k % 3 else len(f"page {k}")) for k in range(40)]
+    files = warc.write_warc(pages, f"{far}/warc", file_bytes=300).collect()
+    assert len(files) > 3 and sum(f.records for f in files) == 40
+    some = warc.read_warc(spark, [f.path for f in files], tests=[("record_type", "=", "response")]).collect()
+    assert sorted(bytes(r.payload) for r in some) == sorted([b"same", *(f"page {k}".encode() for k in range(0, 40, 3))])
+    with pytest.raises(ValueError, match="no test"):
+        warc.read_warc(spark, [f.path for f in files], tests=[("payload", "=", 1)])
+
+
+def test_archives_are_whole_gzip_files(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "u", "a"), (2, "u", "é" * 9_000_000)], "page_id bigint, url string, html string").coalesce(1)
+    warc.write_warc(pages, str(tmp_path / "out")).collect()
+    found = list((tmp_path / "out").glob("*.warc.gz"))
+    assert [p.suffix for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")] == [".gz"] * len(found)
+    assert sum(gzip.decompress(p.read_bytes()).count(b"WARC/1.1") for p in found) == 2
+    assert spark.read.format("warc").load(f"file://{tmp_path}/out").count() == 2
