@@ -4,12 +4,14 @@ Where an A token and a B token of a document share bytes, they are linked. How m
 counted over the whole corpus without a table in memory:
 
 1. Tasks encode documents and keep (pair, document) records until a run is full. A run is sorted by part (a radix of the A
-   id), A id, B id, document, and spilled as zstd frames to a file in the shared folder, with its documents' own columns.
-   What moves through Spark is only each part's list of pairs with their counts of documents in the run.
+   id), A id, B id, document, and spilled as zstd frames, with its documents' own columns, to a table of runs in the shared
+   folder. Beside it stands each part's list of pairs with their counts of documents in the run; counting reads only these.
 2. The lists of a part are merged from a heap, frame by frame, ``FAN`` at a time and level by level. As the order is
    A-major, an A id's highest count is known when its pairs have passed.
 3. The counts stream back: each run gets its pairs' counts in the order of its own records, and adds them up by document.
 
+Spark writes and reads all of it, so the shared folder may be in any store that Spark reaches.
+
 A frequent A id is one pair list entry a run, however many documents hold it, so no task grows with its frequency.
 """
 
@@ -27,14 +29,12 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs
 import sentencepiece
 import tiktoken
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gavelkit.llm.common import shared_uri
 from gavelkit.llm.common import shown_bytes as _shown_bytes
 from gavelkit.session import pinned
 
@@ -263,8 +263,8 @@ class _Run:
         self.docs += [(i, *row) for i, row in zip(ids, rows, strict=True)]
         self.links += len(records)
 
-    def spill(self, fs, base: str, folder: str, aligner: Aligner) -> list[tuple[str, int, bytes]]:
-        """Write the file and return its name with each part's pair list; part -1 stands for the run itself."""
+    def spill(self, aligner: Aligner) -> list[tuple[str, int, bytes | None, bytes | None]]:
+        """Rows run, part, pairs, records: each part's pair list, and as part -1 the records with the documents."""
         keys = np.concatenate(self.records)
         keys.sort()
         starts = np.flatnonzero(np.diff(keys, prepend=-1))
@@ -275,25 +275,23 @@ class _Run:
         docs = np.diff(heads, append=len(pair))
         pair, heads = pair[heads], np.append(heads, len(keys))
         cuts = np.searchsorted(pair, aligner.first << aligner.b_bits)
-        name = f"{uuid.uuid4().hex}.run"
-        lists, sections = [(f"{folder}/{name}", -1, b"")], []
+        name, lists, sections = uuid.uuid4().hex, [], []
         for part in range(len(cuts) - 1):
             lo, hi = int(cuts[part]), int(cuts[part + 1])
             if lo < hi:
                 a, b = int(heads[lo]), int(heads[hi])
                 packed = zstandard.compress(_planes(docs[lo:hi].astype("<u4"), np.diff(doc[a:b], prepend=0).astype("<i4"), times[a:b].astype("<u4")), 3)
                 sections.append((part, hi - lo, b - a, packed))
-                lists.append((f"{folder}/{name}", part, framed(pair[lo:hi], docs[lo:hi])))
+                lists.append((name, part, framed(pair[lo:hi], docs[lo:hi]), None))
         columns = [pa.array(c, f.type) for c, f in zip(zip(*self.docs, strict=True), _DOCS, strict=True)]
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, _DOCS) as w:
             w.write_batch(pa.RecordBatch.from_arrays(columns, schema=_DOCS))
         table = zstandard.compress(sink.getvalue().to_pybytes(), 3)
-        with fs.open_output_stream(f"{base}/{name}") as f:
-            f.write(struct.pack("<QI", len(table), len(sections)) + table)
-            for part, pairs, records, packed in sections:
-                f.write(struct.pack("<IIII", part, pairs, records, len(packed)) + packed)
-        return lists
+        raw = [struct.pack("<QI", len(table), len(sections)), table]
+        for part, pairs, records, packed in sections:
+            raw += [struct.pack("<IIII", part, pairs, records, len(packed)), packed]
+        return [*lists, (name, -1, None, b"".join(raw))]
 
 
 def _slices(column: pa.Array, most: int) -> Iterator[slice]:
@@ -310,27 +308,25 @@ def _slices(column: pa.Array, most: int) -> Iterator[slice]:
 
 
 def spilled(rows: DataFrame, path_a: str, path_b: str, parts: int, run_links: int) -> DataFrame:
-    """run, part, pairs: the runs of a table (doc_id, text), with each part's list of pairs."""
-    folder = shared_uri(rows.sparkSession, "alignment")
+    """run, part, pairs, records: the runs of a table (doc_id, text), with each part's list of pairs."""
+    schema = pa.schema([("run", pa.string()), ("part", pa.int32()), ("pairs", pa.binary()), ("records", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = pyarrow.fs.FileSystem.from_uri(folder)
-        fs.create_dir(base, recursive=True)
         aligner, held = _aligner(path_a, path_b, parts), _Run()
-        batch_of = lambda lists: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*lists, strict=True), (pa.string(), pa.int32(), pa.binary()), strict=True)], ["run", "part", "pairs"])
+        batch_of = lambda lists: pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*lists, strict=True), schema, strict=True)], schema=schema)
         for batch in batches:
             for s in _slices(batch.column(1), SLICE):
                 n = s.stop - s.start
                 found, records = aligner.align(batch.column(1).slice(s.start, n).to_pylist())
                 held.add(batch.column(0).slice(s.start, n).to_pylist(), found, records)
                 if held.links >= run_links or len(held.docs) >= run_links:
-                    yield batch_of(held.spill(fs, base, folder, aligner))
+                    yield batch_of(held.spill(aligner))
                     held = _Run()
             pa.default_memory_pool().release_unused()
         if held.docs:
-            yield batch_of(held.spill(fs, base, folder, aligner))
+            yield batch_of(held.spill(aligner))
 
-    return pinned(rows.mapInArrow(run, "run string, part int, pairs binary"), "runs")
+    return pinned(rows.mapInArrow(run, "run string, part int, pairs binary, records binary"), "runs")
 
 
 def counted(runs: DataFrame, blocks: int, fan: int, b_bits: int) -> DataFrame:
@@ -383,26 +379,25 @@ def _added(doc: np.ndarray, times: np.ndarray, counts: np.ndarray, n: int) -> np
 
 
 def documents(backs: DataFrame, partitions: int) -> DataFrame:
-    """The rows of all documents: each run's file is opened once, and its records take the counts that came back."""
+    """The rows of all documents: each run's records are read once, and take the counts that came back."""
 
     def run(table: pa.Table) -> pa.Table:
         back = dict(zip(table.column("part").to_pylist(), table.column("back"), strict=True))
-        fs, name = pyarrow.fs.FileSystem.from_uri(table.column("run")[0].as_py())
-        with fs.open_input_stream(name) as f:
-            size, sections = struct.unpack("<QI", f.read(12))
-            docs = pa.ipc.open_stream(zstandard.decompress(f.read(size))).read_all()
-            n = docs.num_rows
-            sums, best = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            for _ in range(sections):
-                part, pairs, records, size = struct.unpack("<IIII", f.read(16))
-                raw = zstandard.decompress(f.read(size))
-                held, = _unplaned(raw, pairs, "<u4")
-                doc, times = _unplaned(raw[4 * pairs :], records, "<i4", "<u4")
-                known = back[part].as_py()
-                count, is_best = _unplaned(zstandard.decompress(known[4:]), struct.unpack_from("<I", known)[0], "<i8", "<u1")
-                doc = np.cumsum(doc)
-                sums += _added(doc, times, np.repeat(count, held), n)
-                best += np.bincount(doc, times * np.repeat(is_best, held), n).astype(np.int64)
+        f = pa.BufferReader(back[-1].as_buffer())
+        size, sections = struct.unpack("<QI", f.read(12))
+        docs = pa.ipc.open_stream(zstandard.decompress(f.read(size))).read_all()
+        n = docs.num_rows
+        sums, best = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        for _ in range(sections):
+            part, pairs, records, size = struct.unpack("<IIII", f.read(16))
+            raw = zstandard.decompress(f.read(size))
+            held, = _unplaned(raw, pairs, "<u4")
+            doc, times = _unplaned(raw[4 * pairs :], records, "<i4", "<u4")
+            known = back[part].as_py()
+            count, is_best = _unplaned(zstandard.decompress(known[4:]), struct.unpack_from("<I", known)[0], "<i8", "<u1")
+            doc = np.cumsum(doc)
+            sums += _added(doc, times, np.repeat(count, held), n)
+            best += np.bincount(doc, times * np.repeat(is_best, held), n).astype(np.int64)
         out = docs.append_column("n_best", pa.array(best)).append_column("count_sum", pa.array(sums))
         return out.select(["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
@@ -426,7 +421,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", t
     b_bits, order = aligner.b_bits, aligner.order
     blocks = max(1, -(-n // fan))
     counts = counted(runs, blocks, fan, b_bits)
-    alone = runs.where("part = -1").select("run", "part", F.lit(None).cast("binary").alias("back"))
+    alone = runs.where("part = -1").select("run", "part", F.col("records").alias("back"))
     backs = alone.unionByName(returned(runs, counts, blocks, b_bits))
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

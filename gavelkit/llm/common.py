@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gavelkit.session import store_of, work_path
+from gavelkit.session import store_of
 
 #: ASCII letters, the only ones that the word rules below change.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -118,19 +118,6 @@ def file_contents(spark: SparkSession, paths: list[str]) -> DataFrame:
     return files.load(paths).select("path", "content") if paths else spark.createDataFrame([], "path string, content binary")
 
 
-def shared_uri(spark: SparkSession, label: str) -> str:
-    """A new folder for files that tasks write themselves: Spark and the tasks must mean the same place by its name.
-
-    A name without a scheme is Spark's default file system, which a task can't know; only in a local session is it a local folder.
-    """
-    folder = work_path(spark, label)
-    if re.match(r"[A-Za-z0-9+.-]+:/", folder):
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"spark.checkpoint.dir must name its file system, like file:// or hdfs://, not {folder}")
-    return f"file://{folder}"
-
-
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gavelkit import session
-from gavelkit.llm import common, idfile, warc
+from gavelkit.llm import alignment, common, idfile, warc
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -78,3 +78,11 @@ def test_archives_are_whole_gzip_files(spark, tmp_path):
     assert [p.suffix for p in (tmp_path / "out").iterdir() if not p.name.startswith(".")] == [".gz"] * len(found)
     assert sum(gzip.decompress(p.read_bytes()).count(b"WARC/1.1") for p in found) == 2
     assert spark.read.format("warc").load(f"file://{tmp_path}/out").count() == 2
+
+
+def test_alignment_in_a_far_store(spark, far, monkeypatch, tmp_path):
+    paths = [public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    docs = _documents(spark)
+    got = [sorted(map(str, df.collect())) for df in alignment.aligned(docs, *paths, parts=3, run_links=50, fan=2)]
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path / "near"))
+    assert got == [sorted(map(str, df.collect())) for df in alignment.aligned(docs, *paths)] and len(got[0]) == docs.count()
