@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from gavelkit.session import mounted, store_of
+
 
 def _pieces(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
     """file, block (where its split begins), piece, and what the piece with its brace does: turn, out (begun outside a string), in."""
@@ -238,13 +241,41 @@ def write_arrays(rows: DataFrame, name: str, order: list[str], folder: str) -> N
     """One array file for each value of ``name`` (those without a name go to none, so they are refused), objects in the given order.
 
     A file has one writer, which streams its sorted rows; a file of that name is replaced, others stay. The folder must be one
-    that all executors reach, named with its file system on a cluster.
+    that all executors reach. On a mounted file system the tasks write the files; in a store that only Spark reaches, Spark's
+    text writer does, and the files get their names once all are written.
     """
     spark = rows.sparkSession
-    if "://" not in folder and not folder.startswith("file:") and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("name the folder with its file system")
-    spark.dataSource.register(ArrayFiles)
     named = F.when(F.col(name).isNull(), F.raise_error("a row has no file name")).otherwise(F.col(name).cast("string"))
     body = F.to_json(F.struct(*[c for c in rows.columns if c not in (name, *order)]))
-    laid = rows.repartition(name).sortWithinPartitions(name, *order)
-    laid.select(named.alias("name"), body.alias("record")).write.format("array_files").option("path", folder).mode("append").save()
+    if at := mounted(spark, folder):
+        spark.dataSource.register(ArrayFiles)
+        laid = rows.repartition(name).sortWithinPartitions(name, *order)
+        laid.select(named.alias("name"), body.alias("record")).write.format("array_files").option("path", at).mode("append").save()
+        return
+    # rows lie by the very column that Spark deals out to files, so it sorts them no more
+    kept = rows.select(F.concat(F.lit("="), named).alias("name"), body.alias("record"), F.struct(*order).alias("at"))
+    place = Window.partitionBy("name").orderBy("at")
+    begins, ends = F.lag("at").over(place).isNull(), F.lead("at").over(place).isNull()
+    line = F.concat(F.when(F.col("begins"), "[\n").otherwise(""), "record", F.when(F.col("ends"), "\n]").otherwise(","))
+    _write_named(kept.select("name", "record", begins.alias("begins"), ends.alias("ends")).select("name", line.alias("line")), folder)
+
+
+def _write_named(lines: DataFrame, folder: str) -> None:
+    """Write lines, whose rows lie by ``name`` and in order, with one file for each name."""
+    spark, staged = lines.sparkSession, f"{folder.rstrip('/')}/_{uuid.uuid4().hex}"
+    store, root = store_of(spark, folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    try:
+        writer = lines.write.partitionBy("name").option("lineSep", "\n").option("maxRecordsPerFile", 0).option("compression", "none")
+        writer.text(staged)
+        made = {}
+        for part in store.listStatus(store_of(spark, staged)[1]):
+            if part.isDirectory():
+                inside, = (f.getPath() for f in store.listStatus(part.getPath()) if f.getPath().getName().startswith("part-"))
+                made[inside] = path(root, unquote(part.getPath().getName()).removeprefix("name==") + ".json")
+        for inside, final in made.items():
+            store.delete(final, False)
+            if not store.rename(inside, final):
+                raise OSError(f"{final.toString()} can't be put in place")
+    finally:
+        store.delete(store_of(spark, staged)[1], True)

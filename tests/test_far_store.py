@@ -1,6 +1,7 @@
 """A shared folder in a store that only Spark reaches, and one that is named without its file system."""
 
 import gzip
+import json
 import uuid
 
 import numpy as np
@@ -11,6 +12,7 @@ from tokenizers import Tokenizer
 
 from gavelkit import session
 from gavelkit.llm import alignment, common, idfile, warc
+from gavelkit.sources import arrays
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -86,3 +88,30 @@ def test_alignment_in_a_far_store(spark, far, monkeypatch, tmp_path):
     got = [sorted(map(str, df.collect())) for df in alignment.aligned(docs, *paths, parts=3, run_links=50, fan=2)]
     monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path / "near"))
     assert got == [sorted(map(str, df.collect())) for df in alignment.aligned(docs, *paths)] and len(got[0]) == docs.count()
+
+
+def test_array_files_in_a_far_store(spark, far, tmp_path):
+    rows = spark.createDataFrame([(f"d{k % 5}", k, 'q"}\n' if k % 3 else None, 1) for k in range(200)], "day string, at int, text string, one int").repartition(4)
+    for folder in (f"{far}/out", str(tmp_path / "near")):
+        arrays.write_arrays(rows, "day", ["at"], folder)
+        arrays.write_arrays(rows.where("day = 'd2' AND at > 100").withColumn("text", F.lit("new")), "day", ["at"], folder)
+    shown = lambda name: {p.name: p.read_bytes() for p in (tmp_path / name).iterdir() if not p.name.startswith(".")}
+    assert shown("out") == shown("near") and len(shown("out")) == 5
+    assert [x["text"] for x in json.loads(shown("out")["d2.json"])] == ["new"] * 20
+    with pytest.raises(Exception, match="no file name"):
+        arrays.write_arrays(rows.withColumn("day", F.when(F.col("at") != 7, F.col("day"))), "day", ["at"], f"{far}/bad")
+    assert not list(tmp_path.glob("bad/[!.]*"))
+    names = ["a b", "x=1", "50%", "é", "#", "a.b"]
+    odd = spark.createDataFrame([(n, k) for k, n in enumerate(names)], "day string, at int").withColumn("piece_name", F.col("day"))
+    arrays.write_arrays(odd, "day", ["at"], f"{far}/odd")
+    arrays.write_arrays(odd.limit(0), "day", ["at"], f"{far}/odd")
+    assert sorted(p.name for p in (tmp_path / "odd").iterdir() if not p.name.startswith(".")) == sorted(f"{n}.json" for n in names)
+
+
+def test_scan_snapshots_in_a_far_store(spark, far, sf_dir):
+    from gavelkit.plans.stores import QUERIES
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").limit(900)
+    events.write.parquet(f"{far}/tables/events.parquet")
+    got = QUERIES["scan_snapshots"](spark, f"{far}/tables")
+    assert got.count() == got.select("date_pulled", "pos").distinct().count() == 900
