@@ -80,12 +80,12 @@ SELECT date AS date_pulled, CAST(row_number() OVER (PARTITION BY date ORDER BY p
     )
 )
 def scan_snapshots(spark, sf_dir):
-    """Sightings written as one array file a day, and read back; notes hold JSON themselves."""
-    folder = work_path(spark, "snapshots")
+    """Sightings written as one array file a day, those of no day as one more, and read back; notes hold JSON themselves."""
+    folder, undated = work_path(spark, "snapshots"), F.lit("undated")
     rows = sightings(spark, sf_dir).withColumnRenamed("price", "asking_or_hammer_price")
-    write_arrays(rows.drop("id"), "date", ["pos"], folder)
+    write_arrays(rows.drop("id").withColumn("date", F.coalesce("date", undated)), "date", ["pos"], folder)
     back = stores.scan_snapshots(spark, folder)
-    return back.select("date_pulled", "pos", "piece_name", "category", "asking_or_hammer_price", "price_type", "source_site", "notes")
+    return back.select(F.nullif("date_pulled", undated).alias("date_pulled"), "pos", "piece_name", "category", "asking_or_hammer_price", "price_type", "source_site", "notes")
 
 
 # --- merge and lifecycle ----------------------------------------------------------

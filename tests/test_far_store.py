@@ -115,3 +115,19 @@ def test_scan_snapshots_in_a_far_store(spark, far, sf_dir):
     events.write.parquet(f"{far}/tables/events.parquet")
     got = QUERIES["scan_snapshots"](spark, f"{far}/tables")
     assert got.count() == got.select("date_pulled", "pos").distinct().count() == 900
+
+
+def test_scan_snapshots_of_undated_events(spark, tmp_path):
+    import duckdb
+
+    from gavelkit.plans.stores import ORACLES, QUERIES
+
+    days = F.when(F.col("id") % 4 != 0, F.timestamp_seconds(F.col("id") * 40_000))
+    events = spark.range(200).select(F.col("id").alias("event_id"), days.alias("ts"), (F.col("id") % 9).alias("user_id"), F.lit("view").alias("event_type"), (F.col("id") / 2).alias("value"), F.lit('{"k": "}"}').alias("props"))
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    want, got = con.execute(ORACLES["scan_snapshots"]), QUERIES["scan_snapshots"](spark, str(tmp_path))
+    names = [d[0] for d in want.description]
+    rows = sorted(str(tuple(r[n] for n in names)) for r in got.collect())
+    assert rows == sorted(map(str, want.fetchall())) and sum(r.startswith("(None") for r in rows) == 50
